@@ -23,8 +23,9 @@ def parse_utc(text: Column) -> Column:
     return text.cast("timestamp_ntz")
 
 
-def iso_text(ts: Column) -> Column:
-    return F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss")
+def iso_text(ts: Column, seconds: bool = True) -> Column:
+    """ISO text; cut from the plain cast, since a formatter would apply the session zone."""
+    return F.replace(F.substring(ts.cast("string"), 1, 19 if seconds else 16), F.lit(" "), F.lit("T"))
 
 
 def trunc_hour(ts: Column) -> Column:

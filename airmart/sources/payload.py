@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from airmart import schemas as S
-from airmart.functions import parse_utc, time_column
+from airmart.functions import iso_text, time_column
 from airmart.operators.coerce import conform
 
 POSITION = "_pos"
@@ -88,7 +88,7 @@ def to_payload(table: DataFrame, kind: str, group: list[Column]) -> DataFrame:
     entry = F.struct(*[F.col(c).alias(f) for f, c in columns.items()])
     packed = table.groupBy(*group).agg(F.sort_array(F.collect_list(entry)).alias("_rows"))
     arrays = [
-        (F.transform(f"_rows.{f}", lambda t: F.date_format(t, "yyyy-MM-dd'T'HH:mm"))
+        (F.transform(f"_rows.{f}", lambda t: iso_text(t, seconds=False))
          if f == "time" else F.col(f"_rows.{f}")).alias(f)
         for f in columns
     ]

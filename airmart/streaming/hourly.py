@@ -45,9 +45,10 @@ def join_hours(
 ) -> DataFrame:
     """Stream-stream inner join of two ``once_per_hour`` streams.
 
-    The equality on event time bounds the state of both sides.
+    The equality on event time bounds the state of both sides; the zone-free
+    time joins too, as two of its hours can share one zoned instant.
     """
-    keys = [*series, EVENT_TS]
+    keys = [*series, EVENT_TS, S.TIME]
     right = air.select(*keys, *S.ANOMALY_AIR)
     return weather.join(right, keys).select(
         *series, F.col(S.TIME).alias("TS"), *S.CLASSIFIER_WEATHER, *S.ANOMALY_AIR

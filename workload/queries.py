@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airmart import schemas as S
-from airmart.functions import class_code, trunc_hour
+from airmart.functions import class_code, iso_text, trunc_hour
 from airmart.operators import quality
 from airmart.operators.coerce import before_cutoff, conform, current_hour
 from airmart.operators.dedup import unite
@@ -36,7 +36,7 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
 def _wire_rows(events: DataFrame, complete: bool) -> DataFrame:
     """Events under payload names: minute text, NaN where a type has no sensor."""
     holes = {"temperature_2m": "error", "relative_humidity_2m": "signup", "is_day": "click"}
-    columns = [F.date_format("ts", "yyyy-MM-dd'T'HH:mm").alias("time")]
+    columns = [iso_text(F.col("ts"), seconds=False).alias("time")]
     for field in list(S.WEATHER_FIELDS)[1:]:
         value = F.col("value")
         if field == "is_day":
