@@ -13,7 +13,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from airmart import schemas as S
-from airmart.functions import trunc_hour
+from airmart.functions import this_hour, trunc_hour
+from airmart.operators.coerce import before_cutoff
 
 # measure -> (aggregate, event type; "any" for all types)
 WEATHER_SIGNALS = {
@@ -62,82 +63,89 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/events.parquet")
 
 
-def _signal(aggregate: str, kind: str) -> Column:
-    value = F.col("value") if kind == "any" else F.when(F.col("event_type") == kind, F.col("value"))
-    return F.max(value) if aggregate == "max" else F.min(value)
+_HOUR = "to_date(ts)::timestamp_ntz + make_dt_interval(0, hour(ts))"
+_DAYLIGHT = "int(hour(ts) BETWEEN 6 AND 17)"
 
 
-def _count(kind: str) -> Column:
-    return F.count(F.when(F.col("event_type") == kind, F.lit(1)))
+def _signals(kind: str, station: bool) -> str:
+    """Select list with one aggregate per measure."""
+    # Station hours hold about one event, so there the model columns take any type.
+    modelled = {*S.CLASSIFIER_WEATHER, *S.ANOMALY_AIR} if station else set()
+    columns = []
+    for name, (aggregate, event) in (WEATHER_SIGNALS if kind == "weather" else AIR_SIGNALS).items():
+        every = event == "any" or name in modelled
+        condition = "" if every else f" FILTER (WHERE event_type = '{event}')"
+        columns.append(f"{aggregate}(value){condition} AS {name}")
+    if kind == "weather":
+        columns.append(f"max({_DAYLIGHT}) AS IS_DAY_FLAG")
+    return ", ".join(columns)
 
 
 def weather_hours(events: DataFrame) -> DataFrame:
     """One row per hour with at least one ``view`` event."""
-    hours = events.groupBy(trunc_hour(F.col("ts")).alias(S.TIME)).agg(
-        _count("view").alias("_n"),
-        *[_signal(*spec).alias(name) for name, spec in WEATHER_SIGNALS.items()],
+    hours = events.sparkSession.sql(
+        f"""SELECT {_HOUR} AS {S.TIME}, {_signals("weather", False)} FROM {{events}}
+        GROUP BY 1 HAVING count_if(event_type = 'view') > 0""",
+        events=events,
     )
-    return _weather_columns(hours.where("_n > 0"))
+    return hours.select(*S.WEATHER_COLUMNS)
 
 
 def air_hours(events: DataFrame) -> DataFrame:
     """One row per hour with at least one ``error`` event."""
-    hours = events.groupBy(trunc_hour(F.col("ts")).alias(S.TIME)).agg(
-        _count("error").alias("_n"),
-        *[_signal(*spec).alias(name) for name, spec in AIR_SIGNALS.items()],
+    drop = ", ".join(f"if(_n % {n} <> 0, {c}, NULL) AS {c}" for c, n in DROPOUTS.items())
+    kept = ", ".join(c for c in S.AIR_COLUMNS if c not in DROPOUTS)
+    hours = events.sparkSession.sql(
+        f"""SELECT {kept}, {drop} FROM (
+          SELECT {_HOUR} AS {S.TIME}, {_signals("airquality", False)},
+            count_if(event_type = 'error') AS _n
+          FROM {{events}} GROUP BY 1)
+        WHERE _n > 0""",
+        events=events,
     )
-    for name, every in DROPOUTS.items():
-        hours = hours.withColumn(name, F.when(F.col("_n") % every != 0, F.col(name)))
-    return hours.where("_n > 0").select(*S.AIR_COLUMNS)
+    return hours.select(*S.AIR_COLUMNS)
 
 
 def station_weather(events: DataFrame) -> DataFrame:
     """One row per station and hour with any event."""
-    hours = events.groupBy(
-        F.col("user_id").cast("string").alias(STATION), trunc_hour(F.col("ts")).alias(S.TIME)
-    ).agg(*[_signal(*_open(name, spec)).alias(name) for name, spec in WEATHER_SIGNALS.items()])
-    return _weather_columns(hours, (STATION,))
+    hours = events.sparkSession.sql(
+        f"""SELECT string(user_id) AS {STATION}, {_HOUR} AS {S.TIME}, {_signals("weather", True)}
+        FROM {{events}} GROUP BY 1, 2""",
+        events=events,
+    )
+    return hours.select(STATION, *S.WEATHER_COLUMNS)
 
 
 def station_air(events: DataFrame) -> DataFrame:
-    """One row per station and hour with any event but a ``view``."""
-    hours = events.where("event_type <> 'view'").groupBy(
-        F.col("user_id").cast("string").alias(STATION), trunc_hour(F.col("ts")).alias(S.TIME)
-    ).agg(
-        F.count(F.when(F.col("event_type") != "click", F.lit(1))).alias("_n"),
-        *[_signal(*_open(name, spec)).alias(name) for name, spec in AIR_SIGNALS.items()],
+    """One row per station and hour with any event but a ``view``.
+
+    Stations only report PM2.5 in hours with something besides clicks.
+    """
+    kept = ", ".join(c for c in S.AIR_COLUMNS if c != "PM2_5")
+    hours = events.sparkSession.sql(
+        f"""SELECT {STATION}, {kept}, if(_n > 0, PM2_5, NULL) AS PM2_5 FROM (
+          SELECT string(user_id) AS {STATION}, {_HOUR} AS {S.TIME},
+            {_signals("airquality", True)}, count_if(event_type <> 'click') AS _n
+          FROM {{events}} WHERE event_type <> 'view' GROUP BY 1, 2)""",
+        events=events,
     )
-    # Stations only report PM2.5 in hours with something besides clicks.
-    pm = F.when(F.col("_n") > 0, F.col("PM2_5"))
-    return hours.withColumn("PM2_5", pm).select(STATION, *S.AIR_COLUMNS)
-
-
-def _open(name: str, spec: tuple[str, str]) -> tuple[str, str]:
-    """Station hours hold about one event, so the model columns take any type."""
-    modelled = {*S.CLASSIFIER_WEATHER, *S.ANOMALY_AIR}
-    return (spec[0], "any") if name in modelled else spec
-
-
-def _weather_columns(hours: DataFrame, series: tuple[str, ...] = ()) -> DataFrame:
-    daylight = F.hour(S.TIME).between(6, 17).cast("int")
-    return hours.withColumn("IS_DAY_FLAG", daylight).select(*series, *S.WEATHER_COLUMNS)
+    return hours.select(STATION, *S.AIR_COLUMNS)
 
 
 def event_weather(events: DataFrame) -> DataFrame:
     """The long series: each event is one observation of every weather measure."""
-    columns = {name: F.col("value") for name in WEATHER_SIGNALS}
-    columns["IS_DAY_FLAG"] = F.hour("ts").between(6, 17).cast("int")
-    return events.select(
-        F.col("ts").alias(S.TIME), *[columns[c].alias(c) for c in S.WEATHER_MEASURES]
+    columns = {**dict.fromkeys(WEATHER_SIGNALS, "value"), "IS_DAY_FLAG": _DAYLIGHT}
+    return events.selectExpr(
+        f"ts AS {S.TIME}", *[f"{columns[c]} AS {c}" for c in S.WEATHER_MEASURES]
     )
 
 
 def event_air(events: DataFrame) -> DataFrame:
     """Air side of the long series; ``signup`` events carry no PM2.5 reading."""
-    columns = {name: F.col("value") for name in AIR_SIGNALS}
-    columns["PM2_5"] = F.when(F.col("event_type") != "signup", F.col("value"))
-    columns["US_AQI"] = F.col("value") * 2
-    return events.select(F.col("ts").alias(S.TIME), *[columns[c].alias(c) for c in S.AIR_MEASURES])
+    columns = dict.fromkeys(AIR_SIGNALS, "value")
+    columns["PM2_5"] = "if(event_type <> 'signup', value, NULL)"
+    columns["US_AQI"] = "value * 2"
+    return events.selectExpr(f"ts AS {S.TIME}", *[f"{columns[c]} AS {c}" for c in S.AIR_MEASURES])
 
 
 def load_time(events: DataFrame) -> Column:
@@ -148,9 +156,6 @@ def load_time(events: DataFrame) -> Column:
 
 def split_feeds(events: DataFrame, weather: DataFrame, air: DataFrame) -> Feeds:
     """History before the latest hour, realtime at it."""
-    from airmart.operators.coerce import before_cutoff
-    from airmart.functions import this_hour
-
     now = load_time(events)
     here = F.col(S.TIME) == this_hour(now)
     return Feeds(
