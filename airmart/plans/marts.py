@@ -6,15 +6,20 @@ Each function takes raw or staged tables and returns a lazy DataFrame. With
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from datetime import datetime
+
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from airmart import schemas as S
-from airmart.functions import aqi_band, calendar_parts, next_hour_class, temperature_band
+from airmart.functions import (
+    aqi_band, calendar_parts, next_hour_class, temperature_band, time_column,
+)
 from airmart.operators.latest import latest_rows
 from airmart.operators.windows import Features, with_windows
 
 ROLL_ROWS = 25  # fixed value: the current row and 24 before it
 RECENT_ROWS = 48  # fixed value: history rows kept for scoring
+SLICE_DAYS = (4, 32, 256)  # recent time tried before the whole history
 
 
 def fact_hourly(
@@ -76,13 +81,26 @@ def classifier_training(
     extra_features: bool = False,
     **blocks: int,
 ) -> DataFrame:
-    """Features of each history hour and the class of the next one.
+    """Features of each history hour and the class of the next one."""
+    joined = common_hours(weather, air, S.CLASSIFIER_AIR, series)
+    return classifier_rows(joined, series, strategy, strict_label, extra_features, **blocks)
+
+
+def classifier_rows(
+    joined: DataFrame,
+    series: tuple[str, ...] = (),
+    strategy: str = "auto",
+    strict_label: bool = False,
+    extra_features: bool = False,
+    **blocks: int,
+) -> DataFrame:
+    """Training rows from common hours.
 
     Hours without PM2.5 leave before the windows, so lags and averages step
     over them. An unknown next reading counts as the last class; with
     ``strict_label`` such rows are dropped instead.
     """
-    base = common_hours(weather, air, S.CLASSIFIER_AIR, series).where(F.col("PM2_5").isNotNull())
+    base = joined.where(F.col("PM2_5").isNotNull())
     features = {
         **pm_features(extra_features),
         "_next_aqi": lambda w: F.lead("US_AQI", 1).over(w),
@@ -99,6 +117,30 @@ def classifier_training(
     )
 
 
+def recent_common_hours(
+    weather: DataFrame,
+    air: DataFrame,
+    series: tuple[str, ...] = (),
+    now: datetime | Column | None = None,
+) -> DataFrame:
+    """The latest ``RECENT_ROWS`` common hours, counted after the join.
+
+    With ``now`` and a single series, growing slices of recent time are tried
+    first. A slice that holds enough rows holds the latest ones, and its bound
+    reaches the scans of both tables, so old files stay unread. Many series
+    take one pass over everything: some may have ended long ago.
+    """
+    if now is not None and not series:
+        for days in SLICE_DAYS:
+            since = F.col(S.TIME) >= time_column(now) - F.expr(f"INTERVAL {days} DAYS")
+            joined = common_hours(weather.where(since), air.where(since), S.CLASSIFIER_AIR)
+            recent = latest_rows(joined, RECENT_ROWS, [S.TIME])
+            if recent.count() == RECENT_ROWS:
+                return recent
+    joined = common_hours(weather, air, S.CLASSIFIER_AIR, series)
+    return latest_rows(joined, RECENT_ROWS, [S.TIME], series)
+
+
 def classifier_inference(
     weather_history: DataFrame,
     air_history: DataFrame,
@@ -107,6 +149,7 @@ def classifier_inference(
     series: tuple[str, ...] = (),
     extra_features: bool = False,
     diagnostics: bool = False,
+    now: datetime | Column | None = None,
 ) -> DataFrame:
     """Features of the latest row of recent history plus the current hour.
 
@@ -114,13 +157,10 @@ def classifier_inference(
     ``diagnostics`` adds ``IS_REALTIME`` to tell them apart. When both hold the
     same hour the current one wins.
     """
-    recent = latest_rows(
-        common_hours(weather_history, air_history, S.CLASSIFIER_AIR, series),
-        RECENT_ROWS, [S.TIME], series,
-    )
-    now = common_hours(weather_now, air_now, S.CLASSIFIER_AIR, series)
+    recent = recent_common_hours(weather_history, air_history, series, now)
+    current = common_hours(weather_now, air_now, S.CLASSIFIER_AIR, series)
     rows = recent.withColumn("IS_REALTIME", F.lit(False)).unionByName(
-        now.withColumn("IS_REALTIME", F.lit(True))
+        current.withColumn("IS_REALTIME", F.lit(True))
     )
     # At most RECENT_ROWS history rows per series, so one window task per series is bounded.
     windowed = with_windows(

@@ -18,6 +18,7 @@ from airmart.operators.coerce import before_cutoff, current_hour
 from airmart.operators.dedup import unite
 from airmart.operators.store import VersionedStore, create_views
 from airmart.plans import anomaly, classify, datasets, marts
+from airmart.session import scratch_scope
 from airmart.sources.payload import POSITION, hourly_table, read_landing
 from airmart.streaming.hourly import REALTIME_GROUP, REALTIME_TABLES
 
@@ -95,25 +96,25 @@ class Refresh:
         return views
 
     def build(self) -> None:
-        o = self.options
+        o, store = self.options, self.store
         stage = self.staging()
         weather, weather_now = self.raw("weather")
         air, air_now = self.raw("airquality")
-        tables = {
-            "fact_hourly": marts.fact_hourly(
-                stage["stg_weather"], stage["stg_airquality"], o.series, o.unknown_label
-            ),
-            "classifier_training": marts.classifier_training(
-                weather, air, o.series, o.strategy, o.strict_label
-            ),
-            "classifier_inference": marts.classifier_inference(
-                weather, air, weather_now, air_now, o.series
-            ),
-            "anomaly_training": marts.anomaly_rows(weather, air, o.series),
-            "anomaly_inference": marts.anomaly_rows(weather_now, air_now, o.series),
-        }
-        for name, df in tables.items():
-            self.store.refresh(name, df)
+        fact = marts.fact_hourly(
+            stage["stg_weather"], stage["stg_airquality"], o.series, o.unknown_label
+        )
+        store.refresh("fact_hourly", fact)
+        store.refresh("anomaly_training", marts.anomaly_rows(weather, air, o.series))
+        store.refresh("anomaly_inference", marts.anomaly_rows(weather_now, air_now, o.series))
+        # The detector's rows are the join the classifier needs: do not join history twice.
+        joined = store.read("anomaly_training").withColumnRenamed("TS", S.TIME).drop("PM10")
+        with scratch_scope(self.spark):
+            training = marts.classifier_rows(joined, o.series, o.strategy, o.strict_label)
+            store.refresh("classifier_training", training)
+        inference = marts.classifier_inference(
+            weather, air, weather_now, air_now, o.series, now=self.now
+        )
+        store.refresh("classifier_inference", inference)
 
     def check(self) -> None:
         quality.gate(self.staging(), self.options.series)

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_roots: dict[str, str] = {}
+_scopes: list[list[str]] = []
 
 
 def build_session(app: str = "airmart", master: str | None = None, **conf: str) -> SparkSession:
@@ -22,6 +25,11 @@ def build_session(app: str = "airmart", master: str | None = None, **conf: str)
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Stream state beyond executor heap: one entry per station and hour within the watermark.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     if master:
         builder = builder.master(master)
@@ -49,13 +57,35 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the scratch folder, removed when the driver JVM ends."""
+    """A new path below the scratch folder.
+
+    Removed when the surrounding ``scratch_scope`` ends, or else with the driver JVM.
+    """
     path = f"{scratch_root(spark)}/airmart/{label}-{uuid.uuid4().hex}"
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
+    fs, hadoop_path = _file_system(spark, path)
+    fs.deleteOnExit(hadoop_path)
+    if _scopes:
+        _scopes[-1].append(path)
     return path
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Remove scratch tables made inside as soon as their results are written."""
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            fs, hadoop_path = _file_system(spark, path)
+            fs.delete(hadoop_path, True)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once and return a scan of the written table.
 

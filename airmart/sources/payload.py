@@ -36,16 +36,19 @@ def read_landing(
     now: datetime | Column | None = None,
     date_column: str = "obs_date",
     series: tuple[str, ...] = (),
+    multi_line: bool = False,
 ) -> DataFrame:
     """Payload rows of a landing folder.
 
     With ``now`` the folder is expected in ``obs_date=YYYY-MM-DD`` folders and
-    only those a history load would request are listed and read.
+    only those a history load would request are read. Files hold one object per
+    line; ``multi_line`` reads one object per file however it is laid out.
     """
+    reader = spark.read.option("multiLine", multi_line)
     schema = S.payload_schema(kind, series)
     if now is None:
-        return spark.read.schema(schema).json(path)
-    dated = spark.read.schema(schema.add(date_column, "date")).json(path)
+        return reader.schema(schema).json(path)
+    dated = reader.schema(schema.add(date_column, "date")).json(path)
     return dated.where(in_request_range(F.col(date_column), now, kind)).drop(date_column)
 
 

@@ -265,3 +265,25 @@ def test_anomaly_rows_drop_missing_pm(spark):
         "TS", "TEMPERATURE", "HUMIDITY", "WIND_SPEED", "PRESSURE", "PM2_5", "PM10", "US_AQI",
     ]
     assert column(mart, "TS", "TS") == [at(1), at(2)]
+
+
+def test_recent_slices_equal_the_whole_history(spark):
+    """Enough rows in the first slice, in a later one, or nowhere."""
+    from datetime import timedelta
+
+    for step in (1, 9, 200):
+        hours = [-step * i for i in range(60)]
+        weather = table(spark, "weather", [{"h": h, "TEMPERATURE": h} for h in hours])
+        air = table(spark, "airquality", [{"h": h} for h in hours if h % 2 == 0])
+        whole = marts.recent_common_hours(weather, air)
+        sliced = marts.recent_common_hours(weather, air, now=at(0) + timedelta(minutes=30))
+        assert whole.exceptAll(sliced).count() == 0 and whole.count() == sliced.count()
+
+
+def test_recent_slice_bounds_reach_the_scans(spark, tmp_path):
+    for kind in ("weather", "airquality"):
+        table(spark, kind, [{"h": h} for h in range(500)]).write.parquet(str(tmp_path / kind))
+    sides = [spark.read.parquet(str(tmp_path / kind)) for kind in ("weather", "airquality")]
+    recent = marts.recent_common_hours(*sides, now=at(500))
+    plan = recent._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("GreaterThanOrEqual(OBSERVATION_TIME") == 2

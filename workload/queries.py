@@ -212,6 +212,15 @@ def clf_inference(spark, sf_dir):
     return rounded(mart, "PM25_ROLL24")
 
 
+def clf_inference_recent(spark, sf_dir):
+    """The same from recent slices of history."""
+    f = _hourly(spark, sf_dir)
+    mart = marts.classifier_inference(
+        f.weather_history, f.air_history, f.weather_now, f.air_now, now=f.now
+    )
+    return rounded(mart, "PM25_ROLL24")
+
+
 def clf_inference_by_station(spark, sf_dir):
     f = _stations(spark, sf_dir)
     mart = marts.classifier_inference(
@@ -498,7 +507,7 @@ def all_queries() -> dict[str, Query]:
         landing_range, history_cutoff, current_hour_weather, current_hour_airquality,
         fact_hourly, fact_by_station, clf_training, clf_training_strict_label,
         clf_training_by_station, clf_training_blocked, clf_training_by_station_blocked,
-        clf_inference, clf_inference_by_station, anomaly_training, anomaly_inference,
+        clf_inference, clf_inference_recent, clf_inference_by_station, anomaly_training, anomaly_inference,
         feat_doc_only, dq_unique, dq_unique_airquality, dq_not_null, dq_summary,
         ds_aqi_series, ds_aqi_hourly, ds_heatmap, ds_heatmap_grid, ds_wind_scatter, ds_wind_bins,
         ds_wind_trend, ds_hist_vs_rt, ds_drivers, anomaly_hourly_band, clf_predict, clf_backcast,
