@@ -82,16 +82,20 @@ def history_vs_now(
 ) -> DataFrame:
     """Current readings beside the history average of the same hour of day.
 
-    ``history`` and ``now`` are air-quality tables. Averages come down to 24
-    rows per series before the join.
+    ``history`` and ``now`` are air-quality tables. Only hours of day with a
+    current reading are averaged, usually one of the 24.
     """
-    keys = [*series, "HOUR_OF_DAY"]
     hour = F.hour(S.TIME).alias("HOUR_OF_DAY")
-    usual = history.groupBy(*series, hour).agg(
-        *[F.avg(m).alias(f"USUAL_{m}") for m in measures], F.count(F.lit(1)).alias("N_HOURS")
-    )
     current = now.select(*series, S.TIME, hour, *measures)
-    compared = current.join(usual, keys, "left")
+    wanted = current.select("HOUR_OF_DAY").distinct()
+    usual = (
+        history.select(*series, hour, *measures)
+        # Distinct hours of day: 24 rows at most.
+        .join(F.broadcast(wanted), "HOUR_OF_DAY", "left_semi")
+        .groupBy(*series, "HOUR_OF_DAY")
+        .agg(*[F.avg(m).alias(f"USUAL_{m}") for m in measures], F.count(F.lit(1)).alias("N_HOURS"))
+    )
+    compared = current.join(usual, [*series, "HOUR_OF_DAY"], "left")
     gaps = [(F.col(m) - F.col(f"USUAL_{m}")).alias(f"GAP_{m}") for m in measures]
     return compared.select("*", *gaps)
 

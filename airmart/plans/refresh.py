@@ -33,6 +33,9 @@ class Options:
 
     series: tuple[str, ...] = ()
     dedup: str = "unified"
+    # "table" ranks the union once and lets fact and checks read the result;
+    # "view" repeats the ranking in each of them and stores nothing.
+    staging: str = "table"
     strategy: str = "auto"
     strict_label: bool = False
     strict_realtime: bool = False
@@ -87,17 +90,23 @@ class Refresh:
         history = self.store.read(HISTORY_TABLES[kind])
         return history, self.store.read(REALTIME_TABLES[kind], REALTIME_GROUP)
 
-    def staging(self) -> dict[str, DataFrame]:
+    def stage(self) -> None:
+        """Unite both loads of each kind and expose them as session views."""
         o = self.options
-        views = {
-            f"stg_{kind}": unite(*self.raw(kind), o.dedup, o.series) for kind in S.FIELDS
-        }
+        views = {f"stg_{kind}": unite(*self.raw(kind), o.dedup, o.series) for kind in S.FIELDS}
+        if o.staging == "table":
+            for name, df in views.items():
+                self.store.refresh(name, df)
+            views = {name: self.store.read(name) for name in views}
         create_views(views)
-        return views
+
+    def staged(self) -> dict[str, DataFrame]:
+        return {f"stg_{kind}": self.spark.table(f"stg_{kind}") for kind in S.FIELDS}
 
     def build(self) -> None:
         o, store = self.options, self.store
-        stage = self.staging()
+        self.stage()
+        stage = self.staged()
         weather, weather_now = self.raw("weather")
         air, air_now = self.raw("airquality")
         fact = marts.fact_hourly(
@@ -117,7 +126,7 @@ class Refresh:
         store.refresh("classifier_inference", inference)
 
     def check(self) -> None:
-        quality.gate(self.staging(), self.options.series)
+        quality.gate(self.staged(), self.options.series)
 
     # -- models ----------------------------------------------------------
 
