@@ -5,24 +5,33 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
+MAX_RANKED_ROWS = 1_000_000  # survivors of one series that may meet in one task
+SALTS = 32
+
+
 def latest_rows(
     df: DataFrame,
     k: int,
     order: list[str],
     series: tuple[str, ...] = (),
-    salts: int = 32,
+    salts: int | None = None,
 ) -> DataFrame:
     """The ``k`` rows latest by ``order``; remaining columns break ties.
 
-    Overall: each task keeps k rows and one merges them. Per series: ranks run
-    first within ``salts`` slices of a series and then over the survivors, so
-    the final rank of any series sees at most ``k * salts`` rows.
+    Overall: each task keeps k rows and one merges them. Per series: each task
+    keeps k rows per series before the shuffle, so even a series that holds most
+    rows sends k per task to its final rank. Where there are so many tasks that
+    this adds up, ranks run first within salted slices of a series, for one more
+    shuffle of the survivors; ``salts`` forces the number of slices.
     """
     ties = [c for c in df.columns if c not in (*series, *order)]
     latest: list[Column] = [F.col(c).desc_nulls_last() for c in order]
     latest += [F.col(c).asc_nulls_last() for c in ties]
     if not series:
         return df.orderBy(*latest).limit(k)
+    if salts is None:
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salts = SALTS if k * tasks > MAX_RANKED_ROWS else 1
     if salts > 1:
         salt = F.pmod(F.xxhash64(*order, *ties), F.lit(salts))
         df = _top(df.withColumn("_salt", salt), k, [*series, "_salt"], latest).drop("_salt")

@@ -16,7 +16,7 @@ from airmart import schemas as S
 from airmart.operators import quality
 from airmart.operators.coerce import before_cutoff, current_hour
 from airmart.operators.dedup import unite
-from airmart.operators.store import VersionedStore, create_views
+from airmart.operators.store import VersionedStore, create_views, publish_view
 from airmart.plans import anomaly, classify, datasets, marts
 from airmart.session import scratch_scope
 from airmart.sources.payload import POSITION, hourly_table, read_landing
@@ -24,6 +24,28 @@ from airmart.streaming.hourly import REALTIME_GROUP, REALTIME_TABLES
 
 log = logging.getLogger(__name__)
 
+# Database of each table's view; a table of a shared group names the group.
+LAYERS = {
+    "raw": {
+        "raw_weather_history": None,
+        "raw_airquality_history": None,
+        "raw_weather_realtime": REALTIME_GROUP,
+        "raw_airquality_realtime": REALTIME_GROUP,
+    },
+    "staging": {"stg_weather": None, "stg_airquality": None},
+    "analytics": {
+        "fact_hourly": None,
+        "classifier_training": None,
+        "classifier_inference": None,
+        "anomaly_training": None,
+        "anomaly_inference": None,
+        "final_prediction_clean": None,
+        "final_prediction_historical": None,
+        "realtime_anomaly_preds": None,
+    },
+}
+KEEP_VERSIONS = 2
+
 HISTORY_TABLES = {"weather": "raw_weather_history", "airquality": "raw_airquality_history"}
 
 
@@ -169,6 +191,22 @@ class Refresh:
         for name, df in tables.items():
             self.store.refresh(name, df)
 
+    def publish_views(self) -> list[str]:
+        """Name every stored table in the catalog, one database per layer."""
+        names = []
+        for database, tables in LAYERS.items():
+            self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+            for table, group in tables.items():
+                if self.store.exists(group or table):
+                    publish_view(self.store, table, f"{database}.{table}", group)
+                    names.append(f"{database}.{table}")
+        return names
+
+    def prune(self) -> None:
+        """Drop all but the newest versions; one older stays for running readers."""
+        for group in self.store.groups():
+            self.store.prune(group, KEEP_VERSIONS)
+
     def run(self) -> None:
         """All stages; a failed check stops the run before any model is trained."""
         self.load_history("weather")
@@ -179,6 +217,7 @@ class Refresh:
         self.run_anomaly()
         self.run_classifier()
         self.publish_datasets()
+        self.prune()
 
 
 def _require_measures(rows: DataFrame, kind: str) -> DataFrame:

@@ -9,6 +9,8 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
 _local_roots: dict[str, str] = {}
 _scopes: list[list[str]] = []
 
@@ -25,14 +27,12 @@ def build_session(app: str = "airmart", master: str | None = None, **conf: str)
         .config("spark.sql.ansi.enabled", "true")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        # Stream state beyond executor heap: one entry per station and hour within the watermark.
-        .config(
-            "spark.sql.streaming.stateStore.providerClass",
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-        )
     )
     if master:
         builder = builder.master(master)
+    if not (master or "").startswith("local"):
+        # On a cluster, stream state (an entry per station and hour) may outgrow the heap.
+        builder = builder.config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

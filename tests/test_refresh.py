@@ -74,6 +74,28 @@ def test_staging_as_views_gives_the_same_fact(spark, run):
     assert before.exceptAll(after).count() == 0 and after.exceptAll(before).count() == 0
 
 
+def test_catalog_views_follow_the_newest_version(spark, run):
+    names = run.publish_views()
+    assert "raw.raw_weather_realtime" in names and "analytics.fact_hourly" in names
+    assert spark.table("raw.raw_weather_history").count() == HOURS
+    fact = spark.sql("SELECT count(*) FROM analytics.fact_hourly WHERE TEMP_CATEGORY = 'Normal'")
+    assert 0 < fact.first()[0] <= HOURS + 1
+    run.store.refresh("anomaly_inference", run.store.read("anomaly_inference").limit(0))
+    run.publish_views()
+    assert spark.table("analytics.anomaly_inference").count() == 0
+    run.build()
+    for database in ("raw", "staging", "analytics"):
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+
+
+def test_prune_keeps_two_versions(run):
+    for _ in range(2):
+        run.build()
+    run.prune()
+    assert len(run.store._committed("fact_hourly")) == 2
+    assert run.store.read("fact_hourly").count() == HOURS + 1
+
+
 def test_prediction_is_for_the_current_hour(run):
     row = run.store.read("final_prediction_clean").first()
     assert row.OBSERVATION_TIME == at(HOURS) and row.PREDICTED_CLASS in S.CLASS_NAMES

@@ -233,7 +233,7 @@ def test_recent_history_counts_joined_rows(spark):
 def test_latest_rows_per_series_match_a_plain_rank(spark):
     rows = [{"h": h, "station": s} for s, n in (("hot", 400), ("b", 5), ("c", 1)) for h in range(n)]
     df = table(spark, "weather", rows, ("station",))
-    for salts in (1, 7):
+    for salts in (None, 1, 7):
         got = latest_rows(df, 48, ["OBSERVATION_TIME"], ("station",), salts)
         counts = {r.station: (r.n, r.first) for r in got.groupBy("station").agg(
             F.count("*").alias("n"), F.min("OBSERVATION_TIME").alias("first")).collect()}

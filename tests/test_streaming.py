@@ -6,6 +6,7 @@ import pytest
 
 from airmart import schemas as S
 from airmart.operators.store import VersionedStore
+from airmart.session import ROCKSDB_STATE
 from airmart.streaming import hourly as streams
 from tests.helpers import at, column
 
@@ -86,7 +87,16 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert [r.RAIN for r in before] == [4.0]
 
 
-def test_once_per_hour_and_join(spark, tmp_path):
+@pytest.fixture(params=["heap", "rocksdb"])
+def state_store(spark, request):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    if request.param == "rocksdb":
+        spark.conf.set(key, ROCKSDB_STATE)
+    yield request.param
+    spark.conf.unset(key)
+
+
+def test_once_per_hour_and_join(spark, tmp_path, state_store):
     landing = tmp_path / "in"
     for kind in S.FIELDS:
         deliver(landing, kind, "a.json", range(0, 6))

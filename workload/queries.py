@@ -464,17 +464,28 @@ def _land(spark, sf_dir, times: int) -> str:
     tables = {"weather": sensors.station_weather(events), "airquality": sensors.station_air(events)}
     for kind, table in tables.items():
         lines = _station_payload(table, kind).drop("obs_date")
+        if times > 1:
+            lines = materialize(lines, "lines")
         for _ in range(times):
             lines.write.mode("append").json(f"{root}/{kind}")
     return root
 
 
+def _stream_session(spark: SparkSession) -> SparkSession:
+    """A stream keeps its partition count for life, so set it by cores, not by batch habits."""
+    child = spark.newSession()
+    child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    return child
+
+
 def stream_snapshot(spark, sf_dir):
     """Latest hour per station after all payload files have streamed in."""
     root = _land(spark, sf_dir, times=1)
     now = spark.range(1).select(sensors.load_time(sensors.read_events(spark, sf_dir))).first()[0]
+    session = _stream_session(spark)
     weather, air = (
-        streams.payload_stream(spark, f"{root}/{kind}", kind, STATION) for kind in S.FIELDS
+        streams.payload_stream(session, f"{root}/{kind}", kind, STATION) for kind in S.FIELDS
     )
     store = scratch_path(spark, "store")
     checkpoint = scratch_path(spark, "checkpoint")
@@ -488,9 +499,10 @@ def stream_snapshot(spark, sf_dir):
 def stream_hours_joined(spark, sf_dir):
     """Both feeds delivered twice, de-duplicated and joined as streams."""
     root = _land(spark, sf_dir, times=2)
+    session = _stream_session(spark)
     weather, air = (
         streams.once_per_hour(
-            streams.payload_stream(spark, f"{root}/{kind}", kind, STATION), "60 days", STATION
+            streams.payload_stream(session, f"{root}/{kind}", kind, STATION), "60 days", STATION
         )
         for kind in S.FIELDS
     )
