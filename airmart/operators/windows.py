@@ -100,10 +100,13 @@ def blocked(
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     columns = df.columns
 
-    # Rows in global order, written once: ids and counts come from the same data.
+    # Rows in global order, written once: ids and counts come from the same data. Only
+    # identical rows tie; the task they come from spreads even those over the ranges.
     keys = [*[F.col(s).asc_nulls_last() for s in series], *total_order(df, order, series)]
-    ordered = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    staged = materialize(ordered.withColumn("_pos", F.monotonically_increasing_id()), "ordered")
+    tagged = df.withColumn("_task", F.spark_partition_id())
+    ordered = tagged.repartitionByRange(n, *keys, "_task").sortWithinPartitions(*keys, "_task")
+    numbered = ordered.drop("_task").withColumn("_pos", F.monotonically_increasing_id())
+    staged = materialize(numbered, "ordered")
     part = F.shiftright("_pos", _POSITION_BITS)
 
     # One row per range partition, so at most n rows: safe in one task and to broadcast.

@@ -19,7 +19,7 @@ from airmart.operators.dedup import unite
 from airmart.operators.store import VersionedStore, create_views, publish_view
 from airmart.plans import anomaly, classify, datasets, marts
 from airmart.session import scratch_scope
-from airmart.sources.payload import POSITION, hourly_table, read_landing
+from airmart.sources.payload import LANDING_DATE, POSITION, hourly_table, read_landing
 from airmart.streaming.hourly import REALTIME_GROUP, REALTIME_TABLES
 
 log = logging.getLogger(__name__)
@@ -84,10 +84,12 @@ class Refresh:
     def load_history(self, kind: str) -> int:
         payload = read_landing(
             self.spark, f"{self.landing}/{kind}_history", kind, self.now,
-            series=self.options.series,
+            series=self.options.series, keep_date=True,
         )
-        rows = before_cutoff(hourly_table(payload, kind, self.options.series), self.now)
-        return self.store.refresh_if_nonempty(HISTORY_TABLES[kind], rows)
+        # Output files keep the landing's days apart, at no shuffle: time filters then skip files.
+        keep = (LANDING_DATE, *self.options.series)
+        rows = before_cutoff(hourly_table(payload, kind, keep), self.now)
+        return self.store.refresh_if_nonempty(HISTORY_TABLES[kind], rows, (LANDING_DATE,))
 
     def load_realtime(self) -> dict[str, int]:
         tables = {}

@@ -11,6 +11,7 @@ from airmart.functions import iso_text, time_column
 from airmart.operators.coerce import conform
 
 POSITION = "_pos"
+LANDING_DATE = "obs_date"
 
 
 def request_range(now: datetime | Column, kind: str) -> tuple[Column, Column]:
@@ -34,9 +35,10 @@ def read_landing(
     path: str,
     kind: str,
     now: datetime | Column | None = None,
-    date_column: str = "obs_date",
+    date_column: str = LANDING_DATE,
     series: tuple[str, ...] = (),
     multi_line: bool = False,
+    keep_date: bool = False,
 ) -> DataFrame:
     """Payload rows of a landing folder.
 
@@ -49,7 +51,8 @@ def read_landing(
     if now is None:
         return reader.schema(schema).json(path)
     dated = reader.schema(schema.add(date_column, "date")).json(path)
-    return dated.where(in_request_range(F.col(date_column), now, kind)).drop(date_column)
+    wanted = dated.where(in_request_range(F.col(date_column), now, kind))
+    return wanted if keep_date else wanted.drop(date_column)
 
 
 def explode_hourly(

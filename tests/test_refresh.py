@@ -4,6 +4,7 @@ import json
 from datetime import timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from airmart import schemas as S
 from airmart.operators.quality import QualityError
@@ -53,6 +54,16 @@ def test_raw_tables(run):
         assert [r.OBSERVATION_TIME for r in now.collect()] == [at(HOURS)]
 
 
+def test_history_files_keep_days_apart(run):
+    history = run.store.read("raw_weather_history")
+    assert "obs_date" not in history.columns and history.schema == S.table_schema("weather")
+    assert all("obs_date=" in f for f in history.inputFiles())
+    days = history.select(
+        F.input_file_name().alias("f"), F.to_date(S.TIME).alias("d")
+    ).distinct().groupBy("f").count()
+    assert days.agg(F.max("count")).first()[0] == 1
+
+
 def test_all_tables_exist(run):
     sizes = {
         "fact_hourly": HOURS + 1, "classifier_training": HOURS - 2, "classifier_inference": 1,

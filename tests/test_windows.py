@@ -108,3 +108,15 @@ def test_empty_input(spark):
     for series in ((), ("s",)):
         plain, cut = both(df, series, 30, 4)
         assert cut.count() == 0 and cut.columns == plain.columns
+
+
+def test_identical_rows_spread_over_the_ranges(spark):
+    """A third of the rows are copies of one row; no range partition may take them all."""
+    copies = frame(spark, [("a", 5, 5)] * 600).repartition(8)
+    others = frame(spark, [("a", i % 50, i) for i in range(1200)]).repartition(8)
+    df = copies.unionByName(others)
+    assert same(*both(df, ("s",), 60, 8))
+    tagged = df.withColumn("_task", F.spark_partition_id())
+    ranged = tagged.repartitionByRange(8, "s", "t", "v", "_task")
+    sizes = ranged.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert sizes < 600
