@@ -76,6 +76,13 @@ def wind_trend(fact: DataFrame) -> DataFrame:
     )
 
 
+def by_source(history: DataFrame, now: DataFrame) -> DataFrame:
+    """Rows of both loads, tagged by origin."""
+    return history.withColumn("SOURCE", F.lit("history")).unionByName(
+        now.withColumn("SOURCE", F.lit("realtime"))
+    )
+
+
 def history_vs_now(
     history: DataFrame, now: DataFrame, measures: tuple[str, ...] = ("US_AQI", "PM2_5"),
     series: tuple[str, ...] = (),

@@ -57,16 +57,18 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new path below the scratch folder.
+    """A new path below the scratch folder; nothing exists there yet.
 
     Removed when the surrounding ``scratch_scope`` ends, or else with the driver JVM.
     """
-    path = f"{scratch_root(spark)}/airmart/{label}-{uuid.uuid4().hex}"
-    fs, hadoop_path = _file_system(spark, path)
+    folder = f"{scratch_root(spark)}/airmart/{label}-{uuid.uuid4().hex}"
+    fs, hadoop_path = _file_system(spark, folder)
+    # Only what exists can be marked for removal, so the path handed out lies below.
+    fs.mkdirs(hadoop_path)
     fs.deleteOnExit(hadoop_path)
     if _scopes:
-        _scopes[-1].append(path)
-    return path
+        _scopes[-1].append(folder)
+    return f"{folder}/data"
 
 
 @contextmanager
@@ -76,8 +78,8 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        for path in _scopes.pop():
-            fs, hadoop_path = _file_system(spark, path)
+        for folder in _scopes.pop():
+            fs, hadoop_path = _file_system(spark, folder)
             fs.delete(hadoop_path, True)
 
 

@@ -321,6 +321,11 @@ def ds_hist_vs_rt(spark, sf_dir):
     return rounded(compared, "USUAL_US_AQI", "USUAL_PM2_5", "GAP_US_AQI", "GAP_PM2_5")
 
 
+def ds_by_source(spark, sf_dir):
+    f = _stations(spark, sf_dir)
+    return datasets.by_source(f.air_history, f.air_now)
+
+
 def ds_drivers(spark, sf_dir):
     return rounded(datasets.pollution_drivers(fact_by_station(spark, sf_dir)), "CORRELATION")
 
@@ -522,7 +527,7 @@ def all_queries() -> dict[str, Query]:
         clf_inference, clf_inference_recent, clf_inference_by_station, anomaly_training, anomaly_inference,
         feat_doc_only, dq_unique, dq_unique_airquality, dq_not_null, dq_summary,
         ds_aqi_series, ds_aqi_hourly, ds_heatmap, ds_heatmap_grid, ds_wind_scatter, ds_wind_bins,
-        ds_wind_trend, ds_hist_vs_rt, ds_drivers, anomaly_hourly_band, clf_predict, clf_backcast,
+        ds_wind_trend, ds_hist_vs_rt, ds_by_source, ds_drivers, anomaly_hourly_band, clf_predict, clf_backcast,
         clf_backcast_contract, anomaly_detect, anomaly_detect_contract, ds_alerts, ds_predictions,
         store_full_refresh, store_snapshot_pair, stream_snapshot, stream_hours_joined,
     ]
