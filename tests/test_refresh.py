@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from airmart import schemas as S
 from airmart.operators.quality import QualityError
+from airmart.plans import marts
 from airmart.plans.refresh import Options, Refresh
 from airmart.streaming.hourly import REALTIME_GROUP
 from tests.helpers import at
@@ -158,3 +159,40 @@ def test_strict_realtime_weather(spark, tmp_path):
     assert Refresh(*args).load_realtime() == {"raw_weather_realtime": 1, "raw_airquality_realtime": 1}
     with pytest.raises(Exception, match="RAIN is missing"):
         Refresh(*args, Options(strict_realtime=True)).load_realtime()
+
+
+def test_run_by_station_in_blocks(spark, tmp_path):
+    """Two stations in one landing; keys, windows, models and datasets all go by station."""
+    days = 4
+    for kind in S.FIELDS:
+        for part, hours in (("history", range(24 * days)), ("realtime", range(24 * days, 24 * days + 2))):
+            folder = tmp_path / "landing" / f"{kind}_{part}"
+            if part == "history":
+                folder = folder / f"obs_date={at(0).date()}"
+            folder.mkdir(parents=True)
+            lines = [
+                json.dumps({"station": name, **json.loads(payload(kind, [h + shift for h in hours]))})
+                for name, shift in (("a", 0), ("b", -1))
+            ]
+            (folder / "all.json").write_text("\n".join(lines))
+    options = Options(series=("station",), strategy="blocked")
+    run = Refresh(spark, str(tmp_path / "landing"), str(tmp_path / "store"), at(24 * days + 0.5), options)
+    run.run()
+    hours = 24 * days
+    sizes = {
+        # b starts an hour earlier and its last history hour is an hour older
+        "fact_hourly": 2 * hours + 2, "anomaly_training": 2 * hours,
+        "classifier_training": 2 * (hours - 2), "classifier_inference": 2,
+        "final_prediction_clean": 2, "realtime_anomaly_preds": 2, "ds_history_vs_now": 2,
+    }
+    assert {name: run.store.read(name).count() for name in sizes} == sizes
+    training = run.store.read("classifier_training")
+    assert {r.station: r.n for r in training.groupBy("station").agg(F.count("*").alias("n")).collect()} == {
+        "a": hours - 2, "b": hours - 2,
+    }
+    plain = marts.classifier_rows(
+        run.store.read("anomaly_training").withColumnRenamed("TS", S.TIME).drop("PM10"),
+        ("station",), "series",
+    )
+    rounded = [d.withColumn("PM25_ROLL24", F.round("PM25_ROLL24", 6)) for d in (training, plain)]
+    assert rounded[0].exceptAll(rounded[1]).count() == 0
