@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airmart.llm import pieces, tokens, toxicity
+from airmart.llm import decontaminate, pieces, tokens, toxicity, warc
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -41,6 +41,18 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold 60 % of a benchmark item or more, in whatever order."""
+    found = decontaminate.tilings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "item_id", "n_covered", "n_words", F.size("tiles").cast("long").alias("n_tiles"), F.round("coverage", 6).alias("coverage"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the archive read back gives it."""
+    index = warc.write_archive(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
+    return warc.read_archive(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = docs.select("doc_id", tokens.byte_length("text").alias("n_bytes"), tokens.count_tokens("text", public_tokenizers.path(MODEL)).alias("n_tokens"))
@@ -48,7 +60,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_decontamination, op8_warc, op10_token_counts)}
 
 
 def all_oracles() -> dict[str, str]:
