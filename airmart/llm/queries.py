@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airmart.llm import decontaminate, pieces, tokens, toxicity, warc
+from airmart.llm import decontaminate, neighbours, pieces, tokens, toxicity, warc
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -53,6 +53,11 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archive(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found for every hundredth vector, among all others."""
+    return neighbours.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     counted = docs.select("doc_id", tokens.byte_length("text").alias("n_bytes"), tokens.count_tokens("text", public_tokenizers.path(MODEL)).alias("n_tokens"))
@@ -60,7 +65,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_decontamination, op8_warc, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_decontamination, op8_warc, op9_neighbours, op10_token_counts)}
 
 
 def all_oracles() -> dict[str, str]:
