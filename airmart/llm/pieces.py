@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 from airmart.llm.model_file import BPE, BYTE, MARK, NORMAL, UNIGRAM, Model, USER_DEFINED, read_model
-from airmart.llm.segments import Segments, balanced
+from airmart.llm.segments import Segments, balanced, slices
 
 THREADS = 2
 CHECKED = 8
@@ -200,7 +200,8 @@ def encode(texts: str | Column, path: str, threads: int = THREADS) -> Column:
     def ids_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path, threads)
         for batch in batches:
-            yield id_lists(*own.encode(batch), np.asarray(batch.is_null()))
+            found = [id_lists(*own.encode(part), np.asarray(part.is_null())) for part in slices(batch)]
+            yield pa.concat_arrays([pa.array([], pa.list_(pa.int32())), *found])
 
     return ids_of(texts)
 
@@ -224,8 +225,11 @@ def encode_checked(texts: str | Column, path: str, threads: int = THREADS) -> Co
     def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = codec(path, threads)
         for batch in batches:
-            nulls = np.asarray(batch.is_null())
-            ids, offsets, same = own.encode_parts(batch, True)
-            yield pa.StructArray.from_arrays([id_lists(ids, offsets, nulls), pa.array(same, mask=nulls)], ["ids", "round_trip"])
+            found = [pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())]))]
+            for part in slices(batch):
+                nulls = np.asarray(part.is_null())
+                ids, offsets, same = own.encode_parts(part, True)
+                found.append(pa.StructArray.from_arrays([id_lists(ids, offsets, nulls), pa.array(same, mask=nulls)], ["ids", "round_trip"]))
+            yield pa.concat_arrays(found)
 
     return both(texts)

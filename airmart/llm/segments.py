@@ -71,6 +71,16 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return at[~near]
 
 
+def slices(texts: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
+    """Consecutive parts of a batch of up to `most` bytes each (a longer text is alone), to bound what is held at once."""
+    _, off = text_bytes(texts)
+    at = 0
+    while at < len(texts):
+        to = max(at + 1, int(np.searchsorted(off, off[at] + most, side="right")) - 1)
+        yield texts.slice(at, to - at)
+        at = to
+
+
 def balanced(texts: list[str], most: int) -> Iterator[list[str]]:
     """Consecutive texts, up to `most` characters a batch; a longer one is alone."""
     batch: list[str] = []

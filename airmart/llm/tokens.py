@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
 from airmart.llm.model_file import read_model
-from airmart.llm.segments import Segments, balanced
+from airmart.llm.segments import Segments, balanced, slices
 
 BATCH_SIZE = 1 << 20
 
@@ -69,7 +69,7 @@ def count_tokens(texts: str | Column, path: str) -> Column:
     def lengths(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = counter(path)
         for batch in batches:
-            yield pa.array(own.counts(batch))
+            yield pa.array(np.concatenate([np.zeros(0, np.int64), *map(own.counts, slices(batch))]))
 
     return lengths(texts)
 
