@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airmart.llm import decontaminate, neighbours, pieces, tokens, toxicity, warc
+from airmart.llm import decontaminate, neighbours, pieces, pseudonyms, tokens, toxicity, warc
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
 TOXIC = 0.5
+KEY = "test tables only"  # a real key comes from the caller
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +48,12 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_covered", "n_words", F.size("tiles").cast("long").alias("n_tiles"), F.round("coverage", 6).alias("coverage"))
 
 
+def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text with its personal values replaced, and whether any was."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", pseudonyms.pseudonymise("text", KEY).alias("new"))
+    return docs.select("doc_id", F.coalesce(F.col("new") != F.col("text"), F.lit(False)).alias("changed"), F.col("new").alias("text"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as the archive read back gives it."""
     index = warc.write_archive(table(spark, sf_dir, "pages"), warc.archive_folder(spark))
@@ -65,7 +72,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_decontamination, op8_warc, op9_neighbours, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_decontamination, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts)}
 
 
 def all_oracles() -> dict[str, str]:
