@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airmart.llm import decontaminate, neighbours, pieces, pseudonyms, tokens, toxicity, warc
+from airmart.llm import decontaminate, jaccard, neighbours, pieces, pseudonyms, tokens, toxicity, warc
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -26,6 +26,11 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both.select("doc_id", F.coalesce(F.size("own.ids"), F.lit(0)).cast("long").alias("n_tokens"), "own.round_trip", "own.ids")
 
 
+def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of documents whose five-word shingles are similar by 0.8 or more."""
+    return jaccard.similar_classes(table(spark, sf_dir, "documents"))
+
+
 def trained_on_labels(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model | None:
     """A toxicity model from labelled rows that are not held out."""
     labels = table(spark, sf_dir, "labels").where(~held_out("doc_id"))
@@ -72,7 +77,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op3_toxicity, op5_decontamination, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_jaccard, op3_toxicity, op5_decontamination, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts)}
 
 
 def all_oracles() -> dict[str, str]:
