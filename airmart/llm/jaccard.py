@@ -10,17 +10,16 @@ is shared. The join finds the classes of documents that links connect:
    range, and each bucket tells every batch of documents which of its hashes
    occur twice, and how often. Sets with too few such shingles leave. This runs
    over all texts, and again over the distinct sets that are left.
-3. What is left is searched in blocks by T-occurrence (DivideSkip): an inverted
-   index of the block; of the lists of a set's shingles the longest are put
-   aside, the short ones merged with a heap, and candidates that occur often
-   enough are probed in the long lists by binary search. Whoever reaches the
-   required overlap is a link. First, blocks are formed by two min-hashes of the
-   sets, which joins groups of copies. Then every rarest-first prefix that
-   similar sets must have in common forms the blocks of sets that are in
-   different classes still; so no link between classes is missed, and members of
-   one class are not compared again.
-   A block emits at most one link for each of its sets. Blocks beyond
-   `block_sets` sets are split into parts, and each pair of parts is one block.
+3. Similar sets have a shingle of their rarest-first prefixes in common. Sets that
+   share one, directly or by way of others, are a family, so that every set is
+   in one family only. A family is searched by T-occurrence (DivideSkip) in an
+   inverted index: of the lists of a set's shingles the longest are put aside, the
+   short ones merged with a heap, and candidates that occur often enough are
+   probed in the long lists by binary search. Whoever reaches the required overlap
+   is a link. Sets that are in one class already are not compared again, so a
+   group of copies gives one link for each member. Families beyond `block_sets`
+   sets are split into parts, and each pair of parts is searched as one block.
+4. Links are contracted to classes.
 
 Shingle hashes keep 50 bits in step 2 and 3, and sets are compared by them.
 
@@ -143,11 +142,11 @@ def set_postings(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(post, PACKED)
 
 
-SETS = "id long, n long, s0 long, s1 long, shingles binary, counts binary, low0 long, low1 long"
+SETS = "id long, n long, s0 long, s1 long, shingles binary, counts binary"
 
 
 def shared_shingles(postings: DataFrame, percent: int) -> DataFrame:
-    """Sets of which enough shingles occur in several sets: those shingles, sorted, how many sets have each, and two min-hashes."""
+    """Sets of which enough shingles occur in several sets: those shingles, sorted and how many sets have each."""
     def repeated(group: pa.Table) -> pa.Table:
         bucket = group.column("bucket")[0].as_py()
         if bucket < 0:
@@ -176,50 +175,44 @@ def shared_shingles(postings: DataFrame, percent: int) -> DataFrame:
         ends = np.append(0, np.cumsum(np.bincount(owner, minlength=len(ids))))
         keep = [k for k in range(len(ids)) if ends[k + 1] - ends[k] >= max(1, required(int(size[k]), percent))]
         parts = [slice(ends[k], ends[k + 1]) for k in keep]
-        lows = [np.array([mixed(flat[p] + np.uint64(salt)).min() for p in parts], np.uint64).view(np.int64) for salt in (1, 2)]
         columns = [x[keep] for x in (ids, size, s0, s1)]
-        return pa.table(dict(zip(("id", "n", "s0", "s1", "shingles", "counts", "low0", "low1"), [
-            *map(pa.array, columns), pa.array([flat[p].tobytes() for p in parts], pa.binary()), pa.array([count[p].tobytes() for p in parts], pa.binary()), *map(pa.array, lows)])))
+        return pa.table(dict(zip(("id", "n", "s0", "s1", "shingles", "counts"), [
+            *map(pa.array, columns), pa.array([flat[p].tobytes() for p in parts], pa.binary()), pa.array([count[p].tobytes() for p in parts], pa.binary())])))
 
     told = postings.groupBy("bucket", F.when(F.col("bucket") < 0, F.col("batch")).alias("own")).applyInArrow(repeated, PACKED + ", counts binary")
     return told.groupBy("batch").applyInArrow(gathered, SETS)
 
 
-class Joined:
-    """Classes of the sets of one block."""
-
-    def __init__(self, classes: list[int]):
-        self.label = np.unique(classes, return_inverse=True)[1]
-
-    def join(self, a: int, b: int) -> None:
-        self.label[self.label == self.label[b]] = self.label[a]
-
-    def whole(self) -> bool:
-        return (self.label == self.label[0]).all()
-
-
-def block_links(sets: list[np.ndarray], sizes: np.ndarray, classes: list[int], percent: int, first_part: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
-    """Links (places of two sets) that join different classes, by a T-occurrence search for each set."""
-    joined = Joined(classes)
+def block_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, queries: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
+    """Links (places of two sets) that connect all similar sets of a block, by a T-occurrence search for each set (or each of `queries`)."""
+    label = np.arange(len(sets))
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
     owner = owner[order]
-    values, first = np.unique(flat[order], return_index=True)
-    ends = np.append(first[1:], len(flat))
-    for q in np.argsort(-sizes, kind="stable").tolist():
-        if joined.whole():
+    values, first, count = np.unique(flat[order], return_index=True, return_counts=True)
+    # Sets whose shingles are the most common first: they link to most others, which then need no search among themselves.
+    spread = np.array([count[np.searchsorted(values, s)].mean() for s in sets])
+    for q in np.argsort(-spread, kind="stable").tolist():
+        if (label == label[0]).all():
             return
-        if first_part is not None and not first_part[q]:
+        if queries is not None and not queries[q]:
             continue
         need = int(required(int(sizes[q]), percent))
         at = np.searchsorted(values, sets[q])
-        lists = [x for a, b in zip(first[at].tolist(), ends[at].tolist()) if b - a > 1 and len(x := owner[a:b][joined.label[owner[a:b]] != joined.label[q]])]
+        n = count[at]
+        which = np.repeat(np.arange(len(at)), n)
+        posting = owner[np.arange(len(which)) + np.repeat(first[at] - np.cumsum(n) + n, n)]
+        other = label[posting] != label[q]  # members of its class need no comparison
+        posting, length = posting[other], np.bincount(which[other], minlength=len(at))
+        lists = np.flatnonzero(length)
         if len(lists) < need:
             continue
-        lists.sort(key=len)
-        n_long = min(int(need / (MERGE_COST * log2(len(lists[-1]) + 1) + 1)), need - 1)
-        short, long_ = lists[: len(lists) - n_long], lists[len(lists) - n_long :]
+        ends = np.cumsum(length)
+        lists = lists[np.argsort(length[lists], kind="stable")]
+        n_long = min(int(need / (MERGE_COST * log2(length[lists[-1]] + 1) + 1)), need - 1)
+        cut = [posting[ends[i] - length[i] : ends[i]] for i in lists.tolist()]
+        short, long_ = cut[: len(cut) - n_long], cut[len(cut) - n_long :]
         found = [(s, n) for s, run in groupby(heapq.merge(*(x.tolist() for x in short))) if (n := sum(1 for _ in run)) >= need - n_long]
         if not found:
             continue
@@ -227,10 +220,9 @@ def block_links(sets: list[np.ndarray], sizes: np.ndarray, classes: list[int], p
         for x in long_:
             place = np.minimum(np.searchsorted(x, who), len(x) - 1)
             overlap += x[place] == who
-        similar = 100 * overlap >= percent * (sizes[q] + sizes[who] - overlap)
-        for s in who[similar].tolist():
-            if joined.label[s] != joined.label[q]:
-                joined.join(q, s)
+        for s in who[100 * overlap >= percent * (sizes[q] + sizes[who] - overlap)].tolist():
+            if label[s] != label[q]:
+                label[label == label[s]] = label[q]
                 yield q, s
 
 
@@ -238,51 +230,37 @@ LINKS = "a long, b long"
 
 
 def search_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Links of rows (block, part_a, part_b, own, id, class, n, shingles); in a block of two parts only sets of different parts are compared."""
+    """Links of rows (family, part_a, part_b, own, id, n, shingles); for two parts only sets of the first are searched for."""
     def links(group: pa.Table) -> pa.Table:
         ids, sizes = group.column("id").to_numpy(), group.column("n").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
-        apart = group.column("part_a")[0].as_py() != group.column("part_b")[0].as_py()
-        own = group.column("own").to_numpy() == group.column("part_a")[0].as_py() if apart else None
-        found = list(block_links(sets, sizes, group.column("class").to_pylist(), percent, own))
-        return pa.table({"a": pa.array([int(ids[a]) for a, _ in found], pa.int64()), "b": pa.array([int(ids[b]) for _, b in found], pa.int64())})
+        a, b = (group.column(c)[0].as_py() for c in ("part_a", "part_b"))
+        found = list(block_links(sets, sizes, percent, group.column("own").to_numpy() == a if a != b else None))
+        return pa.table({c: pa.array([int(ids[x[k]]) for x in found], pa.int64()) for k, c in enumerate("ab")})
 
-    return members.groupBy("block", "part_a", "part_b").applyInArrow(links, LINKS)
+    return members.groupBy("family", "part_a", "part_b").applyInArrow(links, LINKS)
 
 
-def in_parts(keyed: DataFrame, block_sets: int) -> DataFrame:
-    """Rows (block, id) of blocks with several sets, dealt out to the pairs of parts of their block."""
-    size = keyed.groupBy("block").agg(F.count("*").alias("size")).where("size > 1")
-    rows = keyed.join(size, "block").withColumn("parts", F.ceil(F.col("size") / block_sets).cast("int"))
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other")
-    rows = rows.select("*", other)
-    return rows.select("block", "id", "class", "own", F.least("own", "other").alias("part_a"), F.greatest("own", "other").alias("part_b"))
+def families(sets: DataFrame, percent: int) -> DataFrame:
+    """(id, family) of all sets that share a prefix shingle with another, directly or by way of others."""
+    prefix = materialize(prefixes(sets, percent), "prefixes")
+    heads = prefix.groupBy("shingle").agg(F.min("id").alias("a"), F.max("id").alias("last")).where("a < last")
+    edges = prefix.join(heads, "shingle").select("a", F.col("id").alias("b"))
+    return components(edges).select(F.col("node").alias("id"), F.col("component").alias("family"))
 
 
 def link_classes(sets: DataFrame, percent: int, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """Links that connect the classes of sets (rows of shared_shingles, written)."""
-    whole = sets.select("id", "n", "shingles")
-    # Groups of copies first: sets with an equal min-hash, and with them the set of the smallest id.
-    keys = sets.select("id", F.explode(F.array(*(F.struct(F.lit(k).alias("k"), F.col(f"low{k}").alias("low")) for k in (0, 1)))).alias("key"))
-    keys = keys.select("id", F.concat_ws(":", "key.k", "key.low").alias("block"))
-    size = keys.groupBy("block").agg(F.count("*").alias("size"), F.min("id").alias("head")).where("size > 1")
-    dealt = keys.join(size, "block").withColumn("parts", F.ceil(F.col("size") / block_sets).cast("int"))
-    own = F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")
-    rows = dealt.select("block", "id", F.when(F.col("id") == F.col("head"), F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(F.array(own)).alias("own"))
-    rows = rows.select("block", "id", F.explode("own").alias("own")).withColumns({"part_a": F.col("own"), "part_b": F.col("own"), "class": F.col("id")})
-    copies = materialize(search_blocks(rows.join(whole, "id"), percent), "copy-links")
-    classes = components(copies)
-    # Then whatever the rarest shingles of two sets have in common across classes.
-    prefix = prefixes(sets, percent).join(classes.withColumnRenamed("node", "id"), "id", "left")
-    prefix = prefix.select("id", "block", F.coalesce("component", "id").alias("class"))
-    crossing = prefix.groupBy("block").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low < high").select("block")
-    rows = in_parts(prefix.join(crossing, "block"), block_sets)
-    return copies.union(search_blocks(rows.join(whole, "id"), percent))
+    """Links that connect all similar sets (rows of shared_shingles, written)."""
+    family = families(sets, percent)
+    size = family.groupBy("family").agg(F.ceil(F.count("*") / block_sets).cast("int").alias("parts"))
+    rows = family.join(size, "family").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+    rows = rows.join(sets.select("id", "n", "shingles"), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = rows.select("family", "id", "n", "shingles", "own", F.least("own", "other").alias("part_a"), F.greatest("own", "other").alias("part_b"))
+    return search_blocks(dealt, percent)
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(id, block): the shingles, rarest first, of which any similar set has one among its own."""
+    """(id, shingle): the shingles, rarest first, of which any similar set has one among its own."""
     def rare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, found = [], []
@@ -294,9 +272,9 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
                 ids.append(np.full(len(chosen), i))
                 found.append(chosen)
             if ids:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(found).view(np.int64)).cast(pa.string())], ["id", "block"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(ids)), pa.array(np.concatenate(found).view(np.int64))], ["id", "shingle"])
 
-    return sets.select("id", "n", "shingles", "counts").mapInArrow(rare, "id long, block string")
+    return sets.select("id", "n", "shingles", "counts").mapInArrow(rare, "id long, shingle long")
 
 
 def similar_classes(
