@@ -2,28 +2,65 @@
 
 from __future__ import annotations
 
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+
+from airmart.llm import decontaminate, jaccard, pieces, pseudonyms, queries, toxicity
 from airmart.session import scratch_path
-from airmart.llm import queries
-from pyspark.sql import DataFrame, SparkSession, functions as F
-from airmart.llm import toxicity
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below 0.5."""
+    """Documents scored below 0.5; null and empty texts score 0."""
     score = toxicity.score("text", queries.trained_on_labels(spark, docs, sf_dir))
     return docs.where(score < queries.TOXIC)
 
 
-STAGES = [("toxicity", drop_toxic)]
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of similar documents the one with the smallest id.
+
+    Of several rows with that id the one whose text is smallest stays (null before
+    any). Rows without an id stay, as no id can stand for them.
+    """
+    classes = jaccard.similar_classes(docs)
+    first = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
+    chosen = docs.join(first, "doc_id", "left_semi").withColumn("_place", place).where("_place = 1").drop("_place")
+    return chosen.select(docs.columns).union(docs.where("doc_id is null"))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold less than 60 % of every benchmark item."""
+    return docs.where(decontaminate.coverage("text", queries.table(spark, sf_dir, "benchmark")) < decontaminate.THRESHOLD)
+
+
+def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The same documents with pseudonyms, and n_chars counted anew."""
+    new = docs.withColumn("text", pseudonyms.pseudonymise("text", queries.KEY))
+    return new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of each document, and whether they decode to its text."""
+    own = pieces.encode_checked("text", public_tokenizers.path(queries.MODEL))
+    return docs.select("doc_id", own.alias("own")).select("doc_id", F.coalesce(F.size("own.ids"), F.lit(0)).cast("long").alias("n_tokens"), "own.round_trip", "own.ids")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near duplicates", one_of_each_class),
+    ("decontamination", drop_contaminated),
+    ("personal data", replace_personal_data),
+    ("encoding", encode),
+]
 
-# Scores, shingle links and tilings have no SQL form; tests compare with brute force.
+# Scores, tilings and tokens have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
+        path = scratch_path(spark, f"pipeline-{name.replace(' ', '-')}")
         stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
     return docs
