@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airmart.llm import decontaminate, jaccard, neighbours, pieces, pseudonyms, tokens, toxicity, warc
+from airmart.llm import chat, decontaminate, jaccard, neighbours, pieces, pseudonyms, tokens, toxicity, warc
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -53,6 +53,11 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "n_covered", "n_words", F.size("tiles").cast("long").alias("n_tiles"), F.round("coverage", 6).alias("coverage"))
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every turn with its repair and its piece of the rendered conversation."""
+    return chat.format_chats(table(spark, sf_dir, "conversations")).drop("part", "seq")
+
+
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text with its personal values replaced, and whether any was."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", pseudonyms.pseudonymise("text", KEY).alias("new"))
@@ -77,7 +82,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_jaccard, op3_toxicity, op5_decontamination, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_jaccard, op3_toxicity, op5_decontamination, op6_chat, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts)}
 
 
 def all_oracles() -> dict[str, str]:
