@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airmart.llm import chat, decontaminate, jaccard, neighbours, pieces, pseudonyms, tokens, toxicity, warc
+from airmart.llm import chat, decontaminate, jaccard, neighbours, passages, pieces, pseudonyms, tokens, toxicity, warc
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -47,6 +47,11 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= TOXIC).cast("int"))
 
 
+def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Passages of 50 words or more that repeat, each with the passage it repeats."""
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold 60 % of a benchmark item or more, in whatever order."""
     found = decontaminate.tilings(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -82,7 +87,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_jaccard, op3_toxicity, op5_decontamination, op6_chat, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_jaccard, op3_toxicity, op4_passages, op5_decontamination, op6_chat, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts)}
 
 
 def all_oracles() -> dict[str, str]:
