@@ -194,16 +194,19 @@ def coverage(texts: str | Column, items: DataFrame, item_text: str = "text", min
     """Highest coverage of any item by each text, or 0 below the threshold."""
     found = [F.lit(0.0)]
     for rows in item_shards(items.withColumn("_item", F.lit(0)), "_item", item_text, shard_words):
-        shard = shard_of(rows, min_match)
+        found.append(highest_coverage(shard_of(rows, min_match), threshold)(texts))
+    return F.greatest(*found) if len(found) > 1 else found[0]
 
-        @F.arrow_udf("double")
-        def highest(batches: Iterator[pa.Array], shard=shard) -> Iterator[pa.Array]:
-            for batch in batches:
-                out = np.zeros(len(batch))
-                for at, words in blocks(batch):
-                    for d in range(len(words.off) - 1):
-                        out[at + d] = max((sum(t[2] for t in own) / len(shard.items[k]) for k, own in shard.search(words.text(d), threshold)), default=0)
-                yield pa.array(out)
 
-        found.append(highest(texts))
-    return F.greatest(*found) if len(found) > 1 else found[0]
+def highest_coverage(shard: Shard, threshold: float):
+    """Function from texts to their highest coverage of any item of a shard."""
+    @F.arrow_udf("double")
+    def highest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            out = np.zeros(len(batch))
+            for at, words in blocks(batch):
+                for d in range(len(words.off) - 1):
+                    out[at + d] = max((sum(t[2] for t in own) / len(shard.items[k]) for k, own in shard.search(words.text(d), threshold)), default=0)
+            yield pa.array(out)
+
+    return highest
