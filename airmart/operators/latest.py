@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from airmart.schemas import TIME
+from airmart.sources.payload import DELIVERY, POSITION
+
 
-MAX_RANKED_ROWS = 1_000_000  # survivors of one series that may meet in one task
 SALTS = 32
 
 
@@ -14,30 +16,32 @@ def latest_rows(
     k: int,
     order: list[str],
     series: tuple[str, ...] = (),
-    salts: int | None = None,
+    salts: int = SALTS,
 ) -> DataFrame:
     """The ``k`` rows latest by ``order``; remaining columns break ties.
 
-    Overall: each task keeps k rows and one merges them. Per series: each task
-    keeps k rows per series before the shuffle, so even a series that holds most
-    rows sends k per task to its final rank. Where there are so many tasks that
-    this adds up, ranks run first within salted slices of a series, for one more
-    shuffle of the survivors; ``salts`` forces the number of slices.
+    Overall: each task keeps k rows and one merges them. Per series: rows are
+    ranked within ``salts`` slices of a series first, so that even a series that
+    holds most rows sends no more than ``salts`` times k rows to its final rank.
     """
     ties = [c for c in df.columns if c not in (*series, *order)]
     latest: list[Column] = [F.col(c).desc_nulls_last() for c in order]
     latest += [F.col(c).asc_nulls_last() for c in ties]
     if not series:
         return df.orderBy(*latest).limit(k)
-    if salts is None:
-        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salts = SALTS if k * tasks > MAX_RANKED_ROWS else 1
     if salts > 1:
         salt = F.pmod(F.xxhash64(*order, *ties), F.lit(salts))
         df = _top(df.withColumn("_salt", salt), k, [*series, "_salt"], latest).drop("_salt")
     return _top(df, k, list(series), latest)
 
 
+def newest_per_hour(rows: DataFrame, series: tuple[str, ...] = ()) -> DataFrame:
+    """Of several deliveries of an hour the newest; within one, the first by position."""
+    window = Window.partitionBy(*series, TIME).orderBy(F.col(DELIVERY).desc(), F.col(POSITION))
+    first = rows.withColumn("_rank", F.row_number().over(window)).where("_rank = 1")
+    return first.drop("_rank", DELIVERY, POSITION)
+
+
 def _top(df: DataFrame, k: int, keys: list[str], order: list[Column]) -> DataFrame:
     window = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_rank", F.row_number().over(window)).where(F.col("_rank") <= k).drop("_rank")

@@ -10,8 +10,6 @@ its own with the same result.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
-from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec, functions as F
 
@@ -19,8 +17,6 @@ from airmart.session import materialize
 
 Features = dict[str, Callable[[WindowSpec], Column]]
 
-MAX_SERIES_ROWS = 1_000_000
-MAX_LONG_SERIES = 10_000
 ROWS_PER_BLOCK = 100_000
 _POSITION_BITS = 33  # layout of monotonically_increasing_id: partition above, row below
 
@@ -31,12 +27,6 @@ def total_order(df: DataFrame, order: list[str], series: tuple[str, ...] = ()) -
     return [F.col(c).asc_nulls_last() for c in (*order, *rest)]
 
 
-def long_series(df: DataFrame, series: tuple[str, ...], limit: int) -> DataFrame:
-    """Series with more than ``limit`` rows; reads only what the count needs."""
-    counts = df.groupBy(*series).agg(F.count(F.lit(1)).alias("_n"))
-    return counts.where(F.col("_n") > limit).select(*series)
-
-
 def with_windows(
     df: DataFrame,
     features: Features,
@@ -44,43 +34,22 @@ def with_windows(
     series: tuple[str, ...] = (),
     preceding: int = 0,
     following: int = 0,
-    strategy: str = "auto",
-    **blocks: int,
+    strategy: str = "blocked",
+    **blocks: int | None,
 ) -> DataFrame:
     """``df`` plus one column per feature, windowed by series in ``order``.
 
     ``preceding`` and ``following`` bound the rows any frame reaches.
-    ``series`` runs one window partition per series and is for series known to
-    be short; ``blocked`` never builds a group above its block size; ``auto``
-    counts, keeps series of up to ``MAX_SERIES_ROWS`` in one shuffle and takes
-    only the longer ones through blocks.
+    ``blocked`` never builds a group above its block size, whatever the length
+    of a series. ``series`` runs one window partition per series, without the
+    extra shuffle; choose it only where every series is known to be short.
     """
-    reach = (preceding, following)
     if strategy == "series":
         window = Window.partitionBy(*series).orderBy(*total_order(df, order, series))
         return df.select("*", *[make(window).alias(name) for name, make in features.items()])
     if strategy == "blocked":
-        return blocked(df, features, order, series, *reach, **blocks)
-    if strategy != "auto":
-        raise ValueError(f"unknown window strategy {strategy!r}")
-
-    def run(rows: DataFrame, how: str) -> DataFrame:
-        return with_windows(rows, features, order, series, *reach, how, **blocks)
-
-    if not series:
-        return run(df, "series" if df.count() <= MAX_SERIES_ROWS else "blocked")
-    # Keys only, and never more than one above what may be broadcast.
-    listed = long_series(df, series, MAX_SERIES_ROWS).limit(MAX_LONG_SERIES + 1)
-    keys = listed.collect()
-    if not keys:
-        return run(df, "series")
-    if len(keys) > MAX_LONG_SERIES:
-        return run(df, "blocked")
-    known = df.sparkSession.createDataFrame(keys, listed.schema)
-    long = F.broadcast(known.select(*[F.col(s).alias(f"_{s}") for s in series]))
-    same = reduce(and_, [F.col(s).eqNullSafe(F.col(f"_{s}")) for s in series])
-    short_rows, long_rows = df.join(long, same, "left_anti"), df.join(long, same, "left_semi")
-    return run(short_rows, "series").unionByName(run(long_rows, "blocked"))
+        return blocked(df, features, order, series, preceding, following, **blocks)
+    raise ValueError(f"unknown window strategy {strategy!r}")
 
 
 def blocked(
@@ -90,10 +59,11 @@ def blocked(
     series: tuple[str, ...] = (),
     preceding: int = 0,
     following: int = 0,
-    rows_per_block: int = ROWS_PER_BLOCK,
+    rows_per_block: int | None = None,
     num_partitions: int | None = None,
 ) -> DataFrame:
     """Exact row-frame windows with no group above ``rows_per_block`` plus halo."""
+    rows_per_block = rows_per_block or ROWS_PER_BLOCK
     if rows_per_block < max(1, preceding + following):
         raise ValueError("rows_per_block must cover preceding + following")
     spark = df.sparkSession

@@ -60,7 +60,7 @@ def fit_anomaly(
 ) -> AnomalyModel:
     """Unsupervised: regress the target on the other readings and the season.
 
-    One distributed pass solves the normal equations; only sums reach the driver.
+    Three passes: normal equations, residuals, means. Only sums reach the driver.
     """
     names = [c for c in drivers if c not in exclude]
     terms = {**{c: F.col(c) for c in names}, **season(ts)}
@@ -130,10 +130,10 @@ def detect_by_hour(
     baseline: DataFrame, rows: DataFrame, ts: str = "TS", target: str = "PM2_5",
     prediction_interval: float = INTERVAL,
 ) -> DataFrame:
-    """Detector with the hour-of-day mean as its forecast."""
+    """Detector with the hour-of-day mean as its forecast; NULL for an hour that training lacks."""
     readings = rows.where(F.col(target).isNotNull()).select(
         F.col(ts).alias("TS"), F.hour(ts).alias("HOUR_OF_DAY"), F.col(target).alias("Y")
     )
     # Grouped by hour of day, the baseline cannot exceed 24 rows.
-    joined = readings.join(F.broadcast(baseline), "HOUR_OF_DAY")
+    joined = readings.join(F.broadcast(baseline), "HOUR_OF_DAY", "left")
     return with_score(joined, F.col("SIGMA"), prediction_interval).drop("SIGMA")

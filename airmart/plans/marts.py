@@ -6,20 +6,17 @@ Each function takes raw or staged tables and returns a lazy DataFrame. With
 
 from __future__ import annotations
 
-from datetime import datetime
-
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from airmart import schemas as S
 from airmart.functions import (
-    aqi_band, calendar_parts, next_hour_class, temperature_band, time_column,
+    aqi_band, calendar_parts, next_hour_class, temperature_band,
 )
 from airmart.operators.latest import latest_rows
 from airmart.operators.windows import Features, with_windows
 
 ROLL_ROWS = 25  # fixed value: the current row and 24 before it
 RECENT_ROWS = 48  # fixed value: history rows kept for scoring
-SLICE_DAYS = (4, 32, 256)  # recent time tried before the whole history
 
 
 def fact_hourly(
@@ -76,10 +73,10 @@ def classifier_training(
     weather: DataFrame,
     air: DataFrame,
     series: tuple[str, ...] = (),
-    strategy: str = "auto",
+    strategy: str = "blocked",
     strict_label: bool = False,
     extra_features: bool = False,
-    **blocks: int,
+    **blocks: int | None,
 ) -> DataFrame:
     """Features of each history hour and the class of the next one."""
     joined = common_hours(weather, air, S.CLASSIFIER_AIR, series)
@@ -89,10 +86,10 @@ def classifier_training(
 def classifier_rows(
     joined: DataFrame,
     series: tuple[str, ...] = (),
-    strategy: str = "auto",
+    strategy: str = "blocked",
     strict_label: bool = False,
     extra_features: bool = False,
-    **blocks: int,
+    **blocks: int | None,
 ) -> DataFrame:
     """Training rows from common hours.
 
@@ -121,22 +118,8 @@ def recent_common_hours(
     weather: DataFrame,
     air: DataFrame,
     series: tuple[str, ...] = (),
-    now: datetime | Column | None = None,
 ) -> DataFrame:
-    """The latest ``RECENT_ROWS`` common hours, counted after the join.
-
-    With ``now`` and a single series, growing slices of recent time are tried
-    first. A slice that holds enough rows holds the latest ones, and its bound
-    reaches the scans of both tables, so old files stay unread. Many series
-    take one pass over everything: some may have ended long ago.
-    """
-    if now is not None and not series:
-        for days in SLICE_DAYS:
-            since = F.col(S.TIME) >= time_column(now) - F.expr(f"INTERVAL {days} DAYS")
-            joined = common_hours(weather.where(since), air.where(since), S.CLASSIFIER_AIR)
-            recent = latest_rows(joined, RECENT_ROWS, [S.TIME])
-            if recent.count() == RECENT_ROWS:
-                return recent
+    """The latest ``RECENT_ROWS`` common hours, counted after the join."""
     joined = common_hours(weather, air, S.CLASSIFIER_AIR, series)
     return latest_rows(joined, RECENT_ROWS, [S.TIME], series)
 
@@ -149,7 +132,6 @@ def classifier_inference(
     series: tuple[str, ...] = (),
     extra_features: bool = False,
     diagnostics: bool = False,
-    now: datetime | Column | None = None,
 ) -> DataFrame:
     """Features of the latest row of recent history plus the current hour.
 
@@ -157,8 +139,19 @@ def classifier_inference(
     ``diagnostics`` adds ``IS_REALTIME`` to tell them apart. When both hold the
     same hour the current one wins.
     """
-    recent = recent_common_hours(weather_history, air_history, series, now)
+    recent = recent_common_hours(weather_history, air_history, series)
     current = common_hours(weather_now, air_now, S.CLASSIFIER_AIR, series)
+    return newest_features(recent, current, series, extra_features, diagnostics)
+
+
+def newest_features(
+    recent: DataFrame,
+    current: DataFrame,
+    series: tuple[str, ...] = (),
+    extra_features: bool = False,
+    diagnostics: bool = False,
+) -> DataFrame:
+    """As ``classifier_inference``, from recent and current common hours."""
     rows = recent.withColumn("IS_REALTIME", F.lit(False)).unionByName(
         current.withColumn("IS_REALTIME", F.lit(True))
     )
@@ -180,5 +173,8 @@ def anomaly_rows(
 
     Serves training on history and scoring on the current hour alike.
     """
-    rows = common_hours(weather, air, S.ANOMALY_AIR, series, time_name="TS")
+    return with_reading(common_hours(weather, air, S.ANOMALY_AIR, series, time_name="TS"))
+
+
+def with_reading(rows: DataFrame) -> DataFrame:
     return rows.where(F.col("PM2_5").isNotNull())

@@ -19,7 +19,10 @@ from airmart.operators.dedup import unite
 from airmart.operators.store import VersionedStore, create_views, publish_view
 from airmart.plans import anomaly, classify, datasets, marts
 from airmart.session import scratch_scope
-from airmart.sources.payload import LANDING_DATE, POSITION, hourly_table, read_landing
+from airmart.operators.latest import latest_rows, newest_per_hour
+from airmart.sources.payload import (
+    DELIVERY, LANDING_DATE, POSITION, hourly_table, newest_delivery, read_landing,
+)
 from airmart.streaming.hourly import REALTIME_GROUP, REALTIME_TABLES
 
 log = logging.getLogger(__name__)
@@ -42,6 +45,14 @@ LAYERS = {
         "final_prediction_clean": None,
         "final_prediction_historical": None,
         "realtime_anomaly_preds": None,
+        "ds_aqi_daily": None,
+        "ds_heatmap": None,
+        "ds_wind_bins": None,
+        "ds_wind_trend": None,
+        "ds_history_vs_now": None,
+        "ds_drivers": None,
+        "ds_alerts": None,
+        "ds_predictions": None,
     },
 }
 KEEP_VERSIONS = 2
@@ -58,7 +69,10 @@ class Options:
     # "table" ranks the union once and lets fact and checks read the result;
     # "view" repeats the ranking in each of them and stores nothing.
     staging: str = "table"
-    strategy: str = "auto"
+    strategy: str = "blocked"
+    # Range partitions and rows of a window block; None takes the session's and the default.
+    num_partitions: int | None = None
+    rows_per_block: int | None = None
     strict_label: bool = False
     strict_realtime: bool = False
     unknown_label: str | None = None
@@ -84,19 +98,23 @@ class Refresh:
     def load_history(self, kind: str) -> int:
         payload = read_landing(
             self.spark, f"{self.landing}/{kind}_history", kind, self.now,
-            series=self.options.series, keep_date=True,
+            series=self.options.series, keep_date=True, delivery=True,
         )
-        # Output files keep the landing's days apart, at no shuffle: time filters then skip files.
-        keep = (LANDING_DATE, *self.options.series)
-        rows = before_cutoff(hourly_table(payload, kind, keep), self.now)
+        # Output files keep the landing's days apart: time filters then skip files.
+        keep = (LANDING_DATE, *self.options.series, DELIVERY)
+        rows = before_cutoff(hourly_table(payload, kind, keep, position=True), self.now)
+        # Rows of a day go to few files again, a large day to several.
+        rows = newest_per_hour(rows, self.options.series).hint("rebalance", LANDING_DATE)
         return self.store.refresh_if_nonempty(HISTORY_TABLES[kind], rows, (LANDING_DATE,))
 
     def load_realtime(self) -> dict[str, int]:
         tables = {}
         for kind, table in REALTIME_TABLES.items():
             payload = read_landing(
-                self.spark, f"{self.landing}/{kind}_realtime", kind, series=self.options.series
+                self.spark, f"{self.landing}/{kind}_realtime", kind, series=self.options.series,
+                delivery=True,
             )
+            payload = newest_delivery(payload, self.options.series)
             # Strictness covers the kept hour only, so select it before the strict cast.
             strict = self.options.strict_realtime and kind == "weather"
             rows = hourly_table(payload, kind, self.options.series, position=True)
@@ -137,17 +155,21 @@ class Refresh:
             stage["stg_weather"], stage["stg_airquality"], o.series, o.unknown_label
         )
         store.refresh("fact_hourly", fact)
-        store.refresh("anomaly_training", marts.anomaly_rows(weather, air, o.series))
+        # History is joined once: detector rows, classifier rows and the latest hours all come from it.
+        store.refresh("common_hours", marts.common_hours(weather, air, S.ANOMALY_AIR, o.series))
+        common = store.read("common_hours")
+        store.refresh("anomaly_training", marts.with_reading(common.withColumnRenamed(S.TIME, "TS")))
         store.refresh("anomaly_inference", marts.anomaly_rows(weather_now, air_now, o.series))
-        # The detector's rows are the join the classifier needs: do not join history twice.
-        joined = store.read("anomaly_training").withColumnRenamed("TS", S.TIME).drop("PM10")
+        joined = common.drop("PM10")
         with scratch_scope(self.spark):
-            training = marts.classifier_rows(joined, o.series, o.strategy, o.strict_label)
+            training = marts.classifier_rows(
+                joined, o.series, o.strategy, o.strict_label,
+                num_partitions=o.num_partitions, rows_per_block=o.rows_per_block,
+            )
             store.refresh("classifier_training", training)
-        inference = marts.classifier_inference(
-            weather, air, weather_now, air_now, o.series, now=self.now
-        )
-        store.refresh("classifier_inference", inference)
+        recent = latest_rows(joined, marts.RECENT_ROWS, [S.TIME], o.series)
+        current = marts.common_hours(weather_now, air_now, S.CLASSIFIER_AIR, o.series)
+        store.refresh("classifier_inference", marts.newest_features(recent, current, o.series))
 
     def check(self) -> None:
         quality.gate(self.staged(), self.options.series)
@@ -210,7 +232,10 @@ class Refresh:
             self.store.prune(group, KEEP_VERSIONS)
 
     def run(self) -> None:
-        """All stages; a failed check stops the run before any model is trained."""
+        """All stages; a failed check stops the run before any model is trained.
+
+        The catalog names the new versions before older ones go.
+        """
         self.load_history("weather")
         self.load_history("airquality")
         self.load_realtime()
@@ -219,6 +244,7 @@ class Refresh:
         self.run_anomaly()
         self.run_classifier()
         self.publish_datasets()
+        self.publish_views()
         self.prune()
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextvars import ContextVar
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -12,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 ROCKSDB_STATE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 _local_roots: dict[str, str] = {}
-_scopes: list[list[str]] = []
+# The innermost scope of the running thread or task; scopes of others are never touched.
+_scope: ContextVar[list[str] | None] = ContextVar("scratch_scope", default=None)
 
 
 def build_session(app: str = "airmart", master: str | None = None, **conf: str) -> SparkSession:
@@ -48,7 +50,8 @@ def scratch_root(spark: SparkSession) -> str:
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.sparkContext.applicationId
     if app not in _local_roots:
@@ -66,19 +69,22 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     # Only what exists can be marked for removal, so the path handed out lies below.
     fs.mkdirs(hadoop_path)
     fs.deleteOnExit(hadoop_path)
-    if _scopes:
-        _scopes[-1].append(folder)
+    scope = _scope.get()
+    if scope is not None:
+        scope.append(folder)
     return f"{folder}/data"
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[None]:
     """Remove scratch tables made inside as soon as their results are written."""
-    _scopes.append([])
+    own: list[str] = []
+    token = _scope.set(own)
     try:
         yield
     finally:
-        for folder in _scopes.pop():
+        _scope.reset(token)
+        for folder in own:
             fs, hadoop_path = _file_system(spark, folder)
             fs.delete(hadoop_path, True)
 

@@ -1,9 +1,15 @@
 """Landed JSON files."""
 
 import json
+import os
+
+import pytest
 
 from airmart import schemas as S
-from airmart.sources.payload import explode_hourly, hourly_table, read_landing, to_payload
+from airmart.operators.latest import newest_per_hour
+from airmart.sources.payload import (
+    DELIVERY, explode_hourly, hourly_table, newest_delivery, read_landing, to_payload,
+)
 from tests.helpers import at, column, table
 
 
@@ -25,10 +31,33 @@ def test_reads_parallel_arrays(spark, tmp_path):
     assert column(got, "PM2_5") == [5.0, None]
 
 
-def test_short_array_leaves_null(spark, tmp_path):
-    land(tmp_path / "a.json", air(["2024-01-01T00:00", "2024-01-01T01:00"], dust=[7]))
+WHOLE = json.dumps({"hourly": air(["2024-01-01T00:00", "2024-01-01T01:00"])})
+
+
+@pytest.mark.parametrize("text", [
+    WHOLE[: len(WHOLE) // 2],
+    json.dumps({"error": True, "reason": "busy"}),
+    json.dumps({"hourly": air(["2024-01-01T00:00", "2024-01-01T01:00"], dust=[7])}),
+    json.dumps({"hourly": {k: v for k, v in air(["2024-01-01T00:00"]).items() if k != "ozone"}}),
+])
+def test_payloads_that_are_not_whole_are_refused(spark, tmp_path, text):
+    (tmp_path / "a.json").write_text(text)
     payload = read_landing(spark, str(tmp_path), "airquality")
-    assert column(explode_hourly(payload, "airquality"), "dust", "time") == [7.0, None]
+    with pytest.raises(Exception, match="payload refused"):
+        explode_hourly(payload, "airquality").collect()
+    with pytest.raises(Exception, match="payload refused"):
+        explode_hourly(payload, "airquality").count()
+
+
+def test_newest_delivery_counts(spark, tmp_path):
+    for name, value, age in (("b.json", 1.0, 100), ("a.json", 9.0, 50)):
+        land(tmp_path / name, air(["2024-01-01T00:00"], dust=[value]))
+        os.utime(tmp_path / name, (1_700_000_000 - age,) * 2)
+    landed = read_landing(spark, str(tmp_path), "airquality", delivery=True)
+    assert column(hourly_table(newest_delivery(landed), "airquality"), "DUST") == [9.0]
+    rows = hourly_table(landed, "airquality", (DELIVERY,), position=True)
+    assert column(newest_per_hour(rows), "DUST") == [9.0]
+    assert newest_delivery(landed.limit(0)).count() == 0
 
 
 def test_history_reads_only_requested_dates(spark, tmp_path):

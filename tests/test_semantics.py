@@ -233,7 +233,7 @@ def test_recent_history_counts_joined_rows(spark):
 def test_latest_rows_per_series_match_a_plain_rank(spark):
     rows = [{"h": h, "station": s} for s, n in (("hot", 400), ("b", 5), ("c", 1)) for h in range(n)]
     df = table(spark, "weather", rows, ("station",))
-    for salts in (None, 1, 7):
+    for salts in (32, 1, 7):
         got = latest_rows(df, 48, ["OBSERVATION_TIME"], ("station",), salts)
         counts = {r.station: (r.n, r.first) for r in got.groupBy("station").agg(
             F.count("*").alias("n"), F.min("OBSERVATION_TIME").alias("first")).collect()}
@@ -267,23 +267,11 @@ def test_anomaly_rows_drop_missing_pm(spark):
     assert column(mart, "TS", "TS") == [at(1), at(2)]
 
 
-def test_recent_slices_equal_the_whole_history(spark):
-    """Enough rows in the first slice, in a later one, or nowhere."""
-    from datetime import timedelta
-
+def test_recent_hours_are_counted_after_the_join(spark):
     for step in (1, 9, 200):
-        hours = [-step * i for i in range(60)]
+        hours = [-step * i for i in range(120)]
         weather = table(spark, "weather", [{"h": h, "TEMPERATURE": h} for h in hours])
         air = table(spark, "airquality", [{"h": h} for h in hours if h % 2 == 0])
-        whole = marts.recent_common_hours(weather, air)
-        sliced = marts.recent_common_hours(weather, air, now=at(0) + timedelta(minutes=30))
-        assert whole.exceptAll(sliced).count() == 0 and whole.count() == sliced.count()
-
-
-def test_recent_slice_bounds_reach_the_scans(spark, tmp_path):
-    for kind in ("weather", "airquality"):
-        table(spark, kind, [{"h": h} for h in range(500)]).write.parquet(str(tmp_path / kind))
-    sides = [spark.read.parquet(str(tmp_path / kind)) for kind in ("weather", "airquality")]
-    recent = marts.recent_common_hours(*sides, now=at(500))
-    plan = recent._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("GreaterThanOrEqual(OBSERVATION_TIME") == 2
+        recent = marts.recent_common_hours(weather, air)
+        wanted = sorted((h for h in hours if h % 2 == 0), reverse=True)[:48]
+        assert sorted(column(recent, "OBSERVATION_TIME"), reverse=True) == [at(h) for h in wanted]

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from airmart.operators import windows
-from airmart.operators.windows import blocked, long_series, with_windows
+from airmart.operators.windows import blocked, with_windows
 
 FEATURES = {
     "LAG1": lambda w: F.lag("v", 1).over(w),
@@ -68,34 +68,13 @@ def test_no_group_exceeds_the_block_size(spark):
     assert biggest <= 50 + 25
 
 
-def test_auto_takes_only_long_series_through_blocks(spark, monkeypatch):
-    rows = [("hot", i, i) for i in range(300)] + [(None, i, i) for i in range(310)]
-    df = frame(spark, rows + [("b", 1, 1), ("c", 2, 5), ("c", 1, 4)])
-    seen = []
-    real = windows.blocked
-
-    def spy(rows, *args, **kwargs):
-        seen.append({r.s for r in rows.select("s").distinct().collect()})
-        return real(rows, *args, **kwargs)
-
-    monkeypatch.setattr(windows, "blocked", spy)
-
-    def auto(series):
-        return with_windows(df, FEATURES, ["t"], series, 24, 1, rows_per_block=40)
-
-    expected = with_windows(df, FEATURES, ["t"], ("s",), strategy="series")
-    assert same(auto(("s",)), expected) and seen == []
-    monkeypatch.setattr(windows, "MAX_SERIES_ROWS", 299)
-    assert same(auto(("s",)), expected) and seen == [{"hot", None}]
-    monkeypatch.setattr(windows, "MAX_LONG_SERIES", 1)
-    assert same(auto(("s",)), expected) and seen[1] == {"hot", None, "b", "c"}
-    assert same(auto(()), with_windows(df, FEATURES, ["t"], (), strategy="series"))
-    assert len(seen) == 3
-
-
-def test_long_series_are_counted_exactly(spark):
-    df = frame(spark, [("a", i, i) for i in range(3)] + [("b", i, i) for i in range(4)])
-    assert [r.s for r in long_series(df, ("s",), 3).collect()] == ["b"]
+def test_blocks_are_the_default_and_nothing_switches(spark):
+    df = frame(spark, [("hot", i, i) for i in range(300)] + [(None, i, i) for i in range(310)] + [("b", 1, 1)])
+    for series in (("s",), ()):
+        expected = with_windows(df, FEATURES, ["t"], series, 24, 1, strategy="series")
+        assert same(with_windows(df, FEATURES, ["t"], series, 24, 1, rows_per_block=40), expected)
+    with pytest.raises(ValueError):
+        with_windows(df, FEATURES, ["t"], strategy="auto")
 
 
 def test_block_must_cover_the_frame(spark):

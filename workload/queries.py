@@ -16,6 +16,7 @@ from airmart.functions import class_code, iso_text, trunc_hour
 from airmart.operators import quality
 from airmart.operators.coerce import before_cutoff, conform, current_hour
 from airmart.operators.dedup import unite
+from airmart.operators.latest import latest_rows, newest_per_hour
 from airmart.operators.store import VersionedStore
 from airmart.plans import anomaly, classify, datasets, marts
 from airmart.session import materialize, scratch_path
@@ -213,11 +214,12 @@ def clf_inference(spark, sf_dir):
 
 
 def clf_inference_recent(spark, sf_dir):
-    """The same from recent slices of history."""
+    """The same from common hours joined once, as a run does."""
     f = _hourly(spark, sf_dir)
-    mart = marts.classifier_inference(
-        f.weather_history, f.air_history, f.weather_now, f.air_now, now=f.now
-    )
+    common = marts.common_hours(f.weather_history, f.air_history, S.ANOMALY_AIR).drop("PM10")
+    current = marts.common_hours(f.weather_now, f.air_now, S.CLASSIFIER_AIR)
+    recent = latest_rows(common, marts.RECENT_ROWS, [S.TIME])
+    mart = marts.newest_features(recent, current)
     return rounded(mart, "PM25_ROLL24")
 
 
@@ -459,6 +461,31 @@ def store_snapshot_pair(spark, sf_dir):
     return result
 
 
+def landing_redelivery(spark, sf_dir):
+    """Both feeds landed twice with changed values: the later delivery of an hour counts."""
+    events = sensors.read_events(spark, sf_dir)
+    root = scratch_path(spark, "redelivery")
+    tables = {"weather": sensors.station_weather(events), "airquality": sensors.station_air(events)}
+    parts = []
+    for kind, first in (("weather", "TEMPERATURE"), ("airquality", "PM10")):
+        table = tables[kind]
+        for changed in (table.withColumn(first, F.lit(-1.0)), table):
+            _station_payload(changed, kind).drop("obs_date").write.mode("append").json(f"{root}/{kind}")
+        landed = payload.read_landing(spark, f"{root}/{kind}", kind, series=("station",), delivery=True)
+        rows = payload.hourly_table(landed, kind, ("station", payload.DELIVERY), position=True)
+        newest = newest_per_hour(rows, ("station",))
+        parts.append(newest.select(F.lit(kind).alias("FEED"), "station", S.TIME, F.col(first).alias("FIRST_MEASURE")))
+    return parts[0].unionByName(parts[1])
+
+
+def current_hour_position(spark, sf_dir):
+    """The current hour repeated within a payload: the first place counts, whatever its values."""
+    f = _stations(spark, sf_dir)
+    twice = f.weather_now.withColumn("TEMPERATURE", F.lit(-1.0)).withColumn("_pos", F.lit(1))
+    rows = f.weather_now.withColumn("_pos", F.lit(0)).unionByName(twice)
+    return current_hour(rows, f.now, ("station",), "_pos").select("station", *S.WEATHER_COLUMNS)
+
+
 # -- streaming -------------------------------------------------------------
 
 
@@ -521,7 +548,7 @@ def stream_hours_joined(spark, sf_dir):
 def all_queries() -> dict[str, Query]:
     named = [
         ingest_rename_cast, ingest_strict, json_props_extract, hourly_payload_inline,
-        landing_range, history_cutoff, current_hour_weather, current_hour_airquality,
+        landing_range, landing_redelivery, history_cutoff, current_hour_position, current_hour_weather, current_hour_airquality,
         fact_hourly, fact_by_station, clf_training, clf_training_strict_label,
         clf_training_by_station, clf_training_blocked, clf_training_by_station_blocked,
         clf_inference, clf_inference_recent, clf_inference_by_station, anomaly_training, anomaly_inference,
