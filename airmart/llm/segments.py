@@ -71,7 +71,7 @@ def cuts(data: np.ndarray, off: np.ndarray) -> np.ndarray:
     return at[~near]
 
 
-def slices(texts: pa.Array, most: int = 8 << 20) -> Iterator[pa.Array]:
+def slices(texts: pa.Array, most: int = 4 << 20) -> Iterator[pa.Array]:
     """Consecutive parts of a batch of up to `most` bytes each (a longer text is alone), to bound what is held at once."""
     _, off = text_bytes(texts)
     at = 0

@@ -13,7 +13,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _SHINGLE = 0xC2B2AE3D27D4EB4F
