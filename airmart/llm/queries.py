@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airmart.llm import chat, decontaminate, jaccard, neighbours, passages, pieces, pseudonyms, tokens, toxicity, warc
+from airmart.llm import chat, decontaminate, jaccard, neighbours, oracle, passages, pieces, pseudonyms, tokens, toxicity, warc
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -91,4 +91,4 @@ def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def all_oracles() -> dict[str, str]:
-    return {}
+    return oracle.all_oracles()
