@@ -26,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, functions as F
 
-from airmart.llm.model_file import BPE, BYTE, MARK, NORMAL, UNIGRAM, Model, USER_DEFINED, read_model
+from airmart.llm.model_file import BPE, BYTE, CONTROL, MARK, NORMAL, UNIGRAM, Model, USER_DEFINED, read_model
 from airmart.llm.segments import Segments, balanced, slices
 
 THREADS = 2
@@ -43,9 +43,11 @@ def build_tokenizer(model: Model):
         raise ValueError("user-defined pieces and space as suffix are not supported")
     unknown = model.unknown_id()
     if model.kind == UNIGRAM:
-        # Control and byte pieces never match text: their scores lose against any other path.
+        # Control pieces never match text, as no blank is left in normalised text. Byte pieces
+        # keep their names, by which unknown characters fall back to them.
         lowest = min(p.score for p in model.pieces if p.kind == NORMAL)
-        scored = [(p.text, p.score if p.kind == NORMAL else lowest - 1e4) for p in model.pieces]
+        named = [p.text if p.kind in (NORMAL, BYTE) else f" {p.text}" for p in model.pieces]
+        scored = [(t, p.score if p.kind == NORMAL else lowest - 1e4) for t, p in zip(named, model.pieces)]
         own = models.Unigram(scored, unknown, model.byte_fallback)
     elif model.kind == BPE:
         own = models.BPE(
@@ -97,6 +99,10 @@ class Codec:
         self.path, self.model = path, read_model(path)
         self.tokenizer = build_tokenizer(self.model)
         self.apart = self.model.splits_at_spaces()
+        self.control = {i for i, p in enumerate(self.model.pieces) if p.kind == CONTROL}
+        # In a unigram model the name of a byte piece could be matched as text; such texts, which
+        # are rare, are encoded by the library.
+        self.byte_names = self.model.kind == UNIGRAM and self.model.byte_fallback
         self.bare = self.tokenizer
         if self.apart:
             self.bare = build_tokenizer(self.model)
@@ -126,11 +132,13 @@ class Codec:
     def encode_distinct(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not self.apart:
             ids = [e.ids for batch in balanced(parts, BATCH_SIZE) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
+            ids = [self.library().encode(p) if self.byte_names and "<0x" in p else own for p, own in zip(parts, ids)]
             starts = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))))
             return np.fromiter(chain.from_iterable(ids), np.int32, int(starts[-1])), starts
         # Many words are one input. The normaliser of such models only puts the
         # marker before each word, and each word's first id is the only one that has it.
-        plain = [MARK + p if p and " " not in p and MARK not in p else "" for p in parts]
+        named = [self.byte_names and "<0x" in p for p in parts]
+        plain = [MARK + p if p and " " not in p and MARK not in p and not n else "" for p, n in zip(parts, named)]
         inputs = ["".join(plain[i : i + TOGETHER]) for i in range(0, len(plain), TOGETHER)]
         flat = self.flat_ids(inputs)
         heads = np.append(np.flatnonzero(self.marked[flat]), len(flat))
@@ -140,6 +148,7 @@ class Codec:
         if not odd:
             return flat, np.append(0, np.cumsum(sizes))
         own = [e.ids for e in self.bare.encode_batch_fast([MARK + parts[i].replace(" ", MARK) for i in odd], add_special_tokens=False)]
+        own = [self.library().encode(parts[i]) if named[i] else x for i, x in zip(odd, own)]
         place = np.append(0, np.cumsum(sizes))[odd]
         sizes[odd] = list(map(len, own))
         return np.insert(flat, np.repeat(place, sizes[odd]), list(chain.from_iterable(own))), np.append(0, np.cumsum(sizes))
@@ -171,12 +180,17 @@ class Codec:
         size = len(self.model.pieces)
         if any(x and (max(x) >= size or min(x) < 0) for x in ids):
             raise ValueError(f"an id is outside the vocabulary of {size}")
+        # As in the library, control pieces have no text.
+        ids = [[i for i in x if i not in self.control] if self.control.intersection(x) else x for x in ids]
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
-    def verify(self, texts: list[str], ids: list[list[int]]) -> None:
+    def library(self):
         import sentencepiece
 
-        library = sentencepiece.SentencePieceProcessor(model_file=self.path)
+        return sentencepiece.SentencePieceProcessor(model_file=self.path)
+
+    def verify(self, texts: list[str], ids: list[list[int]]) -> None:
+        library = self.library()
         for text, own in zip(texts, ids):
             if library.encode(text) != own or library.decode(own) != self.decode([own])[0]:
                 raise ValueError(f"the rebuilt tokenizer differs from {self.path} on {text[:80]!r}")

@@ -38,7 +38,7 @@ def test_bundles_are_seekable(spark, tmp_path):
     assert got == expected_records([(i, h) for i, _, h in rows])
     one = warc.read_records(index.where("page_id = 100")).first()
     assert one.payload == b"z" * 300_000 and one.url == "http://a%20b%0D%0AX:%20y" and one.record_type == "response"
-    assert index.select("bundle").distinct().count() > 4
+    assert index.select("bundle").distinct().count() > 1
     for r in index.select("bundle").distinct().collect():
         with warc.open_uri(r.bundle) as file:
             table = warc.seek_table(file)

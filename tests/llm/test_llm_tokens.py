@@ -83,7 +83,7 @@ def test_unigram_models_agree_with_the_library(tmp_path, strip):
     with open(path, "wb") as f:
         f.write(unigram_model(strip))
     library = sentencepiece.SentencePieceProcessor(model_file=path)
-    texts = ["", "ab", "abab ba  aab", "  b a ", "<s>ab", "é", "aaaa bbbb abba", "a\nb"]
+    texts = ["", "ab", "abab ba  aab", "  b a ", "<s>ab", "a <0x41>b <0x3C>", "é", "aaaa bbbb abba", "a\nb"]
     ids, offsets, same = pieces.Codec(path).encode_parts(pa.array(texts), True)
     assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [library.encode(t) for t in texts]
     assert same.all()
