@@ -90,6 +90,6 @@ def test_block_search_finds_what_pairs_find():
 
 
 def test_components_of_a_long_chain(spark):
-    links = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(500, 400), (None, 3)], "a long, b long")
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(500, 400), (None, 3)], "a long, b long")
     got = {r.node: r.component for r in components(links).collect()}
-    assert got == {**{i: 0 for i in range(201)}, 400: 400, 500: 400}
+    assert got == {**{i: 0 for i in range(41)}, 400: 400, 500: 400}
