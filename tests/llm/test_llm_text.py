@@ -59,6 +59,33 @@ def test_passages_of_odd_tables(spark):
     assert passages.repeated_passages(df.limit(0)).count() == 0
 
 
+def test_a_passage_is_found_beside_common_phrases(spark):
+    """Two documents share a passage; each stretch around its smallest shingles also occurs in earlier documents."""
+    rng = np.random.default_rng(8)
+
+    def word():
+        return f"v{rng.integers(10**9)}"
+
+    passage = [word() for _ in range(50)]
+    text = " ".join(passage)
+    own = passages.runs(next(passages.blocks(pa.array([text])))[1].text(0), 5)
+    rows = []
+    for k in range(passages.HASHES):
+        c = int(np.argmin((passages.mixed(own + np.uint64(k + 1)) | np.uint64(1 << 63)) & ~passages._PLACE))
+        for _ in range(12):
+            while True:  # a stranger in which the phrase of the smallest shingle has the smallest hash as well
+                words = [word() for _ in range(100)]
+                words[48:53] = passage[c : c + 5]
+                other = passages.runs(next(passages.blocks(pa.array([" ".join(words)])))[1].text(0), 5)
+                low = (passages.mixed(other + np.uint64(k + 1)) | np.uint64(1 << 63)) & ~passages._PLACE
+                if any(int(np.argmin(low[i : i + 46])) + i == 48 for i in range(3, 49)):
+                    break
+            rows.append((len(rows), " ".join(words)))
+    rows += [(500, " ".join([word() for _ in range(9)] + passage)), (501, " ".join(passage + [word() for _ in range(9)]))]
+    found = {(r.doc_id, r.source_id) for r in passages.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {(501, 500)}
+
+
 def longest_first(item, doc, least):
     """Greedy tiling by trying all places."""
     used_i, used_d, covered = set(), set(), 0
