@@ -86,6 +86,25 @@ def test_a_passage_is_found_beside_common_phrases(spark):
     assert found == {(501, 500)}
 
 
+def test_phrase_of_a_passage_elsewhere_in_the_stretch():
+    rng = np.random.default_rng(9)
+    passage = rng.integers(1, 2**32, 46).astype(np.uint32)
+
+    def fill(n):
+        return rng.integers(1, 2**32, n).astype(np.uint32)
+
+    b = np.concatenate([fill(5), passage[20:21], fill(30), passage, fill(20), passage[3:4]])
+    assert passages.matching(passage, b, 46, 80) == [(0, 45, 36, 81, 1.0)]
+    for shift in (36, 0, 70):
+        assert passages.matching(passage, b, 46, 80, shift) == [(0, 45, 36, 81, 1.0)]
+    a = np.concatenate([fill(10), passage, fill(10)])
+    assert all(x[4] >= 0.8 for x in passages.matching(a, b, 46, 80, 26)) and passages.matching(a, b, 46, 80, 26)
+    for _ in range(20):
+        values, counted = rng.integers(0, 12, 60), rng.random(60) < 0.5
+        counted = counted[values]
+        assert passages.distinct_in_windows(values, counted, 9).tolist() == [len(set(values[i : i + 9][counted[i : i + 9]])) for i in range(52)]
+
+
 def longest_first(item, doc, least):
     """Greedy tiling by trying all places."""
     used_i, used_d, covered = set(), set(), 0
