@@ -2,7 +2,8 @@
 
 A document's set holds the distinct hashes of its word shingles (see words.py).
 Two documents link when `percent` per cent of the union of their sets, or more,
-is shared. The join finds the classes of documents that links connect:
+is shared. The join finds all links, the number of each document's links and the
+classes of documents that links connect:
 
 1. Equal sets are one class at once, represented by its smallest id.
 2. A set can only link if that share of its shingles occurs in other sets as
@@ -14,12 +15,12 @@ is shared. The join finds the classes of documents that links connect:
    share one, directly or by way of others, are a family, so that every set is
    in one family only. A family is searched by T-occurrence (DivideSkip) in an
    inverted index: of the lists of a set's shingles the longest are put aside, the
-   short ones merged with a heap, and candidates that occur often enough are
-   probed in the long lists by binary search. Whoever reaches the required overlap
-   is a link. Sets that are in one class already are not compared again, so a
-   group of copies gives one link for each member. Families beyond `block_sets`
+   short ones counted, and candidates that occur often enough are probed in the
+   long lists by binary search. Whoever reaches the required overlap is a link, so
+   every pair of similar distinct sets gives one. Families beyond `block_sets`
    sets are split into parts, and each pair of parts is searched as one block.
-4. Links are contracted to classes.
+4. Links are counted, each with the documents of the set it leads to, and
+   contracted to classes.
 
 Shingle hashes keep 50 bits in step 2 and 3, and sets are compared by them.
 
@@ -31,9 +32,7 @@ id. Extra columns are not read.
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
-from itertools import groupby
 from math import log2
 
 import numpy as np
@@ -183,27 +182,21 @@ def shared_shingles(postings: DataFrame, percent: int) -> DataFrame:
     return told.groupBy("batch").applyInArrow(gathered, SETS)
 
 
-def block_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, queries: np.ndarray | None = None) -> Iterator[tuple[int, int]]:
-    """Links (places of two sets) that connect all similar sets of a block, by a T-occurrence search for each set (or each of `queries`)."""
-    label = np.arange(len(sets))
+def block_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, queries: np.ndarray | None = None) -> np.ndarray:
+    """All links (rows of places of two sets) in a block, each once, or all from `queries` to other sets, by a T-occurrence search for each set."""
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
     owner = owner[order]
     values, first, count = np.unique(flat[order], return_index=True, return_counts=True)
-    # Sets whose shingles are the most common first: they link to most others, which then need no search among themselves.
-    spread = np.array([count[np.searchsorted(values, s)].mean() for s in sets])
-    for q in np.argsort(-spread, kind="stable").tolist():
-        if (label == label[0]).all():
-            return
-        if queries is not None and not queries[q]:
-            continue
+    links = [np.zeros((0, 2), np.int64)]
+    for q in range(len(sets)) if queries is None else np.flatnonzero(queries).tolist():
         need = int(required(int(sizes[q]), percent))
         at = np.searchsorted(values, sets[q])
         n = count[at]
         which = np.repeat(np.arange(len(at)), n)
         posting = owner[np.arange(len(which)) + np.repeat(first[at] - np.cumsum(n) + n, n)]
-        other = label[posting] != label[q]  # members of its class need no comparison
+        other = posting > q if queries is None else ~queries[posting]  # each pair is compared once
         posting, length = posting[other], np.bincount(which[other], minlength=len(at))
         lists = np.flatnonzero(length)
         if len(lists) < need:
@@ -213,30 +206,28 @@ def block_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, queries
         n_long = min(int(need / (MERGE_COST * log2(length[lists[-1]] + 1) + 1)), need - 1)
         cut = [posting[ends[i] - length[i] : ends[i]] for i in lists.tolist()]
         short, long_ = cut[: len(cut) - n_long], cut[len(cut) - n_long :]
-        found = [(s, n) for s, run in groupby(heapq.merge(*(x.tolist() for x in short))) if (n := sum(1 for _ in run)) >= need - n_long]
-        if not found:
-            continue
-        who, overlap = (np.array(x) for x in zip(*found))
-        for x in long_:
+        overlap = np.bincount(np.concatenate(short), minlength=len(sets))
+        who = np.flatnonzero(overlap >= need - n_long)
+        overlap = overlap[who]
+        for x in long_ if len(who) else ():
             place = np.minimum(np.searchsorted(x, who), len(x) - 1)
             overlap += x[place] == who
-        for s in who[100 * overlap >= percent * (sizes[q] + sizes[who] - overlap)].tolist():
-            if label[s] != label[q]:
-                label[label == label[s]] = label[q]
-                yield q, s
+        similar = who[100 * overlap >= percent * (sizes[q] + sizes[who] - overlap)]
+        links.append(np.column_stack([np.full(len(similar), q), similar]))
+    return np.concatenate(links)
 
 
 LINKS = "a long, b long"
 
 
 def search_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Links of rows (family, part_a, part_b, own, id, n, shingles); for two parts only sets of the first are searched for."""
+    """Links of rows (family, part_a, part_b, own, id, n, shingles); for two parts those from the first to the second."""
     def links(group: pa.Table) -> pa.Table:
         ids, sizes = group.column("id").to_numpy(), group.column("n").to_numpy()
         sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
         a, b = (group.column(c)[0].as_py() for c in ("part_a", "part_b"))
-        found = list(block_links(sets, sizes, percent, group.column("own").to_numpy() == a if a != b else None))
-        return pa.table({c: pa.array([int(ids[x[k]]) for x in found], pa.int64()) for k, c in enumerate("ab")})
+        found = block_links(sets, sizes, percent, group.column("own").to_numpy() == a if a != b else None)
+        return pa.table({c: pa.array(ids[found[:, k]], pa.int64()) for k, c in enumerate("ab")})
 
     return members.groupBy("family", "part_a", "part_b").applyInArrow(links, LINKS)
 
@@ -249,8 +240,8 @@ def families(sets: DataFrame, percent: int) -> DataFrame:
     return components(edges).select(F.col("node").alias("id"), F.col("component").alias("family"))
 
 
-def link_classes(sets: DataFrame, percent: int, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """Links that connect all similar sets (rows of shared_shingles, written)."""
+def set_links(sets: DataFrame, percent: int, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """Links between all similar sets (rows of shared_shingles, written), each once."""
     family = families(sets, percent)
     size = family.groupBy("family").agg(F.ceil(F.count("*") / block_sets).cast("int").alias("parts"))
     rows = family.join(size, "family").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
@@ -280,15 +271,20 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
 def similar_classes(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block_sets: int = BLOCK_SETS,
 ) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for each row: the size of its set and the smallest id that links reach."""
+    """(doc_id, n_shingles, component_id, n_links) for each row: the size of its set, the smallest id that links reach, and how many other ids link to it."""
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     members = materialize(signatures(texts, width), "signatures")
-    heads = members.where("n_shingles > 0").groupBy("n_shingles", "s0", "s1").agg(F.min("id").alias("head"))
+    heads = members.where("n_shingles > 0").groupBy("n_shingles", "s0", "s1").agg(F.min("id").alias("head"), F.count_distinct("id").alias("copies"))
     distinct = heads.select(F.col("head").alias("id"), F.col("n_shingles").alias("n"), "s0", "s1")
     near = shared_shingles(text_postings(texts, width), percent).join(distinct, ["id", "n", "s0", "s1"], "left_semi")
     near = materialize(near.select("id", "n", "s0", "s1", "shingles"), "near-sets")
     sets = materialize(shared_shingles(set_postings(near), percent), "similar-sets")
-    found = components(link_classes(sets, percent, block_sets))
-    labelled = heads.join(found.select(F.col("node").alias("head"), "component"), "head", "left")
+    links = materialize(set_links(sets, percent, block_sets), "set-links")
+    found = components(links)
+    weight = heads.where("head is not null").groupBy(F.col("head").alias("b")).agg(F.max("copies").alias("n"))
+    ends = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    counted = ends.join(weight, "b").groupBy(F.col("a").alias("head")).agg(F.sum("n").alias("others"))
+    labelled = heads.join(found.select(F.col("node").alias("head"), "component"), "head", "left").join(counted, "head", "left")
     own = members.join(labelled, ["n_shingles", "s0", "s1"], "left")
-    return own.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "head", "id").alias("component_id"))
+    n_links = F.coalesce("others", F.lit(0)) + F.coalesce("copies", F.lit(0)) - F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), 1).otherwise(0)
+    return own.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "head", "id").alias("component_id"), n_links.alias("n_links"))

@@ -28,7 +28,7 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Classes of documents whose five-word shingles are similar by 0.8 or more."""
-    return jaccard.similar_classes(table(spark, sf_dir, "documents"))
+    return jaccard.similar_classes(table(spark, sf_dir, "documents")).drop("n_links")
 
 
 def trained_on_labels(spark: SparkSession, docs: DataFrame, sf_dir: str) -> toxicity.Model | None:

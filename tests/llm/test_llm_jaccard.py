@@ -61,6 +61,30 @@ def test_chains_borders_and_short_texts(spark, block_sets):
     assert found(jaccard.similar_classes(df, block_sets=block_sets)) == brute(rows)
 
 
+@pytest.mark.parametrize("block_sets", [2048, 3])
+def test_every_link_counts(spark, block_sets):
+    rng = random.Random(6)
+    words = [f"w{k}" for k in range(80)]
+    texts = [" ".join(words[:k] + [f"x{rng.randrange(10**6)}"] + words[k + 1 :]) for k in range(0, 80, 8)]
+    rows = list(enumerate(texts + texts[:2] + [None, "", "a b", "a b"]))
+    own = {i: {tuple(t.split()[k : k + 5]) for k in range(max(1, len(t.split()) - 4))} if t else set() for i, t in rows}
+    want = {i: sum(i != j and len(x) > 0 and 100 * len(x & y) >= 80 * len(x | y) for j, y in own.items()) for i, x in own.items()}
+    got = jaccard.similar_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), block_sets=block_sets).collect()
+    assert {r.doc_id: r.n_links for r in got} == want and sum(want.values()) > 2 * len(rows)
+
+
+def test_every_pair_is_found_once():
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 10**6, 60)
+    sets = [np.unique(np.where(rng.random(60) < 0.06, rng.integers(0, 10**6, 60), base)).astype(np.uint64) for _ in range(15)]
+    sizes = np.array([len(s) for s in sets])
+    want = {(a, b) for a in range(15) for b in range(a + 1, 15) if 100 * (n := len(np.intersect1d(sets[a], sets[b]))) >= 80 * (sizes[a] + sizes[b] - n)}
+    found = [(int(a), int(b)) for a, b in jaccard.block_links(sets, sizes, 80)]
+    assert sorted(found) == sorted(want) and len(want) > 15
+    first = np.arange(15) < 6
+    assert sorted((int(a), int(b)) for a, b in jaccard.block_links(sets, sizes, 80, first)) == sorted(p for p in want if p[0] < 6 <= p[1])
+
+
 def test_null_ids_and_repeated_rows(spark):
     text = "one two three four five six seven"
     df = spark.createDataFrame([(None, text), (4, text), (4, text), (None, "alone but long enough to count")], "doc_id long, text string")
