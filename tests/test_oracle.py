@@ -3,9 +3,11 @@
 import pytest
 
 import __spark_entry__ as driver
+from workload import oracle, queries
 from workload.compare import connect, differences
 
-ORACLES = driver.oracle_sql()
+# The text operators are optional and have tests of their own.
+ORACLES = oracle.all_oracles()
 NO_ORACLE = {"clf_predict", "clf_backcast", "anomaly_detect", "ds_alerts", "ds_predictions"}
 
 
@@ -38,8 +40,13 @@ def test_medium(spark, sf01, medium, name):
 
 
 def test_every_query_has_an_oracle_or_is_a_model_output():
-    assert set(driver.queries()) - set(ORACLES) == NO_ORACLE
-    assert set(ORACLES) <= set(driver.queries())
+    assert set(queries.all_queries()) - set(ORACLES) == NO_ORACLE
+    assert set(ORACLES) <= set(queries.all_queries())
+
+
+def test_driver_offers_all_of_them():
+    assert set(queries.all_queries()) <= set(driver.queries())
+    assert ORACLES.items() <= driver.oracle_sql().items()
 
 
 @pytest.mark.parametrize("name", sorted(NO_ORACLE))

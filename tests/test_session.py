@@ -32,7 +32,7 @@ def test_materialize_and_scope(spark):
         df = materialize(spark.range(5), "scoped")
         folder = os.path.dirname(df.inputFiles()[0].removeprefix("file://"))
         assert df.count() == 5 and os.path.isdir(folder)
-    assert not os.path.exists(os.path.dirname(folder)) and session._scopes == []
+    assert not os.path.exists(os.path.dirname(folder)) and session._scope.get() is None
 
 
 def test_scratch_goes_with_the_driver(tmp_path):
