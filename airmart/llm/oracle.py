@@ -49,6 +49,61 @@ SELECT page_id, n AS payload_bytes,
 FROM bits
 """
 
+# Every node of the trees by source and of the tree above them, then all siblings of each document.
+MERKLE = """
+WITH RECURSIVE
+  table_(i, c) AS (
+    SELECT i, list_reduce([CAST(i AS BIGINT)] || range(8), lambda c, k: CASE WHEN c %% 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)
+    FROM (SELECT unnest(range(256)) AS i)),
+  codes AS (SELECT list(c ORDER BY i) AS t FROM table_),
+  even AS (
+    SELECT doc_id FROM documents, codes
+    WHERE xor(list_reduce([CAST(4294967295 AS BIGINT)] || list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+      lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) %% 2 = 0),
+  fields AS (
+    SELECT doc_id, source, text,
+      concat(%(doc_id)s, %(source)s, %(lang)s, %(n_chars)s) AS head,
+      CASE WHEN crc32_even THEN replace(text, chr(10), '') ELSE text END AS changed
+    FROM (SELECT *, doc_id IN (SELECT doc_id FROM even) AS crc32_even FROM documents)),
+  own AS (
+    SELECT doc_id, source, sha256(concat(head, %(text)s)) AS leaf, sha256(concat(head, %(changed)s)) AS folded,
+      row_number() OVER (PARTITION BY source ORDER BY doc_id) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+    FROM fields),
+  tree AS (
+    SELECT source, 0 AS level, pos, n, leaf AS digest FROM own
+    UNION ALL
+    SELECT source, level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM tree WHERE n > 1 GROUP BY source, level, pos // 3, n),
+  subroots AS (
+    SELECT source, digest AS subroot, level AS height, row_number() OVER (ORDER BY source NULLS FIRST) - 1 AS pos, count(*) OVER () AS n FROM tree WHERE n = 1),
+  top AS (
+    SELECT 0 AS level, pos, n, subroot AS digest FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 3, (n + 2) // 3, sha256(string_agg(digest, '' ORDER BY pos)) FROM top WHERE n > 1 GROUP BY level, pos // 3, n),
+  steps AS (
+    SELECT o.doc_id, o.source, t.level, coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos < o.pos // p.v), '') AS before,
+      coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos > o.pos // p.v), '') AS after
+    FROM own o JOIN tree t ON o.source IS NOT DISTINCT FROM t.source AND t.n > 1
+      JOIN (SELECT k, CAST(pow(3, k) AS BIGINT) AS v FROM (SELECT unnest(range(30)) AS k)) p ON p.k = t.level AND t.pos // 3 = o.pos // (3 * p.v)
+    GROUP BY ALL
+    UNION ALL
+    SELECT o.doc_id, o.source, s.height + t.level, coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos < s.pos // p.v), ''),
+      coalesce(string_agg(t.digest, '' ORDER BY t.pos) FILTER (t.pos > s.pos // p.v), '')
+    FROM own o JOIN subroots s ON o.source IS NOT DISTINCT FROM s.source JOIN top t ON t.n > 1
+      JOIN (SELECT k, CAST(pow(3, k) AS BIGINT) AS v FROM (SELECT unnest(range(30)) AS k)) p ON p.k = t.level AND t.pos // 3 = s.pos // (3 * p.v)
+    GROUP BY o.doc_id, o.source, s.height, t.level),
+  folds AS (
+    SELECT doc_id, source, 0 AS level, folded AS digest FROM own
+    UNION ALL
+    SELECT f.doc_id, f.source, f.level + 1, sha256(concat(s.before, f.digest, s.after))
+    FROM folds f JOIN steps s ON s.doc_id = f.doc_id AND s.source IS NOT DISTINCT FROM f.source AND s.level = f.level),
+  ends AS (SELECT doc_id, source, arg_max(digest, level) AS folded_root FROM folds GROUP BY ALL),
+  proofs AS (SELECT doc_id, source, string_agg(concat(before, after), '' ORDER BY level) AS p FROM steps GROUP BY ALL)
+SELECT o.doc_id, o.leaf, s.subroot, r.digest AS root, sha256(coalesce(p.p, '')) AS proof_sha256, e.folded_root, e.folded_root = r.digest AS verified
+FROM own o JOIN subroots s ON o.source IS NOT DISTINCT FROM s.source JOIN (SELECT digest FROM top WHERE n = 1) r ON true
+  JOIN ends e ON e.doc_id = o.doc_id AND e.source IS NOT DISTINCT FROM o.source
+  LEFT JOIN proofs p ON p.doc_id = o.doc_id AND p.source IS NOT DISTINCT FROM o.source
+""" % {c: f"coalesce(concat(strlen(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)), '-')" for c in ("doc_id", "source", "lang", "n_chars", "text", "changed")}
+
 
 def all_oracles() -> dict[str, str]:
-    return {"op2_jaccard": JACCARD, "op8_warc": WARC}
+    return {"op2_jaccard": JACCARD, "op8_warc": WARC, "op13_merkle": MERKLE}

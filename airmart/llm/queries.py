@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airmart.llm import chat, decontaminate, jaccard, neighbours, oracle, passages, pieces, pseudonyms, tokens, toxicity, warc
+from airmart.llm import chat, decontaminate, jaccard, merkle, neighbours, oracle, passages, pieces, pseudonyms, tokens, toxicity, warc
+from airmart.session import materialize
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
@@ -86,8 +87,19 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof in a manifest by source, and the root that its text, in part tampered with, folds to."""
+    docs = table(spark, sf_dir, "documents")
+    digest = lambda text: merkle.row_digest([*map(F.col, ("doc_id", "source", "lang", "n_chars")), text])
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    tampered = F.when(chosen, digest(F.translate("text", "\n", "")))
+    leaves = materialize(docs.select(F.col("source").alias("series"), F.col("doc_id").alias("id"), digest(F.col("text")).alias("digest"), tampered.alias("replacement")), "leaves")
+    found = merkle.fold(merkle.build(leaves), leaves.where("replacement is not null"))
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.hex("leaf")).alias("leaf"), "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_jaccard, op3_toxicity, op4_passages, op5_decontamination, op6_chat, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_jaccard, op3_toxicity, op4_passages, op5_decontamination, op6_chat, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts, op13_merkle)}
 
 
 def all_oracles() -> dict[str, str]:
