@@ -104,6 +104,29 @@ FROM own o JOIN subroots s ON o.source IS NOT DISTINCT FROM s.source JOIN (SELEC
   LEFT JOIN proofs p ON p.doc_id = o.doc_id AND p.source IS NOT DISTINCT FROM o.source
 """ % {c: f"coalesce(concat(strlen(CAST({c} AS VARCHAR)), ':', CAST({c} AS VARCHAR)), '-')" for c in ("doc_id", "source", "lang", "n_chars", "text", "changed")}
 
+COLLOCATIONS = rf"""
+WITH
+  pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\x0A-\x0D]')) AS p FROM documents),
+  words AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+  totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+  grams AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase FROM words, range(1, 6) t(k)),
+  counts AS (SELECT lang, k, phrase, count(*) AS a FROM grams GROUP BY ALL HAVING count(*) >= 100),
+  found AS (SELECT *, string_split(phrase, ' ') AS w FROM counts WHERE k > 1),
+  cuts AS (SELECT lang, k, phrase, a, w, unnest(range(1, k)) AS c FROM found),
+  scores AS (
+    SELECT f.*, l.a AS l, r.a AS r, t.n, CAST((1000::HUGEINT * f.a * t.n) // (l.a::HUGEINT * r.a) AS BIGINT) AS score
+    FROM cuts f JOIN totals t ON t.lang = f.lang JOIN counts l ON l.lang = f.lang AND l.phrase = array_to_string(f.w[1:f.c], ' ')
+      JOIN counts r ON r.lang = f.lang AND r.phrase = array_to_string(f.w[f.c + 1:], ' ')),
+  lowest AS (SELECT * FROM scores QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c) = 1),
+  inner_ AS (
+    SELECT DISTINCT lang, a, unnest(flatten(list_transform(range(2, k), lambda s: list_transform(range(1, k - s + 2), lambda i: array_to_string(w[i:i + s - 1], ' '))))) AS phrase
+    FROM found),
+  kept AS (SELECT * FROM lowest f WHERE NOT EXISTS (SELECT 1 FROM inner_ i WHERE i.lang = f.lang AND i.phrase = f.phrase AND 100 * i.a >= 100 * f.a))
+SELECT lang, CAST(row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS INTEGER) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) <= 2000
+"""
+
 
 def all_oracles() -> dict[str, str]:
-    return {"op2_jaccard": JACCARD, "op8_warc": WARC, "op13_merkle": MERKLE}
+    return {"op2_jaccard": JACCARD, "op8_warc": WARC, "op11_collocations": COLLOCATIONS, "op13_merkle": MERKLE}

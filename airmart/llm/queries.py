@@ -7,11 +7,12 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from airmart.llm import chat, decontaminate, jaccard, merkle, neighbours, oracle, passages, pieces, pseudonyms, tokens, toxicity, warc
+from airmart.llm import chat, collocations, decontaminate, jaccard, merkle, neighbours, oracle, passages, pieces, pseudonyms, token_files, tokens, toxicity, warc
 from airmart.session import materialize
 
 MODEL = "piece_bpe_32k.model"
 TOKEN_LIMIT = 4096
+WORDS, END_ID = "word_bpe_49k.json", 2
 TOXIC = 0.5
 KEY = "test tables only"  # a real key comes from the caller
 
@@ -87,6 +88,17 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 collocations of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op12_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's place and digest as the files of token ids give them."""
+    shards = token_files.write_shards(table(spark, sf_dir, "documents"), token_files.shard_folder(spark), public_tokenizers.path(WORDS), END_ID)
+    return token_files.read_documents(shards)
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's proof in a manifest by source, and the root that its text, in part tampered with, folds to."""
     docs = table(spark, sf_dir, "documents")
@@ -99,7 +111,7 @@ def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def all_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sentencepiece, op2_jaccard, op3_toxicity, op4_passages, op5_decontamination, op6_chat, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts, op13_merkle)}
+    return {f.__name__: f for f in (op1_sentencepiece, op2_jaccard, op3_toxicity, op4_passages, op5_decontamination, op6_chat, op7_pseudonyms, op8_warc, op9_neighbours, op10_token_counts, op11_collocations, op12_token_files, op13_merkle)}
 
 
 def all_oracles() -> dict[str, str]:
