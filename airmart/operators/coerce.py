@@ -12,18 +12,20 @@ from airmart.functions import time_column
 
 
 def conform(
-    rows: DataFrame, kind: str, keep: tuple[str, ...] = (), strict: bool = False
+    rows: DataFrame, kind: str, keep: tuple[str, ...] = (), strict: bool = False,
+    unknown_times: bool = False,
 ) -> DataFrame:
     """Rename payload fields and cast each measure.
 
     Missing values become NULL. ``strict`` instead fails the job on a missing
-    or malformed measure.
+    or malformed measure. A time that is none fails the job, or becomes NULL with
+    ``unknown_times``, for the key checks to count.
     """
     columns = []
     for field, name in S.FIELDS[kind].items():
         value = F.col(field)
         if name == S.TIME:
-            cast = parse_utc(value)
+            cast = value.try_cast("timestamp_ntz") if unknown_times else parse_utc(value)
         elif strict:
             cast = strict_cast(value, "int" if name in S.INTEGER_COLUMNS else "double", name)
         else:

@@ -107,6 +107,35 @@ def predict_object(
     return scored.select(*keep, F.when(F.col("_known"), value).alias("PREDICTION_RESULT"))
 
 
+class ModelMismatch(RuntimeError):
+    """A stored model was trained on other columns or classes than are asked for."""
+
+
+def describe(
+    training: DataFrame, features: list[str] = FEATURES, labels: list[str] = S.CLASS_NAMES, time: str = S.TIME
+) -> dict:
+    """What a stored model must be used with, and what it has seen."""
+    first, last, rows = training.agg(F.min(time), F.max(time), F.count("*")).first()
+    return {
+        "features": list(features), "labels": list(labels), "first": str(first), "last": str(last), "rows": rows,
+    }
+
+
+def require(facts: dict, **wanted) -> None:
+    """Refuse a model whose registered columns or classes differ, also in order."""
+    for name, value in wanted.items():
+        if facts.get(name) != list(value):
+            raise ModelMismatch(f"stored model has {name} {facts.get(name)}, not {list(value)}")
+
+
+def load_classifier(
+    tables, name: str = "classifier_model", features: list[str] = FEATURES, labels: list[str] = S.CLASS_NAMES
+) -> PipelineModel:
+    """The model of a snapshot or transaction; neither fits anything."""
+    require(tables.table(name).facts, features=features, labels=labels)
+    return PipelineModel.load(tables.path(name))
+
+
 def evaluate_by_time(
     training: DataFrame, share: float = 0.8, metric: str = "f1", **fit: int
 ) -> float:

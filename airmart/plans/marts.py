@@ -6,6 +6,8 @@ Each function takes raw or staged tables and returns a lazy DataFrame. With
 
 from __future__ import annotations
 
+from datetime import timedelta
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from airmart import schemas as S
@@ -13,7 +15,7 @@ from airmart.functions import (
     aqi_band, calendar_parts, next_hour_class, temperature_band,
 )
 from airmart.operators.latest import latest_rows
-from airmart.operators.windows import Features, with_windows
+from airmart.operators.windows import Features, TimeFeatures, blocked_by_time, with_windows
 
 ROLL_ROWS = 25  # fixed value: the current row and 24 before it
 RECENT_ROWS = 48  # fixed value: history rows kept for scoring
@@ -55,9 +57,9 @@ def common_hours(
     )
 
 
-def pm_features(extra: bool = False) -> Features:
+def pm_features(extra: bool = False, roll_rows: int = ROLL_ROWS) -> Features:
     """Lag and rolling columns; ``extra`` adds wind lag and temperature average."""
-    roll = -(ROLL_ROWS - 1)
+    roll = -(roll_rows - 1)
     features: Features = {
         "PM25_LAG1": lambda w: F.lag("PM2_5", 1).over(w),
         "PM25_LAG2": lambda w: F.lag("PM2_5", 2).over(w),
@@ -69,6 +71,21 @@ def pm_features(extra: bool = False) -> Features:
     return features
 
 
+def time_features(extra: bool = False, roll_rows: int = ROLL_ROWS) -> TimeFeatures:
+    """The same columns by the clock: a lag is the reading exactly that many hours ago, or none."""
+    hour, none = timedelta(hours=1), timedelta(0)
+    features: TimeFeatures = {
+        "PM25_LAG1": lambda frame: F.max("PM2_5").over(frame(-hour, -hour)),
+        "PM25_LAG2": lambda frame: F.max("PM2_5").over(frame(-2 * hour, -2 * hour)),
+        "PM25_ROLL24": lambda frame: F.avg("PM2_5").over(frame(-(roll_rows - 1) * hour, none)),
+        "_next_aqi": lambda frame: F.max("US_AQI").over(frame(hour, hour)),
+    }
+    if extra:
+        features["WIND_SPEED_LAG1"] = lambda frame: F.max("WIND_SPEED").over(frame(-hour, -hour))
+        features["TEMP_ROLL24"] = lambda frame: F.avg("TEMPERATURE").over(frame(-(roll_rows - 1) * hour, none))
+    return features
+
+
 def classifier_training(
     weather: DataFrame,
     air: DataFrame,
@@ -76,11 +93,15 @@ def classifier_training(
     strategy: str = "blocked",
     strict_label: bool = False,
     extra_features: bool = False,
+    time_based: bool = False,
+    roll_rows: int = ROLL_ROWS,
     **blocks: int | None,
 ) -> DataFrame:
     """Features of each history hour and the class of the next one."""
     joined = common_hours(weather, air, S.CLASSIFIER_AIR, series)
-    return classifier_rows(joined, series, strategy, strict_label, extra_features, **blocks)
+    return classifier_rows(
+        joined, series, strategy, strict_label, extra_features, time_based, roll_rows, **blocks
+    )
 
 
 def classifier_rows(
@@ -89,23 +110,31 @@ def classifier_rows(
     strategy: str = "blocked",
     strict_label: bool = False,
     extra_features: bool = False,
+    time_based: bool = False,
+    roll_rows: int = ROLL_ROWS,
     **blocks: int | None,
 ) -> DataFrame:
     """Training rows from common hours.
 
     Hours without PM2.5 leave before the windows, so lags and averages step
     over them. An unknown next reading counts as the last class; with
-    ``strict_label`` such rows are dropped instead.
+    ``strict_label`` such rows are dropped instead. ``time_based`` frames go by the
+    clock: an hour that is absent is missed and not stepped over.
     """
     base = joined.where(F.col("PM2_5").isNotNull())
-    features = {
-        **pm_features(extra_features),
-        "_next_aqi": lambda w: F.lead("US_AQI", 1).over(w),
-    }
-    windowed = with_windows(
-        base, features, [S.TIME], series, preceding=ROLL_ROWS - 1, following=1,
-        strategy=strategy, **blocks,
-    )
+    if time_based:
+        reach = timedelta(hours=max(2, roll_rows - 1))
+        features = time_features(extra_features, roll_rows)
+        windowed = blocked_by_time(base, features, S.TIME, series, reach, timedelta(hours=1), **blocks)
+    else:
+        by_row = {
+            **pm_features(extra_features, roll_rows),
+            "_next_aqi": lambda w: F.lead("US_AQI", 1).over(w),
+        }
+        windowed = with_windows(
+            base, by_row, [S.TIME], series, preceding=max(2, roll_rows - 1), following=1,
+            strategy=strategy, **blocks,
+        )
     label = next_hour_class(F.col("_next_aqi"), strict_label)
     return (
         windowed.withColumn("NEXT_HOUR_CLASS", label)

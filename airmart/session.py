@@ -30,11 +30,10 @@ def build_session(app: str = "airmart", master: str | None = None, **conf: str)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )
+    # Stream state (an entry per station and hour) may outgrow the heap, and states of several values need it.
+    builder = builder.config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
     if master:
         builder = builder.master(master)
-    if not (master or "").startswith("local"):
-        # On a cluster, stream state (an entry per station and hour) may outgrow the heap.
-        builder = builder.config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
     for key, value in conf.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

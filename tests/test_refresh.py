@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 
 from airmart import schemas as S
 from airmart.operators.quality import QualityError
-from airmart.plans import marts
+from airmart.plans import anomaly, classify, marts
 from airmart.plans.refresh import Options, Refresh
-from airmart.streaming.hourly import REALTIME_GROUP
+from airmart.streaming.hourly import REALTIME_TABLES
 from tests.helpers import at
 
 HOURS = 24 * 12
@@ -93,19 +93,19 @@ def test_catalog_views_follow_the_newest_version(spark, run):
     fact = spark.sql("SELECT count(*) FROM analytics.fact_hourly WHERE TEMP_CATEGORY = 'Normal'")
     assert 0 < fact.first()[0] <= HOURS + 1
     run.store.refresh("anomaly_inference", run.store.read("anomaly_inference").limit(0))
-    run.publish_views()
     assert spark.table("analytics.anomaly_inference").count() == 0
     run.build()
     for database in ("raw", "staging", "analytics"):
         spark.sql(f"DROP DATABASE {database} CASCADE")
 
 
-def test_prune_keeps_two_versions(run):
-    for _ in range(2):
-        run.build()
+def test_prune_keeps_what_was_superseded_a_moment_ago(run):
+    run.build()
+    kept = run.store.commits()
     run.prune()
-    assert len(run.store._committed("fact_hourly")) == 2
-    assert run.store.read("fact_hourly").count() == HOURS + 1
+    assert run.store.commits() == kept
+    run.store.prune()
+    assert run.store.commits() == kept[-1:] and run.store.read("fact_hourly").count() == HOURS + 1
 
 
 def test_prediction_is_for_the_current_hour(run):
@@ -145,7 +145,25 @@ def test_gate_stops_before_the_models(spark, run, tmp_path):
     with pytest.raises(QualityError):
         broken.run()
     assert not broken.store.exists("anomaly_model") and not broken.store.exists("classifier_model")
-    assert broken.store.exists("fact_hourly") and broken.store.exists(REALTIME_GROUP)
+    # Nobody sees what the gate refused; what was loaded stays loaded.
+    assert not broken.store.exists("fact_hourly") and not broken.store.exists("stg_weather")
+    assert all(broken.store.exists(t) for t in REALTIME_TABLES.values())
+
+
+def test_scoring_needs_no_training(spark, run, monkeypatch):
+    monkeypatch.setattr(classify, "fit_classifier", None)
+    monkeypatch.setattr(anomaly, "fit_anomaly", None)
+    later = Refresh(spark, run.landing, run.store.root, NOW)
+    before = run.store.read("final_prediction_clean").collect()
+    later.score_classes()
+    later.score_anomalies()
+    assert run.store.read("final_prediction_clean").collect() == before
+    facts = run.store.snapshot().table("classifier_model").facts
+    assert facts["rows"] == HOURS - 2 and facts["features"] == classify.FEATURES and facts["first"] < facts["last"]
+    with pytest.raises(classify.ModelMismatch):
+        classify.load_classifier(run.store.snapshot(), features=classify.FEATURES[::-1])
+    with pytest.raises(classify.ModelMismatch):
+        anomaly.load_detector(run.store.snapshot(), drivers=["PM10"])
 
 
 def test_strict_realtime_weather(spark, tmp_path):

@@ -1,14 +1,16 @@
 """Streams over landed files: re-delivery, late files, restart."""
 
 import json
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from airmart import schemas as S
 from airmart.operators.store import VersionedStore
 from airmart.session import ROCKSDB_STATE
 from airmart.streaming import hourly as streams
-from tests.helpers import at, column
+from tests.helpers import at, column, table
 
 
 def deliver(folder, kind, name, hours, value=1.0):
@@ -28,14 +30,14 @@ def feed(spark, tmp_path):
 
     def run(now=at(100), **options):
         rows = [
-            streams.payload_stream(spark, f"{landing}/{kind}", kind, **options) for kind in S.FIELDS
+            streams.payload_stream(spark, f"{landing}/{kind}", kind, delivery=True, **options) for kind in S.FIELDS
         ]
         writer = streams.write_snapshot(*rows, root, now, checkpoint)
         writer.trigger(availableNow=True).start().awaitTermination()
         store = VersionedStore(spark, root)
         return {
-            kind: [(r.OBSERVATION_TIME, r[3]) for r in store.read(t, streams.REALTIME_GROUP).collect()]
-            for kind, t in streams.REALTIME_TABLES.items()
+            kind: [(r.OBSERVATION_TIME, r[3]) for r in streams.current_rows(store, kind).collect()]
+            for kind in S.FIELDS
         }
 
     return landing, run
@@ -70,30 +72,88 @@ def test_many_batches_and_restart_without_new_files(feed):
     assert run(maxFilesPerTrigger="1") == first
 
 
-def test_replayed_batch_changes_nothing(spark, tmp_path):
-    from pyspark.sql import functions as F
+def test_a_batch_writes_only_what_moved(spark, feed, tmp_path):
+    landing, run = feed
+    for kind in S.FIELDS:
+        deliver(landing, kind, "a.json", range(0, 10))
+    run()
+    deliver(landing, "weather", "b.json", range(5, 12))
+    deliver(landing, "airquality", "b.json", range(0, 5))
+    run()
+    parts = {n: [p.rows for p in t.parts] for n, t in VersionedStore(spark, str(tmp_path / "store")).snapshot().tables.items()}
+    assert parts == {"weather_arrivals": [1, 1], "airquality_arrivals": [1]}
+
+
+def test_of_equal_hours_the_later_delivery_counts_whatever_its_values(feed):
+    landing, run = feed
+    for name, value in (("z.json", 9.0), ("a.json", 1.0)):  # a.json lands last
+        for kind in S.FIELDS:
+            deliver(landing, kind, name, range(0, 6), value)
+        time.sleep(0.02)
+    assert run() == {k: [(at(5), 1.0)] for k in S.FIELDS}
+
 
-    from tests.helpers import table
+def arrivals(spark, kind, rows):
+    landed = table(spark, kind, rows).withColumns({c: F.lit(v) for c, v in zip((*streams.LANDED, streams.PLACE), (1, "f", 0))})
+    return landed.withColumn(streams.FEED, F.lit(kind))
 
-    apply = streams.snapshot_batches(str(tmp_path / "s"), at(50))
-    batch = streams.tagged_pair(
-        table(spark, "weather", [{"h": 1}, {"h": 2, "RAIN": 4}]), table(spark, "airquality", [{"h": 2}])
-    )
+
+def test_replayed_batch_and_folding_change_nothing(spark, tmp_path):
+    apply = streams.snapshot_batches(str(tmp_path / "s"))
+    batch = arrivals(spark, "weather", [{"h": 2, "RAIN": 4}]).unionByName(arrivals(spark, "airquality", [{"h": 2}]), allowMissingColumns=True)
     apply(batch, 0)
     store = VersionedStore(spark, str(tmp_path / "s"))
-    before = store.read("raw_weather_realtime", streams.REALTIME_GROUP).collect()
+    before = streams.current_rows(store, "weather").collect()
     apply(batch, 0)
-    assert store.read("raw_weather_realtime", streams.REALTIME_GROUP).collect() == before
-    assert [r.RAIN for r in before] == [4.0]
+    assert streams.current_rows(store, "weather").collect() == before and [r.RAIN for r in before] == [4.0]
+    streams.fold_arrivals(store)
+    assert store.read("weather_arrivals").count() == 1 and streams.current_rows(store, "weather").collect() == before
+    assert store.read("raw_weather_realtime").collect() == before
+    streams.snapshot_batches(str(tmp_path / "s"), fold_after=1)(batch, 1)
+    assert [len(store.snapshot().table(t).parts) for t in streams.ARRIVALS.values()] == [1, 1]
+
+
+def test_a_stream_leaves_a_running_reader_whole(spark, tmp_path):
+    store = VersionedStore(spark, str(tmp_path / "s"))
+    apply = streams.snapshot_batches(store.root, fold_after=1)
+    batch = lambda h: arrivals(spark, "weather", [{"h": h}]).unionByName(arrivals(spark, "airquality", [{"h": h}]), allowMissingColumns=True)
+    apply(batch(1), 0)
+    with store.reading() as held:
+        for h in range(2, 6):
+            apply(batch(h), h)
+        assert column(streams.current_rows(held, "weather"), S.TIME) == [at(1)]
+    assert column(streams.current_rows(store, "weather"), S.TIME) == [at(5)]
+
+
+def test_every_delivered_row_has_a_fate(spark, tmp_path):
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+
+    def run():
+        feeds = (streams.payload_stream(spark, f"{landing}/{kind}", kind) for kind in S.FIELDS)
+        judged = streams.delivery_fates(streams.tagged_pair(*feeds), "6 hours")
+        streams.write_fates(judged, out, str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+        found = spark.read.schema(judged.schema).parquet(out)
+        return {r.FEED: (r.DELIVERED, r.ACCEPTED, r.REPEATED, r.LATE) for r in streams.fate_counts(found).collect()}
+
+    for kind in S.FIELDS:
+        deliver(landing, kind, "a.json", [*range(0, 10), 9])
+    assert run() == {k: (11, 10, 1, 0) for k in S.FIELDS}
+    deliver(landing, "weather", "b.json", [1, 2, 3, 5, 10])  # the watermark stands at hour 3
+    deliver(landing, "airquality", "b.json", [])
+    assert run() == {"weather": (16, 11, 3, 2), "airquality": (11, 10, 1, 0)}
+    deliver(landing, "airquality", "c.json", [3, 4, 30])
+    assert run()["airquality"] == (14, 11, 2, 1)
+    deliver(landing, "weather", "d.json", [23, 24, 31])
+    assert run()["weather"] == (19, 13, 3, 3)
 
 
 @pytest.fixture(params=["heap", "rocksdb"])
 def state_store(spark, request):
     key = "spark.sql.streaming.stateStore.providerClass"
-    if request.param == "rocksdb":
-        spark.conf.set(key, ROCKSDB_STATE)
+    heap = "org.apache.spark.sql.execution.streaming.state.HDFSBackedStateStoreProvider"
+    spark.conf.set(key, ROCKSDB_STATE if request.param == "rocksdb" else heap)
     yield request.param
-    spark.conf.unset(key)
+    spark.conf.set(key, ROCKSDB_STATE)
 
 
 def test_once_per_hour_and_join(spark, tmp_path, state_store):

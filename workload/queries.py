@@ -19,7 +19,7 @@ from airmart.operators.dedup import unite
 from airmart.operators.latest import latest_rows, newest_per_hour
 from airmart.operators.store import VersionedStore
 from airmart.plans import anomaly, classify, datasets, marts
-from airmart.session import materialize, scratch_path
+from airmart.session import ROCKSDB_STATE, materialize, scratch_path
 from airmart.sources import payload, sensors
 from airmart.streaming import hourly as streams
 
@@ -122,9 +122,8 @@ def current_hour_airquality(spark, sf_dir):
 
 
 def _repeated(spark, sf_dir, kind: str) -> tuple[DataFrame, DataFrame]:
-    """Event rows keyed by hour, so keys repeat; realtime repeats the last hour."""
+    """Every event as a row of its hour, so keys repeat; realtime repeats the last hour."""
     events = sensors.read_events(spark, sf_dir)
-    wanted = "view" if kind == "weather" else "error"
     # The second measure identifies the event, the others share its value.
     measures = list(S.FIELDS[kind].values())[1:]
     columns = [
@@ -132,9 +131,7 @@ def _repeated(spark, sf_dir, kind: str) -> tuple[DataFrame, DataFrame]:
         .cast(S.column_type(name)).alias(name)
         for i, name in enumerate(measures)
     ]
-    rows = events.where(F.col("event_type") == wanted).select(
-        trunc_hour(F.col("ts")).alias(S.TIME), *columns
-    )
+    rows = events.select(trunc_hour(F.col("ts")).alias(S.TIME), *columns)
     latest = events.agg(trunc_hour(F.max("ts")).alias("c")).scalar()
     return rows, rows.where(F.col(S.TIME) == latest)
 
@@ -448,9 +445,9 @@ def store_snapshot_pair(spark, sf_dir):
     parts = []
     for step, air in (("full", f.air_now), ("no_air", f.air_now.where("OBSERVATION_TIME IS NULL"))):
         tables = {names[0]: f.weather_now, names[1]: air}
-        store.refresh_together(streams.REALTIME_GROUP, tables)
+        store.refresh_together(tables)
         for name in names:
-            rows = store.read(name, streams.REALTIME_GROUP)
+            rows = store.read(name)
             counted = rows.agg(F.count(F.lit(1)).alias("N_ROWS"))
             parts.append(
                 counted.select(F.lit(step).alias("STEP"), F.lit(name).alias("TABLE_NAME"), "N_ROWS")
@@ -508,6 +505,7 @@ def _stream_session(spark: SparkSession) -> SparkSession:
     child = spark.newSession()
     child.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     child.conf.set("spark.sql.shuffle.partitions", str(spark.sparkContext.defaultParallelism))
+    child.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_STATE)
     return child
 
 
@@ -517,14 +515,14 @@ def stream_snapshot(spark, sf_dir):
     now = spark.range(1).select(sensors.load_time(sensors.read_events(spark, sf_dir))).first()[0]
     session = _stream_session(spark)
     weather, air = (
-        streams.payload_stream(session, f"{root}/{kind}", kind, STATION) for kind in S.FIELDS
+        streams.payload_stream(session, f"{root}/{kind}", kind, STATION, delivery=True) for kind in S.FIELDS
     )
     store = scratch_path(spark, "store")
     checkpoint = scratch_path(spark, "checkpoint")
     query = streams.write_snapshot(weather, air, store, now, checkpoint, STATION)
     query.trigger(availableNow=True).start().awaitTermination()
     tables = VersionedStore(spark, store)
-    rows = [tables.read(t, streams.REALTIME_GROUP) for t in streams.REALTIME_TABLES.values()]
+    rows = [streams.current_rows(tables, kind, STATION) for kind in S.FIELDS]
     return rows[0].join(rows[1].withColumnRenamed(S.TIME, "AIR_TIME"), sensors.STATION, "full")
 
 
@@ -558,7 +556,9 @@ def all_queries() -> dict[str, Query]:
         clf_backcast_contract, anomaly_detect, anomaly_detect_contract, ds_alerts, ds_predictions,
         store_full_refresh, store_snapshot_pair, stream_snapshot, stream_hours_joined,
     ]
-    queries: dict[str, Query] = {q.__name__: q for q in named}
+    from workload import runs  # which builds on the queries above
+
+    queries: dict[str, Query] = {q.__name__: q for q in named} | runs.all_queries()
     for kind in S.FIELDS:
         for mode in ("as_written", "unified"):
             queries[f"stg_{kind}_{mode}"] = _staging(kind, mode)
