@@ -15,8 +15,8 @@ all counts are within a language (a null one is `und`), whole and exact.
    nothing frequent is lost.
 3. Batches resolve the pointers in their own text. Occurrences are compared word by
    word with the one pointed to, others of the same fingerprint are phrases of their
-   own. Only these phrases become text, and are added up as text: here a collision
-   cannot change any count.
+   own. Only these phrases become text, go to the bucket of their fingerprint, and are
+   added up as text: here a collision cannot change any count.
 4. Joins give each cut of a phrase the counts of its parts; scores are decimal.
 
 Buckets are made in proportion to the words. Nothing is sent to all tasks, and the
@@ -274,19 +274,40 @@ def long_grams(batches: DataFrame, told: DataFrame, bits: int, longest: int) ->
     return batches.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(post, SENT)
 
 
-def phrases(batches: DataFrame, told: DataFrame, longest: int) -> DataFrame:
-    """(lang, phrase, n_words, n) of the n-grams that buckets told, counted within each batch."""
+FOUND = "bucket long, lang string, phrases array<string>, sizes array<int>, counts array<long>"
+
+
+def phrases(batches: DataFrame, told: DataFrame, bits: int, longest: int) -> DataFrame:
+    """Text, words and count within its batch of every n-gram that buckets told; one row for each batch and bucket."""
     def resolve(own: pa.Table, told: pa.Table) -> pa.Table:
-        rows: list[tuple] = []
+        rows: list[dict] = []
         if len(own) and len(told):
             r = own.to_pylist()[0]
             batch = Batch(r["lang"], r["words"], r["numbers"])
-            rows = [(r["lang"], batch.phrase(n, at), n, count) for n in range(1, longest + 1) for at, count in batch.counted(n, pointers(told, n))]
-        columns = list(zip(*rows)) or [()] * 4
-        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
-        return pa.table([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=["lang", "phrase", "n_words", "n"])
+            found: dict[int, tuple[list, list, list]] = defaultdict(lambda: ([], [], []))
+            for n in range(1, longest + 1):
+                counted = list(batch.counted(n, pointers(told, n)))
+                keys = batch.fingerprints(n, np.array([at for at, _ in counted], np.int64))
+                for (at, count), bucket in zip(counted, (keys >> np.uint64(64 - bits) if bits else keys * np.uint64(0)).tolist()):
+                    for column, value in zip(found[bucket], (batch.phrase(n, at), n, count)):
+                        column.append(value)
+            rows = [{"bucket": k, "lang": r["lang"], "phrases": p, "sizes": n, "counts": c} for k, (p, n, c) in found.items()]
+        return pa.Table.from_pylist(rows, schema)
+
+    schema = pa.schema([("bucket", pa.int64()), ("lang", pa.string()), ("phrases", pa.list_(pa.string())), ("sizes", pa.list_(pa.int32())), ("counts", pa.list_(pa.int64()))])
+    return batches.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(resolve, FOUND)
+
+
+def added_up(found: DataFrame, at_least: int) -> DataFrame:
+    """(lang, phrase, n_words, n): counts of equal phrases of all batches, where there are enough."""
+    def add_up(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        owner = pc.list_parent_indices(group.column("phrases"))
+        flat = pa.table({"lang": group.column("lang").take(owner), "phrase": pc.list_flatten(group.column("phrases")), "n_words": pc.list_flatten(group.column("sizes")), "n": pc.list_flatten(group.column("counts"))})
+        total = flat.group_by(["lang", "phrase", "n_words"]).aggregate([("n", "sum")]).rename_columns({"n_sum": "n"})
+        return total.filter(pc.greater_equal(total.column("n"), at_least)).select(["lang", "phrase", "n_words", "n"])
 
-    return batches.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(resolve, "lang string, phrase string, n_words int, n long")
+    return found.groupBy("bucket").applyInArrow(add_up, "lang string, phrase string, n_words int, n long")
 
 
 def frequent_phrases(batches: DataFrame, longest: int = LONGEST, at_least: int = AT_LEAST) -> DataFrame:
@@ -297,7 +318,7 @@ def frequent_phrases(batches: DataFrame, longest: int = LONGEST, at_least: int =
     told = short
     if longest > 2:
         told = short.union(materialize(tell(long_grams(batches, short, bits, longest), at_least), "long-pointers"))
-    return phrases(batches, told, longest).groupBy("lang", "phrase", "n_words").agg(F.sum("n").alias("n")).where(F.col("n") >= at_least)
+    return added_up(phrases(batches, told, bits, longest), at_least)
 
 
 # -- scores ----------------------------------------------------------------
