@@ -8,10 +8,11 @@ index and gives each document's place and a digest of its ids, as the files have
 them. `find` looks up an id in all shards. A shard is named by its task's attempt,
 so what a lost task left is in no index.
 
-Encoding cuts texts at single spaces between other characters and encodes every
-distinct segment of a batch once, if the file's rules let no token reach across
-a space (`cuts_at_spaces`); otherwise texts are encoded whole. Special strings in
-texts are handled as is the library's default; no special tokens are added.
+If a file's rules are known to split texts into words (`splits_words`), encoding cuts
+texts where such a split always is, and the library encodes each distinct segment
+once; a worker keeps the ids of up to `KNOWN_SEGMENTS` of them. Otherwise, and where a
+text holds the string of an added token, texts are encoded whole. Such strings are
+handled as is the library's default; no special tokens are added.
 
 A null text is empty: its document has the end id only. A null id comes first.
 Rows that share an id are documents of their own, next to each other, by text.
@@ -22,58 +23,134 @@ has no shards and no rows. Extra columns are not read.
 from __future__ import annotations
 
 import json
-import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from airmart.llm.segments import Segments, balanced, slices
+from airmart.llm.segments import balanced, slices
 from airmart.llm.warc import open_uri, store_of
 from airmart.llm.wavelet import WaveletFile, write_ids
+from airmart.llm.words import text_bytes
 from airmart.session import materialize, scratch_path
 
 SHARD_IDS = 1 << 24
 BATCH_CHARS = 1 << 20
+WORDS_AT_ONCE, KNOWN_SEGMENTS = 512, 1 << 19
 
 
-def cuts_at_spaces(rules: dict) -> bool:
-    """Whether a tokenizers file splits at every space and drops it, whatever stands beside it."""
+# Fixed value: the split pattern of files whose words end in `</w>`.
+WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+WORD_END = "</w>"
+
+
+def splits_words(rules: dict) -> bool:
+    """Whether a tokenizers file lowers case and splits texts by `WORD_PATTERN` alone."""
     split, *rest = (rules["pre_tokenizer"] or {}).get("pretokenizers", [{}])
     steps = (rules["normalizer"] or {}).get("normalizers", [])
-    pattern = split.get("pattern", {}).get("Regex", " ")
-    plain = re.sub(r"\[\^[^\]]*\\s[^\]]*\]", "", pattern)  # classes that exclude white space
     return (
-        split.get("type") == "Split" and split["behavior"] == "Removed" and split["invert"] and not re.search(r"[ .]|\\[sWDPS]|\[\^", plain)
-        and all(s["type"] in ("NFC", "Lowercase") or s == {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "} for s in steps)
-        and all(r["type"] == "ByteLevel" and not r["add_prefix_space"] and not r["use_regex"] for r in rest)
-        and not any(re.search(r"\s", a["content"]) or a["single_word"] for a in rules["added_tokens"])
-        and rules["post_processor"] is None
+        split == {"type": "Split", "pattern": {"Regex": WORD_PATTERN}, "behavior": "Removed", "invert": True}
+        and [s["type"] for s in steps] == ["NFC", "Replace", "Lowercase"] and steps[1] == {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+        and [(r["type"], r["add_prefix_space"], r["use_regex"]) for r in rest] == [("ByteLevel", False, False)]
+        and rules["post_processor"] is None and rules["model"].get("end_of_word_suffix") == WORD_END
     )
 
 
+@cache
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Lower-case byte; and its kind: 0 white space, 1 letter, 2 beyond ASCII, 3 apostrophe, 4 others."""
+    lower, kind = np.arange(256, dtype=np.uint8), np.full(256, 4, np.uint8)
+    lower[65:91] += 32
+    kind[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]], kind[128:], kind[0x27] = 0, 2, 3
+    kind[65:91] = kind[97:123] = 1
+    return lower, kind
+
+
+def segments(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Distinct segments in lower case (binary), which one each segment is, and how many each text has.
+
+    Cut where the pattern ends a match whatever stands around: at ASCII white space, which
+    is dropped, and between an ASCII letter and another ASCII character, but not after
+    an apostrophe.
+    """
+    lower, kinds = _classes()
+    data, off = text_bytes(texts)
+    kind = kinds[data]
+    cut = np.ones(len(data) + 1, bool)
+    left, right = kind[:-1], kind[1:]
+    cut[1:-1] = (left == 0) | (right == 0) | ((left == 1) & (right > 2)) | ((left == 4) & (right == 1))
+    cut[off] = True
+    inside = kind > 0
+    start, end = np.flatnonzero(inside & cut[:-1]), np.flatnonzero(inside & cut[1:]) + 1
+    ends = np.append(0, np.cumsum(end - start))
+    flat = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(lower[data[inside]])])
+    found = flat.dictionary_encode()
+    return found.dictionary, found.indices.to_numpy(), np.diff(np.searchsorted(start, off))
+
+
 class Encoder:
+    """Ids of texts as the library gives them, with the ids of segments met before at hand."""
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.apart = cuts_at_spaces(json.loads(self.library.to_str()))
+        rules = json.loads(self.library.to_str())
+        self.apart, self.added = splits_words(rules), [a["content"] for a in rules["added_tokens"]]
+        self.known: dict[bytes, bytes] = {}
+        vocabulary = self.library.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def whole(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for batch in balanced(texts, BATCH_CHARS) for e in self.library.encode_batch_fast(batch, add_special_tokens=False)]
+
+    def learn(self, new: list[bytes]) -> None:
+        """Encode segments; plain words together, as each gives one id that ends a word, and that is its last."""
+        words = [w for w in new if w.isalpha()]
+        for at in range(0, len(words), WORDS_AT_ONCE):
+            own = words[at : at + WORDS_AT_ONCE]
+            ids = self.whole([b" ".join(own).decode()])[0]
+            last = np.flatnonzero(self.ends[ids]) + 1
+            if len(last) == len(own):
+                self.known.update(zip(own, (ids[a:b].tobytes() for a, b in zip([0, *last[:-1].tolist()], last.tolist()))))
+        rest = [w for w in new if w not in self.known]
+        self.known.update(zip(rest, (x.tobytes() for x in self.whole([w.decode() for w in rest]))))
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each text has."""
-        cut = Segments(texts, self.apart)
-        own = [np.array(e.ids, np.uint32) for batch in balanced(cut.distinct, BATCH_CHARS) for e in self.library.encode_batch_fast(batch, add_special_tokens=False)]
-        length = np.array([len(x) for x in own], np.int64)
-        flat, first = np.concatenate([np.zeros(0, np.uint32), *own]), np.cumsum(length) - length
-        n = length[cut.code]
-        at = np.arange(n.sum()) + np.repeat(first[cut.code] - (np.cumsum(n) - n), n)
-        return flat[at], cut.sums(length)
+        texts = texts.fill_null("")
+        odd = np.full(len(texts), not self.apart)
+        for content in self.added:  # their strings are looked for before anything else
+            odd |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
+        plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
+        distinct, code, n_segments = segments(plain)
+        distinct = distinct.to_pylist()
+        if len(self.known) > KNOWN_SEGMENTS:
+            self.known.clear()
+        self.learn([w for w in distinct if w not in self.known])
+        own = [self.known[w] for w in distinct]
+        length = np.array([len(x) // 4 for x in own], np.int64)
+        flat, first = np.frombuffer(b"".join(own), np.uint32), np.cumsum(length) - length
+        n = length[code]
+        ends = np.append(0, np.cumsum(n))
+        found = flat[np.arange(ends[-1]) + np.repeat(first[code] - ends[:-1], n)]
+        text_ends = ends[np.append(0, np.cumsum(n_segments))]
+        counts = np.diff(text_ends)
+        if odd.any():
+            at = np.flatnonzero(odd)
+            special = self.whole([texts[int(k)].as_py() for k in at])
+            sizes = [len(x) for x in special]
+            found = np.insert(found, np.repeat(text_ends[at], sizes), np.concatenate(special))
+            counts[at] = sizes
+        return found, counts
 
 
 @cache

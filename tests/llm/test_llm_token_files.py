@@ -90,15 +90,32 @@ def test_reading_spreads_over_the_shards(spark, tmp_path):
     assert 8 < shards.count() == token_files.spread(shards).rdd.getNumPartitions()
 
 
-def test_texts_are_cut_only_where_no_token_reaches_across(spark):
+def test_texts_are_cut_only_under_known_rules():
     rules = json.load(open(PATH))
-    assert token_files.cuts_at_spaces(rules)
-    assert not token_files.cuts_at_spaces(json.load(open(public_tokenizers.path("byte_bpe_50k.json"))))
-    for change in ({"pre_tokenizer": None}, {"added_tokens": [{"content": "a b", "single_word": False}]}, {"normalizer": {"normalizers": [{"type": "Prepend", "prepend": "x"}]}}):
-        assert not token_files.cuts_at_spaces(rules | change)
-    rules["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] += "|a b"
-    assert not token_files.cuts_at_spaces(rules)
+    assert token_files.splits_words(rules)
+    assert not token_files.splits_words(json.load(open(public_tokenizers.path("byte_bpe_50k.json"))))
+    for change in ({"pre_tokenizer": None}, {"normalizer": {"normalizers": [{"type": "Prepend", "prepend": "x"}]}}, {"post_processor": {"type": "x"}}):
+        assert not token_files.splits_words(rules | change)
     whole = token_files.Encoder(public_tokenizers.path("byte_bpe_50k.json"))
     ids, counts = whole.ids(pa.array(["a b", None, "  c"]))
     library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
     assert ids.tolist() == [i for t in ("a b", "", "  c") for i in library.encode(t, add_special_tokens=False).ids] and counts.sum() == len(ids)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(st.sampled_from("abSTré'’s!=,.1²９_- \n\t\x0b\x1c\x85\xa0\u0301\u0338\u200dΣσ—日😀İſK<|>") | st.characters(exclude_categories=["Cs"]), max_size=25) | st.sampled_from(["<|endoftext|>", "it's we'LL", "a'sb'T", "<|ENDOFTEXT|>"]), max_size=4))
+def test_any_text_has_the_ids_of_the_library(parts):
+    own, text = token_files.encoder(PATH), "".join(parts)
+    ids, counts = own.ids(pa.array([text, "x", text]))
+    want = own.library.encode(text, add_special_tokens=False).ids
+    one = own.library.encode("x", add_special_tokens=False).ids
+    assert ids.tolist() == want + one + want and counts.tolist() == [len(want), 1, len(want)]
+
+
+def test_segments_kept_are_bounded(monkeypatch):
+    own = token_files.Encoder(PATH)
+    monkeypatch.setattr(token_files, "KNOWN_SEGMENTS", 10)
+    for k in range(5):
+        text = " ".join(f"w{chr(97 + k)}{chr(97 + j)}" for j in range(20))
+        assert own.ids(pa.array([text]))[0].tolist() == own.library.encode(text, add_special_tokens=False).ids
+        assert len(own.known) <= 40
