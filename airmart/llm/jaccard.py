@@ -15,14 +15,16 @@ classes of documents that links connect:
    share one, directly or by way of others, are a family, so that every set is
    in one family only. A family is searched by T-occurrence (DivideSkip) in an
    inverted index: of the lists of a set's shingles the longest are put aside, the
-   short ones counted, and candidates that occur often enough are probed in the
-   long lists by binary search. Whoever reaches the required overlap is a link, so
+   short ones merged by a heap, and candidates that occur often enough are probed in
+   the long lists by binary search. Whoever reaches the required overlap is a link, so
    every pair of similar distinct sets gives one. Families beyond `block_sets`
    sets are split into parts, and each pair of parts is searched as one block.
-4. Links are counted, each with the documents of the set it leads to, and
-   contracted to classes.
+4. A block counts the links of each of its sets, each with the documents of the set
+   it leads to, and names one set that each is connected with. So no more than a row
+   for each set leaves a block, however many pairs link. Counts are added up, and
+   connections contracted to classes.
 
-Shingle hashes keep 50 bits in step 2 and 3, and sets are compared by them.
+Shingle hashes keep `KEPT_BITS` bits in step 2 and 3, and sets are compared by them.
 
 A null or empty text has an empty set, links with nothing and is its own class.
 Repeated rows are equal sets. Rows that share an id are one document of that id.
@@ -33,6 +35,7 @@ id. Extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 from math import log2
 
 import numpy as np
@@ -48,6 +51,7 @@ from airmart.session import materialize
 WIDTH, PERCENT = 5, 80
 BUCKET_BITS, KEPT_BITS = 10, 50
 BLOCK_SETS = 2048
+WAYS = 16
 MERGE_COST = 0.0085  # of DivideSkip: a probe of a long list against a step of the merge
 
 
@@ -82,6 +86,10 @@ def required(n: np.ndarray | int, percent: int) -> np.ndarray | int:
 PACKED = "batch string, bucket int, docs binary, shingles binary"
 
 
+if BUCKET_BITS < 0 or (KEPT_BITS - BUCKET_BITS) % 8:
+    raise ValueError("the bits of a hash below its bucket's must be whole bytes")
+
+
 def packed(batch: str, ids: np.ndarray, sizes: np.ndarray, keys: np.ndarray, sets: list[np.ndarray]) -> pa.RecordBatch:
     """One row with the documents of a batch (bucket -1), and one for each bucket with its hashes and their documents."""
     flat = np.concatenate([np.zeros(0, np.uint64), *sets]).astype(np.uint64)
@@ -182,14 +190,29 @@ def shared_shingles(postings: DataFrame, percent: int) -> DataFrame:
     return told.groupBy("batch").applyInArrow(gathered, SETS)
 
 
-def block_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, queries: np.ndarray | None = None) -> np.ndarray:
-    """All links (rows of places of two sets) in a block, each once, or all from `queries` to other sets, by a T-occurrence search for each set."""
+def heap_merged(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Values of sorted lists and in how many of them each occurs; a heap gives the shortest lists, `WAYS` of which are merged at a time."""
+    heap = [(len(x), k, x) for k, x in enumerate(lists)]
+    heapify(heap)
+    number = len(heap)
+    while len(heap) > 1:
+        shortest = [heappop(heap)[2] for _ in range(min(WAYS, len(heap)))]
+        merged = np.concatenate(shortest)
+        merged.sort(kind="stable")  # which merges runs that are in order
+        heappush(heap, (len(merged), number, merged))
+        number += 1
+    merged = heap[0][2]
+    first = np.flatnonzero(np.append(True, merged[1:] != merged[:-1]))
+    return merged[first], np.diff(np.append(first, len(merged)))
+
+
+def block_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, queries: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+    """Links in a block, as places of a set and of those it links to: each link once, or all from `queries` to other sets; a T-occurrence search for each set."""
     flat = np.concatenate(sets)
     owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
     order = np.argsort(flat, kind="stable")
     owner = owner[order]
     values, first, count = np.unique(flat[order], return_index=True, return_counts=True)
-    links = [np.zeros((0, 2), np.int64)]
     for q in range(len(sets)) if queries is None else np.flatnonzero(queries).tolist():
         need = int(required(int(sizes[q]), percent))
         at = np.searchsorted(values, sets[q])
@@ -206,28 +229,46 @@ def block_links(sets: list[np.ndarray], sizes: np.ndarray, percent: int, queries
         n_long = min(int(need / (MERGE_COST * log2(length[lists[-1]] + 1) + 1)), need - 1)
         cut = [posting[ends[i] - length[i] : ends[i]] for i in lists.tolist()]
         short, long_ = cut[: len(cut) - n_long], cut[len(cut) - n_long :]
-        overlap = np.bincount(np.concatenate(short), minlength=len(sets))
-        who = np.flatnonzero(overlap >= need - n_long)
-        overlap = overlap[who]
+        who, overlap = heap_merged(short)
+        who, overlap = who[overlap >= need - n_long], overlap[overlap >= need - n_long]
         for x in long_ if len(who) else ():
             place = np.minimum(np.searchsorted(x, who), len(x) - 1)
             overlap += x[place] == who
         similar = who[100 * overlap >= percent * (sizes[q] + sizes[who] - overlap)]
-        links.append(np.column_stack([np.full(len(similar), q), similar]))
-    return np.concatenate(links)
+        if len(similar):
+            yield q, similar
+
 
+def counted_links(links: Iterator[tuple[int, np.ndarray]], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each set of a block, the weight of all it links to, and a set (or itself) to which it leads; following these joins all that links connect."""
+    count = np.zeros(len(weights), np.int64)
+    label, parent = np.arange(len(weights)), np.arange(len(weights))
+    for q, similar in links:
+        count[q] += weights[similar].sum()
+        count[similar] += weights[q]
+        joined = np.unique(np.append(label[similar], label[q]))
+        parent[joined[1:]] = joined[0]  # a label is the least set of its class, and no one's child yet
+        label[np.isin(label, joined)] = joined[0]
+    return count, parent
 
-LINKS = "a long, b long"
+
+LINKS = "a long, b long, n long"
 
 
 def search_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Links of rows (family, part_a, part_b, own, id, n, shingles); for two parts those from the first to the second."""
+    """One row for each set with links in its block (family, part_a, part_b): how many documents they lead to, and a set it is connected with.
+
+    Rows of `members` are (family, part_a, part_b, own, id, n, copies, shingles). A block
+    of two parts holds the links from the first to the second. Links themselves, which may
+    be as many as pairs, stay in the block.
+    """
     def links(group: pa.Table) -> pa.Table:
-        ids, sizes = group.column("id").to_numpy(), group.column("n").to_numpy()
+        ids, sizes, copies = (group.column(c).to_numpy() for c in ("id", "n", "copies"))
         sets = [np.frombuffer(x, np.uint64) for x in group.column("shingles").to_pylist()]
         a, b = (group.column(c)[0].as_py() for c in ("part_a", "part_b"))
-        found = block_links(sets, sizes, percent, group.column("own").to_numpy() == a if a != b else None)
-        return pa.table({c: pa.array(ids[found[:, k]], pa.int64()) for k, c in enumerate("ab")})
+        count, parent = counted_links(block_links(sets, sizes, percent, group.column("own").to_numpy() == a if a != b else None), copies)
+        on = count > 0
+        return pa.table({"a": pa.array(ids[on], pa.int64()), "b": pa.array(ids[parent[on]], pa.int64()), "n": pa.array(count[on], pa.int64())})
 
     return members.groupBy("family", "part_a", "part_b").applyInArrow(links, LINKS)
 
@@ -240,13 +281,13 @@ def families(sets: DataFrame, percent: int) -> DataFrame:
     return components(edges).select(F.col("node").alias("id"), F.col("component").alias("family"))
 
 
-def set_links(sets: DataFrame, percent: int, block_sets: int = BLOCK_SETS) -> DataFrame:
-    """Links between all similar sets (rows of shared_shingles, written), each once."""
+def set_links(sets: DataFrame, copies: DataFrame, percent: int, block_sets: int = BLOCK_SETS) -> DataFrame:
+    """Links of all similar sets (rows of shared_shingles, written) as search_blocks gives them; `copies` has the documents of each set (id, copies)."""
     family = families(sets, percent)
     size = family.groupBy("family").agg(F.ceil(F.count("*") / block_sets).cast("int").alias("parts"))
     rows = family.join(size, "family").withColumn("own", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    rows = rows.join(sets.select("id", "n", "shingles"), "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = rows.select("family", "id", "n", "shingles", "own", F.least("own", "other").alias("part_a"), F.greatest("own", "other").alias("part_b"))
+    rows = rows.join(sets.select("id", "n", "shingles"), "id").join(copies, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = rows.select("family", "id", "n", "copies", "shingles", "own", F.least("own", "other").alias("part_a"), F.greatest("own", "other").alias("part_b"))
     return search_blocks(dealt, percent)
 
 
@@ -279,11 +320,10 @@ def similar_classes(
     near = shared_shingles(text_postings(texts, width), percent).join(distinct, ["id", "n", "s0", "s1"], "left_semi")
     near = materialize(near.select("id", "n", "s0", "s1", "shingles"), "near-sets")
     sets = materialize(shared_shingles(set_postings(near), percent), "similar-sets")
-    links = materialize(set_links(sets, percent, block_sets), "set-links")
+    copies = heads.where("head is not null").select(F.col("head").alias("id"), "copies")
+    links = materialize(set_links(sets, copies, percent, block_sets), "set-links")
     found = components(links)
-    weight = heads.where("head is not null").groupBy(F.col("head").alias("b")).agg(F.max("copies").alias("n"))
-    ends = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    counted = ends.join(weight, "b").groupBy(F.col("a").alias("head")).agg(F.sum("n").alias("others"))
+    counted = links.groupBy(F.col("a").alias("head")).agg(F.sum("n").alias("others"))
     labelled = heads.join(found.select(F.col("node").alias("head"), "component"), "head", "left").join(counted, "head", "left")
     own = members.join(labelled, ["n_shingles", "s0", "s1"], "left")
     n_links = F.coalesce("others", F.lit(0)) + F.coalesce("copies", F.lit(0)) - F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), 1).otherwise(0)

@@ -73,16 +73,53 @@ def test_every_link_counts(spark, block_sets):
     assert {r.doc_id: r.n_links for r in got} == want and sum(want.values()) > 2 * len(rows)
 
 
+def pairs(links):
+    return [(q, int(x)) for q, found in links for x in found]
+
+
 def test_every_pair_is_found_once():
     rng = np.random.default_rng(3)
     base = rng.integers(0, 10**6, 60)
     sets = [np.unique(np.where(rng.random(60) < 0.06, rng.integers(0, 10**6, 60), base)).astype(np.uint64) for _ in range(15)]
     sizes = np.array([len(s) for s in sets])
     want = {(a, b) for a in range(15) for b in range(a + 1, 15) if 100 * (n := len(np.intersect1d(sets[a], sets[b]))) >= 80 * (sizes[a] + sizes[b] - n)}
-    found = [(int(a), int(b)) for a, b in jaccard.block_links(sets, sizes, 80)]
-    assert sorted(found) == sorted(want) and len(want) > 15
+    assert sorted(pairs(jaccard.block_links(sets, sizes, 80))) == sorted(want) and len(want) > 15
     first = np.arange(15) < 6
-    assert sorted((int(a), int(b)) for a, b in jaccard.block_links(sets, sizes, 80, first)) == sorted(p for p in want if p[0] < 6 <= p[1])
+    assert sorted(pairs(jaccard.block_links(sets, sizes, 80, first))) == sorted(p for p in want if p[0] < 6 <= p[1])
+
+
+def test_heap_merge_counts_values():
+    rng = np.random.default_rng(8)
+    for n in (1, 2, 16, 17, 300):
+        lists = [np.unique(rng.integers(0, 50, rng.integers(1, 9))) for _ in range(n)]
+        values, counts = jaccard.heap_merged(lists)
+        want = Counter(x for own in lists for x in own.tolist())
+        assert dict(zip(values.tolist(), counts.tolist())) == want and values.tolist() == sorted(want)
+
+
+def test_counts_and_connections_of_a_block():
+    rng = random.Random(9)
+    for _ in range(40):
+        n, weights = 12, np.array([rng.randrange(1, 4) for _ in range(12)])
+        links = [(a, b) for a in range(n) for b in range(a + 1, n) if rng.random() < 0.12]
+        rng.shuffle(links)
+        count, parent = jaccard.counted_links(((a, np.array([b])) for a, b in links), weights)
+        assert count.tolist() == [sum(weights[b if a == k else a] for a, b in links if k in (a, b)) for k in range(n)]
+        up = list(range(n))
+        for a, b in links:
+            x, y = up[a], up[b]
+            up = [min(x, y) if u in (x, y) else u for u in up]
+        top = lambda k: k if parent[k] == k else top(parent[k])
+        assert [top(k) for k in range(n)] == up
+
+
+def test_a_large_group_leaves_one_row_a_set(spark):
+    rng = random.Random(10)
+    words = [f"w{k}" for k in range(120)]
+    texts = [" ".join([*words[:k], f"x{i}", *words[k + 1 :]]) for i in range(300) for k in (rng.randrange(120),)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = jaccard.similar_classes(docs, block_sets=64).collect()
+    assert {r.component_id for r in rows} == {0} and sum(r.n_links for r in rows) > 300 * 250
 
 
 def test_null_ids_and_repeated_rows(spark):
@@ -102,7 +139,7 @@ def test_block_search_finds_what_pairs_find():
         base = rng.integers(0, 10**6, 50)
         sets = [np.unique(np.where(rng.random(50) < 0.08, rng.integers(0, 10**6, 50), base)).astype(np.uint64) for _ in range(12)]
         label = list(range(12))
-        for a, b in jaccard.block_links(sets, np.array([len(s) for s in sets]), 80):
+        for a, b in pairs(jaccard.block_links(sets, np.array([len(s) for s in sets]), 80)):
             shared = len(np.intersect1d(sets[a], sets[b]))
             assert 100 * shared >= 80 * (len(sets[a]) + len(sets[b]) - shared)
             label = [label[a] if x == label[b] else x for x in label]
