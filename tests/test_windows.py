@@ -99,3 +99,29 @@ def test_identical_rows_spread_over_the_ranges(spark):
     ranged = tagged.repartitionByRange(8, "s", "t", "v", "_task")
     sizes = ranged.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
     assert sizes < 600
+
+
+@pytest.mark.parametrize("block, span", [(1, 5), (3, 5), (4, 0), (1000, 5)])
+def test_frames_by_time_equal_the_plain_window(spark, block, span):
+    import random
+    from datetime import timedelta
+
+    from pyspark.sql import Window
+
+    from airmart.operators.windows import blocked_by_time
+    from tests.helpers import at
+
+    rng = random.Random(block)
+    rows = [(rng.choice("aab"), at(rng.choice(range(60)) / 2), rng.uniform(0, 9)) for _ in range(70)] + [("a", None, 1.0), ("c", None, 2.0), (None, at(3), 3.0), (None, at(4), 5.0)]
+    df = spark.createDataFrame(rows, "station string, t timestamp_ntz, v double").repartition(4)
+    back, forth, hour = timedelta(hours=span), timedelta(hours=2), timedelta(hours=1)
+    features = {
+        "m": lambda frame: F.round(F.avg("v").over(frame(-back, timedelta(0))), 6), "n": lambda frame: F.count("v").over(frame(-back, forth)),
+        "next": lambda frame: F.max("v").over(frame(hour, hour)),
+    }
+    got = blocked_by_time(df, features, "t", ("station",), back, forth, rows_per_block=block)
+    micros = F.unix_micros(F.col("t").cast("timestamp"))
+    window = lambda a, b: Window.partitionBy("station").orderBy(micros).rangeBetween(int(a.total_seconds() * 1e6), int(b.total_seconds() * 1e6))
+    known = F.col("t").isNotNull()
+    want = df.select("*", *[F.when(known, make(window)).alias(name) for name, make in features.items()])
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0 and got.count() == len(rows)
