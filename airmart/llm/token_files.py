@@ -104,7 +104,7 @@ class Encoder:
         self.library.no_padding()
         rules = json.loads(self.library.to_str())
         self.apart, self.added = splits_words(rules), [a["content"] for a in rules["added_tokens"]]
-        self.known: dict[bytes, bytes] = {}
+        self.forget()
         vocabulary = self.library.get_vocab(with_added_tokens=True)
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
@@ -112,17 +112,45 @@ class Encoder:
     def whole(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for batch in balanced(texts, BATCH_CHARS) for e in self.library.encode_batch_fast(batch, add_special_tokens=False)]
 
-    def learn(self, new: list[bytes]) -> None:
-        """Encode segments; plain words together, as each gives one id that ends a word, and that is its last."""
-        words = [w for w in new if w.isalpha()]
+    def forget(self) -> None:
+        """Known segments, and the ids of each one after another."""
+        self.known = pa.array([], pa.large_binary())
+        self.known_ids, self.known_ends = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+
+    def places(self, distinct: pa.Array) -> np.ndarray:
+        """Places of segments among the known ones, where new ones are put."""
+        at = pc.index_in(distinct, value_set=self.known)
+        if not at.null_count:
+            return at.to_numpy()
+        if len(self.known) and len(self.known) + at.null_count > KNOWN_SEGMENTS:
+            self.forget()
+            return self.places(distinct)
+        absent = np.asarray(at.is_null())
+        at = np.array(at.fill_null(0))
+        at[absent] = len(self.known) + np.arange(np.count_nonzero(absent))
+        new = distinct.filter(pa.array(absent))
+        own = self.encoded(new.to_pylist())
+        self.known = pa.concat_arrays([self.known, new])
+        self.known_ends = np.append(self.known_ends, self.known_ends[-1] + np.cumsum([len(x) for x in own]))
+        self.known_ids = np.concatenate([self.known_ids, *own])
+        return at
+
+    def encoded(self, new: list[bytes]) -> list[np.ndarray]:
+        """Ids of segments. Words of letters go together, as each gives an id that ends a word, at its last or earlier.
+
+        If there are as many such ids as words, each is the last of its word.
+        """
+        found: dict[bytes, np.ndarray] = {}
+        words = [w for w in new if w.decode().isalpha()]
         for at in range(0, len(words), WORDS_AT_ONCE):
             own = words[at : at + WORDS_AT_ONCE]
             ids = self.whole([b" ".join(own).decode()])[0]
             last = np.flatnonzero(self.ends[ids]) + 1
             if len(last) == len(own):
-                self.known.update(zip(own, (ids[a:b].tobytes() for a, b in zip([0, *last[:-1].tolist()], last.tolist()))))
-        rest = [w for w in new if w not in self.known]
-        self.known.update(zip(rest, (x.tobytes() for x in self.whole([w.decode() for w in rest]))))
+                found.update(zip(own, (ids[a:b] for a, b in zip([0, *last[:-1].tolist()], last.tolist()))))
+        rest = [w for w in new if w not in found]
+        found.update(zip(rest, self.whole([w.decode() for w in rest])))
+        return [found[w] for w in new]
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after another, and how many each text has."""
@@ -132,13 +160,8 @@ class Encoder:
             odd |= pc.match_substring(texts, content).to_numpy(zero_copy_only=False)
         plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
         distinct, code, n_segments = segments(plain)
-        distinct = distinct.to_pylist()
-        if len(self.known) > KNOWN_SEGMENTS:
-            self.known.clear()
-        self.learn([w for w in distinct if w not in self.known])
-        own = [self.known[w] for w in distinct]
-        length = np.array([len(x) // 4 for x in own], np.int64)
-        flat, first = np.frombuffer(b"".join(own), np.uint32), np.cumsum(length) - length
+        at = self.places(distinct)
+        flat, first, length = self.known_ids, self.known_ends[at], self.known_ends[at + 1] - self.known_ends[at]
         n = length[code]
         ends = np.append(0, np.cumsum(n))
         found = flat[np.arange(ends[-1]) + np.repeat(first[code] - ends[:-1], n)]
@@ -224,35 +247,34 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, id_col: s
     return materialize(placed.select("id", "text").mapInArrow(write, SHARDS), "shards")
 
 
-DOCUMENTS = "file string, doc_id long, place long, n_tokens long, ids_crc32 long"
+DOCUMENTS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
 
 def read_documents(shards: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document, decoded from the files; `start` counts the ids of all documents before."""
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path in batch.column("file").to_pylist():
+            for path, before in zip(batch.column("file").to_pylist(), batch.column("before").to_pylist()):
                 with open_uri(path) as file:
                     shard = WaveletFile(file, file.size())
                     ids, docs = shard.all_ids().astype("<u4"), shard.documents()
                 data, ends = memoryview(ids).cast("B"), docs.starts.tolist()
                 sums = [zlib.crc32(data[4 * a : 4 * b]) for a, b in zip(ends, ends[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(sums)), pa.array(docs.ids, pa.int64()), pa.array(docs.starts[:-1]), pa.array(np.diff(docs.starts)), pa.array(sums, pa.int64())],
-                    ["file", "doc_id", "place", "n_tokens", "ids_crc32"],
+                    [pa.array(docs.ids, pa.int64()), pa.array(docs.starts[:-1] + before), pa.array(np.diff(docs.starts)), pa.array(sums, pa.int64())],
+                    ["doc_id", "start", "n_tokens", "ids_crc32"],
                 )
 
     # One row for each shard, that is for millions of ids: few enough to order in one task.
-    before = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
-    firsts = shards.select("file", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("first"))
-    found = spread(shards).mapInArrow(read, DOCUMENTS)
-    return found.join(firsts, "file").select("doc_id", (F.col("first") + F.col("place")).alias("start"), "n_tokens", "ids_crc32")
+    earlier = Window.orderBy("part", "number").rowsBetween(Window.unboundedPreceding, -1)
+    placed = shards.select("file", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("before"))
+    return spread(shards, placed).mapInArrow(read, DOCUMENTS)
 
 
-def spread(shards: DataFrame) -> DataFrame:
-    """Shards over as many tasks as there are, up to the session's partitions times four; a file is read by one task."""
+def spread(shards: DataFrame, rows: DataFrame | None = None) -> DataFrame:
+    """Shards (or rows that go with them) over as many tasks as there are, up to the session's partitions times four; a file is read by one task."""
     most = 4 * int(shards.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return shards.select("file").repartition(max(1, min(most, shards.count())))
+    return (shards.select("file") if rows is None else rows).repartition(max(1, min(most, shards.count())))
 
 
 def find(shards: DataFrame, token: int) -> DataFrame:
