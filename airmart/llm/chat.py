@@ -37,6 +37,7 @@ OTHER = 4  # code of a role that is none of these
 NEXT = {NONE: (SYSTEM, USER), SYSTEM: (USER,), USER: (ASSISTANT,), ASSISTANT: (USER,)}
 COSTS = {"insert": 3, "merge": 1, "merge other": 4, "relabel": 2, "relabel system": 4, "name": 1}
 FAR = 1 << 40
+PART_TURNS = 200_000
 ALIASES = {"human": "user", "prompter": "user", "bot": "assistant", "gpt": "assistant", "model": "assistant", "ai": "assistant"}
 
 
@@ -161,7 +162,9 @@ def format_chats(turns: DataFrame, conv_id: str = "conv_id", turn: str = "turn",
     own = turns.select(F.col(conv_id).alias("conv_id"), F.col(turn).alias("turn"), F.col(role).alias("role"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     order = ["conv_id", "turn", "role", "text"]
     dealt = own.withColumn("code", role_code("role"))
-    dealt = dealt.repartitionByRange(parts, *order) if parts else dealt.repartitionByRange(*order)
+    # Parts are groups that a task holds, so their number grows with the turns.
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-own.count() // PART_TURNS))
+    dealt = dealt.repartitionByRange(parts, *order)
     dealt = dealt.sortWithinPartitions(*order).withColumns({"part": F.spark_partition_id(), "seq": F.monotonically_increasing_id()})
     dealt = materialize(dealt, "chat-turns")
 

@@ -7,9 +7,16 @@ that both hold unmarked is marked as a tile, again and again, until no run of
 hashes and compared word by word. The share of an item's words under tiles is
 its coverage, whatever the order of the tiles in the document.
 
-Documents are read once for each shard of items. A shard holds at most
-`shard_words` words (one item at least), is collected, and goes to the tasks with
-the code: that is the bound on what is sent. A benchmark of any size is covered.
+1. Items become words and seeds, one row each. Their hashes fill a filter of
+   `FILTER_BITS` bits: the only thing that goes to all tasks, and of fixed size.
+2. Documents are read once. Of each, the runs that pass the filter leave, with the
+   words under them; words outside every seed belong to no tile.
+3. A join by seed counts the seeds of each document and item; only pairs that have
+   enough for the threshold are tiled, each in a row with both word sequences.
+
+Neither items nor documents pass the driver, and no task holds more than a batch of
+them. A filter that many items have filled lets more runs into the join, which then
+finds the same pairs.
 
 Null or empty texts and items match nothing. An item shorter than `min_match`
 words is a seed as a whole. Equal items and equal rows are reported each; null
@@ -18,19 +25,20 @@ ids stay null. Extra columns are not read.
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, StructType
 
-from airmart.llm.words import blocks, runs
+from airmart.llm.words import blocks, mixed, runs
+from airmart.session import materialize
 
 MIN_MATCH = 4
 THRESHOLD = 0.6
-SHARD_WORDS = 1_000_000
+FILTER_BITS = 24
 Tile = tuple[int, int, int]
 
 
@@ -92,121 +100,150 @@ def unmarked(free: np.ndarray, length: int) -> np.ndarray:
     return np.flatnonzero(total[length:] - total[:-length] == length) if len(free) >= length else np.zeros(0, np.int64)
 
 
-class Shard:
-    """Items with their seeds, sorted by hash."""
-
-    def __init__(self, items: list[np.ndarray], min_match: int):
-        self.items, self.min_match = items, min_match
-        by_width = defaultdict(list)
-        for k, words in enumerate(items):
-            if len(words):
-                width = min(min_match, len(words))
-                by_width[width].append((np.unique(runs(words, width)), k))
-        self.seeds = {}
-        for width, found in by_width.items():
-            hashes = np.concatenate([h for h, _ in found])
-            owner = np.repeat([k for _, k in found], [len(h) for h, _ in found])
-            order = np.argsort(hashes, kind="stable")
-            self.seeds[width] = hashes[order], owner[order]
-
-    def search(self, words: np.ndarray, threshold: float) -> Iterator[tuple[int, list[Tile]]]:
-        """Items covered up to the threshold or beyond, with their tiles."""
-        near = defaultdict(list)
-        for width, (hashes, owner) in self.seeds.items():
-            own = runs(words, width)
-            low = np.searchsorted(hashes, own)
-            hit = np.flatnonzero(hashes[np.minimum(low, len(hashes) - 1)] == own)
-            if len(hit):
-                high = np.searchsorted(hashes, own[hit], "right")
-                for j, a, b in zip(hit.tolist(), low[hit].tolist(), high.tolist()):
-                    for k in owner[a:b].tolist():
-                        near[k].append(j)
-        for k, places in near.items():
-            item = self.items[k]
-            width = min(self.min_match, len(item))
-            # Words outside every seed belong to no tile, so only those inside are tiled.
-            inside = np.unique(np.add.outer(np.array(places), np.arange(width)))
-            if len(inside) < threshold * len(item):
-                continue
-            gaps = np.flatnonzero(np.diff(inside) > 1) + 1
-            place = np.insert(inside, gaps, -1)
-            doc = words[place]
-            doc[place < 0] = 0  # no word has this hash but by chance, and then words are compared
-            found = [(i, int(place[j]), n) for i, j, n in tiles(item, doc, self.min_match)]
-            if sum(n for *_, n in found) >= threshold * len(item) and found:
-                yield k, found
-
-
-def item_shards(items: DataFrame, id_col: str, text_col: str, shard_words: int) -> Iterator[list]:
-    """Rows of items in lists of at most `shard_words` words, or one item."""
-    size = F.coalesce(F.size(F.split(text_col, "[ \\t\\n\\x0B\\f\\r]+")), F.lit(1))
-    chosen = items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), size.alias("size"))
-    held, words = [], 0
-    for row in chosen.toLocalIterator():
-        if held and words + row.size > shard_words:
-            yield held
-            held, words = [], 0
-        held.append(row)
-        words += row.size
-    if held:
-        yield held
-
-
-def shard_of(rows: list, min_match: int) -> Shard:
-    words = [w.hash for _, w in (next(blocks(pa.array([r["text"] or ""]))) for r in rows)]
-    return Shard(words, min_match)
+# -- seeds -----------------------------------------------------------------
 
 
-def tilings(
-    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
-    item_text: str = "text", min_match: int = MIN_MATCH, threshold: float = THRESHOLD, shard_words: int = SHARD_WORDS,
-) -> DataFrame:
-    """A row for each document and item covered up to the threshold or beyond, with the tiles."""
-    key, item_key = docs.schema[doc_id].dataType, items.schema[item_id].dataType
+def seeds_of(words: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of all runs of a width, which differ by width."""
+    return mixed(runs(words, width) + np.uint64(width))
+
+
+def items_as_words(items: DataFrame, id_col: str, text_col: str, min_match: int) -> DataFrame:
+    """(item, item_id, n, width, words, seeds, counts: their places in the item) of each item with words; written, so that item numbers stay."""
+    own = items.select(F.col(id_col).alias("item_id"), F.col(text_col).cast("string").alias("text"))
+    kind = own.schema["item_id"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            rows, places = [], []
+            for at, words in blocks(batch.column("text")):
+                for k in range(len(words.off) - 1):
+                    own = words.text(k)
+                    if len(own):
+                        width = min(min_match, len(own))
+                        seeds, counts = np.unique(seeds_of(own, width), return_counts=True)
+                        rows.append(((part << 40) + number, len(own), width, own.tobytes(), seeds.view(np.int64).tolist(), counts.tolist()))
+                        places.append(at + k)
+                        number += 1
+            if rows:
+                item, n, width, data, seeds, counts = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(item), batch.column("item_id").take(pa.array(places)), pa.array(n, pa.int64()), pa.array(width, pa.int32()), pa.array(data, pa.binary()), pa.array(seeds, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))],
+                    ["item", "item_id", "n", "width", "words", "seeds", "counts"],
+                )
+
+    return materialize(own.mapInArrow(cut, f"item long, item_id {kind}, n long, width int, words binary, seeds array<long>, counts array<long>"), "items")
+
+
+def seed_filter(seeds: DataFrame, bits: int = FILTER_BITS) -> np.ndarray:
+    """Which values the lowest `bits` bits of seeds take; words of 64 bits are put together by Spark, and no more than all of them reach the driver."""
+    slot = F.col("seed").bitwiseAND(F.lit((1 << bits) - 1))
+    words = seeds.groupBy(F.shiftright(slot, 6).alias("w")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast((seed & {(1 << bits) - 1}) & 63 as int))")).alias("b"))
+    found = words.collect()
+    out = np.zeros(1 << (bits - 6), np.uint64)
+    out[[r.w for r in found]] = np.array([r.b for r in found], np.int64).view(np.uint64)
+    return out
+
+
+def passes(known: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    slot = seeds & np.uint64(64 * len(known) - 1)
+    return (known[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+
+
+HITS = "doc long, key long, places binary, words binary, seeds array<long>"
+
+
+def document_hits(docs: DataFrame, widths: list[int], known: np.ndarray) -> DataFrame:
+    """(doc, doc_id, key, places, words, seeds): runs of each row of (doc_id, key, text) that pass the filter, and the words under them in order with their places."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, number = TaskContext.get().partitionId(), 0
+        for batch in batches:
+            for at, words in blocks(batch.column("text")):
+                rows, places = [], []
+                for k in range(len(words.off) - 1):
+                    own, inside, seeds = words.text(k), [], []
+                    for width in widths:
+                        found = seeds_of(own, width)
+                        hit = np.flatnonzero(passes(known, found)) if len(found) else []
+                        if len(hit):
+                            inside.append(np.add.outer(hit, np.arange(width)).ravel())
+                            seeds.append(found[hit])
+                    if inside:
+                        where = np.unique(np.concatenate(inside))
+                        rows.append(((part << 40) + number, where.astype(np.int64).tobytes(), own[where].tobytes(), np.unique(np.concatenate(seeds)).view(np.int64).tolist()))
+                        places.append(at + k)
+                    number += 1
+                if rows:
+                    doc, where, data, seeds = zip(*rows)
+                    chosen = batch.take(pa.array(places))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(doc), chosen.column("key"), pa.array(where, pa.binary()), pa.array(data, pa.binary()), pa.array(seeds, pa.list_(pa.int64())), chosen.column("doc_id")],
+                        ["doc", "key", "places", "words", "seeds", "doc_id"],
+                    )
+
+    return docs.mapInArrow(search, f"{HITS}, doc_id {kind}")
+
+
+def tiled(item: np.ndarray, words: np.ndarray, places: np.ndarray, min_match: int) -> list[Tile]:
+    """Tiles of an item in the words of a document that lie under seeds; a gap between their places is no word."""
+    gaps = np.flatnonzero(np.diff(places) > 1) + 1
+    where, doc = np.insert(places, gaps, -1), np.insert(words, gaps, 0)  # no word has this hash but by chance, and then words are compared
+    return [(i, int(where[j]), n) for i, j, n in tiles(item, doc, min_match)]
+
+
+def pairs_tiled(docs: DataFrame, items: DataFrame, doc_id: str, text_col: str, item_id: str, item_text: str, min_match: int, threshold: float, filter_bits: int) -> DataFrame:
+    """As `tilings`, with the key (hash) of each document's text."""
+    text = F.col(text_col).cast("string")
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    known = items_as_words(items, item_id, item_text, min_match)
+    # Each place of a seed covers `width` words at most.
+    seeds = known.select(F.explode(F.arrays_zip("seeds", "counts")).alias("s"), "item", "n", "width").select(
+        F.col("s.seeds").alias("seed"), "item", (F.col("s.counts") * F.col("width")).alias("reach"), (F.col("n") * F.lit(threshold)).alias("need"))
+    widths = sorted(r[0] for r in known.select("width").distinct().collect())  # min_match of them at most
     tile = StructType([StructField(n, LongType()) for n in ("item_word", "doc_word", "n_words")])
     schema = StructType([
-        StructField("doc_id", key), StructField("item_id", item_key), StructField("n_covered", LongType()),
+        StructField("doc_id", texts.schema["doc_id"].dataType), StructField("key", LongType()), StructField("item_id", known.schema["item_id"].dataType), StructField("n_covered", LongType()),
         StructField("n_words", LongType()), StructField("coverage", DoubleType()), StructField("tiles", ArrayType(tile)),
     ])
-    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    out = docs.sparkSession.createDataFrame([], schema)
-    for rows in item_shards(items, item_id, item_text, shard_words):
-        ids, shard = [r["id"] for r in rows], shard_of(rows, min_match)
-
-        def search(batches: Iterator[pa.RecordBatch], ids=ids, shard=shard) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                place, found = [], []
-                for at, words in blocks(batch.column("text")):
-                    for d in range(len(words.off) - 1):
-                        for k, own in shard.search(words.text(d), threshold):
-                            n, covered = len(shard.items[k]), sum(t[2] for t in own)
-                            place.append(at + d)
-                            found.append((ids[k], covered, n, covered / n, [dict(zip(("item_word", "doc_word", "n_words"), t)) for t in own]))
-                if found:
-                    names = ("item_id", "n_covered", "n_words", "coverage", "tiles")
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").take(pa.array(place)), *map(pa.array, zip(*found))], ["doc_id", *names])
-
-        out = out.union(texts.mapInArrow(search, schema))
-    return out
+    hits = materialize(document_hits(texts, widths, seed_filter(seeds, filter_bits)), "seed-hits")
+    met = hits.select("doc", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy("doc", "item").agg(F.sum("reach").alias("reach"), F.max("need").alias("need")).where("reach >= need")
+    both = met.select("doc", "item").join(hits.select("doc", "doc_id", "key", "places", "words"), "doc").join(known.select("item", "item_id", F.col("words").alias("item_words")), "item")
 
+    def tile_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            place, found = [], []
+            for k, (words, places, item) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("words", "places", "item_words")))):
+                item = np.frombuffer(item, np.uint64)
+                own = tiled(item, np.frombuffer(words, np.uint64), np.frombuffer(places, np.int64), min_match)
+                covered = sum(t[2] for t in own)
+                if own and covered >= threshold * len(item):
+                    place.append(k)
+                    found.append((covered, len(item), covered / len(item), [dict(zip(("item_word", "doc_word", "n_words"), t)) for t in own]))
+            if found:
+                chosen = batch.take(pa.array(place))
+                n_covered, n_words, share, lists = map(pa.array, zip(*found))
+                yield pa.RecordBatch.from_arrays([chosen.column("doc_id"), chosen.column("key"), chosen.column("item_id"), n_covered, n_words, share, lists], schema.names)
+
+    return both.mapInArrow(tile_pairs, schema)
 
-def coverage(texts: str | Column, items: DataFrame, item_text: str = "text", min_match: int = MIN_MATCH, threshold: float = THRESHOLD, shard_words: int = SHARD_WORDS) -> Column:
-    """Highest coverage of any item by each text, or 0 below the threshold."""
-    found = [F.lit(0.0)]
-    for rows in item_shards(items.withColumn("_item", F.lit(0)), "_item", item_text, shard_words):
-        found.append(highest_coverage(shard_of(rows, min_match), threshold)(texts))
-    return F.greatest(*found) if len(found) > 1 else found[0]
 
+def tilings(
+    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
+    item_text: str = "text", min_match: int = MIN_MATCH, threshold: float = THRESHOLD, filter_bits: int = FILTER_BITS,
+) -> DataFrame:
+    """A row for each document and item covered up to the threshold or beyond, with the tiles."""
+    return pairs_tiled(docs, items, doc_id, text_col, item_id, item_text, min_match, threshold, filter_bits).drop("key")
 
-def highest_coverage(shard: Shard, threshold: float):
-    """Function from texts to their highest coverage of any item of a shard."""
-    @F.arrow_udf("double")
-    def highest(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            out = np.zeros(len(batch))
-            for at, words in blocks(batch):
-                for d in range(len(words.off) - 1):
-                    out[at + d] = max((sum(t[2] for t in own) / len(shard.items[k]) for k, own in shard.search(words.text(d), threshold)), default=0)
-            yield pa.array(out)
 
-    return highest
+def without_covered(
+    docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text_col: str = "text", item_id: str = "item_id",
+    item_text: str = "text", min_match: int = MIN_MATCH, threshold: float = THRESHOLD, filter_bits: int = FILTER_BITS,
+) -> DataFrame:
+    """The documents that cover no item up to the threshold; rows go by their own text, whatever else has their id."""
+    found = pairs_tiled(docs, items, doc_id, text_col, item_id, item_text, min_match, threshold, filter_bits)
+    bad = materialize(found.select(F.col("doc_id").alias("bad_id"), F.col("key").alias("bad_key")).distinct(), "covered")
+    same = docs[doc_id].eqNullSafe(bad["bad_id"]) & (F.xxhash64(docs[text_col].cast("string")) == bad["bad_key"])
+    return docs.join(bad, same, "left_anti")

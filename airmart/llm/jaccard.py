@@ -41,7 +41,7 @@ from math import log2
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from airmart.llm.components import components
 from airmart.llm.segments import slices
@@ -67,15 +67,18 @@ def signature(own: np.ndarray) -> tuple[int, int]:
     return tuple(int(x) for x in np.array([mixed(own).sum(), mixed(own ^ np.uint64(0x5851F42D4C957F2D)).sum()], np.uint64).view(np.int64)) if len(own) else (0, 0)
 
 
+SIGNED = "id long, key long, n_shingles long, s0 long, s1 long"
+
+
 def signatures(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """(id, n_shingles, s0, s1) of each row of (id, text)."""
+    """(id, key, n_shingles, s0, s1) of each row of (id, key, text)."""
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [(len(own), *signature(own)) for own in text_sets(batch.column("text"), width)]
             columns = np.array(rows, np.int64).reshape(-1, 3)
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *map(pa.array, columns.T)], ["id", "n_shingles", "s0", "s1"])
+            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("key"), *map(pa.array, columns.T)], [x.split()[0] for x in SIGNED.split(", ")])
 
-    return docs.mapInArrow(signed, "id long, n_shingles long, s0 long, s1 long")
+    return docs.mapInArrow(signed, SIGNED)
 
 
 def required(n: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -309,22 +312,73 @@ def prefixes(sets: DataFrame, percent: int) -> DataFrame:
     return sets.select("id", "n", "shingles", "counts").mapInArrow(rare, "id long, shingle long")
 
 
-def similar_classes(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block_sets: int = BLOCK_SETS,
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id, n_links) for each row: the size of its set, the smallest id that links reach, and how many other ids link to it."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    members = materialize(signatures(texts, width), "signatures")
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, text) of each row; equal ids with equal keys have equal texts."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+
+
+def labelled_sets(members: DataFrame, texts: DataFrame, width: int, percent: int, block_sets: int) -> DataFrame:
+    """The distinct sets of `members` (signatures, written): head, the smallest id that has it, copies, ids that have it, component, the smallest id that links reach from there, and others, ids of sets it links to."""
     heads = members.where("n_shingles > 0").groupBy("n_shingles", "s0", "s1").agg(F.min("id").alias("head"), F.count_distinct("id").alias("copies"))
     distinct = heads.select(F.col("head").alias("id"), F.col("n_shingles").alias("n"), "s0", "s1")
     near = shared_shingles(text_postings(texts, width), percent).join(distinct, ["id", "n", "s0", "s1"], "left_semi")
-    near = materialize(near.select("id", "n", "s0", "s1", "shingles"), "near-sets")
+    # Rows of one id and set may come from several batches.
+    near = materialize(near.select("id", "n", "s0", "s1", "shingles").dropDuplicates(["id"]), "near-sets")
     sets = materialize(shared_shingles(set_postings(near), percent), "similar-sets")
     copies = heads.where("head is not null").select(F.col("head").alias("id"), "copies")
     links = materialize(set_links(sets, copies, percent, block_sets), "set-links")
     found = components(links)
     counted = links.groupBy(F.col("a").alias("head")).agg(F.sum("n").alias("others"))
-    labelled = heads.join(found.select(F.col("node").alias("head"), "component"), "head", "left").join(counted, "head", "left")
+    return heads.join(found.select(F.col("node").alias("head"), "component"), "head", "left").join(counted, "head", "left")
+
+
+def similar_classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block_sets: int = BLOCK_SETS,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id, n_links) for each row: the size of its set, the smallest id that links reach, and how many other ids link to it."""
+    texts = texts_of(docs, id_col, text_col)
+    members = materialize(signatures(texts, width), "signatures")
+    labelled = labelled_sets(members, texts.drop("key"), width, percent, block_sets)
     own = members.join(labelled, ["n_shingles", "s0", "s1"], "left")
     n_links = F.coalesce("others", F.lit(0)) + F.coalesce("copies", F.lit(0)) - F.when(F.col("id").isNotNull() & (F.col("n_shingles") > 0), 1).otherwise(0)
     return own.select(F.col("id").alias("doc_id"), "n_shingles", F.coalesce("component", "head", "id").alias("component_id"), n_links.alias("n_links"))
+
+
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT, block_sets: int = BLOCK_SETS,
+) -> DataFrame:
+    """Of each class of rows whose texts link one row, with all columns: that of the smallest id, of several texts of that id one.
+
+    A row goes only if the set of its own text is in the class of the row that stays, so
+    unrelated texts of one id both stay. Texts without words link with nothing and all
+    stay. A row without an id stays only where no row of its class has one. Of rows equal
+    in id and text one stays. Texts are told apart by hashes of 64 bits.
+    """
+    texts = texts_of(docs, id_col, text_col)
+    members = materialize(signatures(texts, width), "signatures")
+    # Here a text's key is its id, as one id may have several texts, and some rows have none.
+    by_key = [df.drop("id").withColumnRenamed("key", "id") for df in (members, texts)]
+    labelled = labelled_sets(*by_key, width, percent, block_sets)
+    own = members.where("n_shingles > 0").join(labelled, ["n_shingles", "s0", "s1"])
+    first = own.groupBy(F.coalesce("component", "head").alias("c")).agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("first"))
+    names = unused(docs.columns, "none", "id", "key", "place")
+    none, whole, key, place = names
+    marks = dict(zip(names, (F.col(id_col).isNull(), F.coalesce(F.col(id_col).cast("long"), F.lit(0)), F.xxhash64(F.col(text_col).cast("string")))))
+    marked = docs.withColumns(marks)
+    chosen = first.select(F.col("first.none").alias(none), F.coalesce("first.id", F.lit(0)).alias(whole), F.col("first.key").alias(key))
+    has_words = F.coalesce(F.col(text_col).cast("string"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    rank = F.row_number().over(Window.partitionBy(none, whole, key).orderBy(text_col))
+    kept = marked.where(has_words).join(chosen, [none, whole, key], "left_semi").withColumn(place, rank).where(F.col(place) == 1)
+    return kept.select(docs.columns).union(docs.where(~has_words))
+
+
+def unused(taken: list[str], *wanted: str) -> list[str]:
+    """Column names like those wanted that no column has, in any case."""
+    known, found = {c.lower() for c in taken}, []
+    for name in wanted:
+        while name in known:
+            name = f"_{name}"
+        known.add(name)
+        found.append(name)
+    return found

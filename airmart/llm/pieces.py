@@ -3,9 +3,9 @@
 `build_tokenizer` reads the model file and rebuilds it: normaliser (character
 map, spaces, prefix, marker), unigram scores or ranked merges, byte fallback and
 decoder. `encode` and `decode` are column expressions that work on Arrow batches
-with several threads each; every task first compares its rebuilt tokenizer with
-the sentencepiece library on the first texts of its first batch and fails where
-they differ.
+with several threads each. Encoding compares the ids of every distinct segment,
+and what they decode to, with the sentencepiece library and fails where they
+differ; a worker remembers up to `VERIFIED` segments that it has compared.
 
 Where no token reaches over a space (see Model.splits_at_spaces) words are
 encoded apart, which gives the same ids and lets the tokenizer remember words.
@@ -19,19 +19,19 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from airmart.llm.model_file import BPE, BYTE, CONTROL, MARK, NORMAL, UNIGRAM, Model, USER_DEFINED, read_model
 from airmart.llm.segments import Segments, balanced, slices
 
 THREADS = 2
-CHECKED = 8
-BATCH_SIZE = 1 << 20
+VERIFIED, AT_ONCE = 1 << 19, 1 << 13  # segments a worker remembers to have compared, and compares at a time
+BATCH_SIZE, SLICE_BYTES = 1 << 20, 4 << 20
 TOGETHER = 64
 
 
@@ -109,7 +109,7 @@ class Codec:
             self.bare.normalizer = normalizers.Sequence([])
             self.bare.pre_tokenizer = pre_tokenizers.Sequence([])
             self.marked = np.array([p.text.startswith(MARK) for p in self.model.pieces])
-        self.checked = False
+        self.verified = np.zeros(0, np.uint64)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after another, and where those of each text begin (one more for the end)."""
@@ -123,16 +123,14 @@ class Codec:
         ends = np.cumsum(lengths)
         ids = own[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[cut.code] - ends + lengths, lengths)]
         offsets = np.append(0, ends)[cut.first]
-        if len(texts) and not self.checked:
-            self.checked = True
-            self.verify(texts[:CHECKED].fill_null("").to_pylist(), [ids[a:b].tolist() for a, b in zip(offsets, offsets[1 : CHECKED + 1])])
+        self.verify(cut.distinct, cut.keys, own, starts)
         same = cut.sums(~self.decode_back(cut.distinct, own, starts)) == 0 if back else np.ones(len(texts), bool)
         return ids, offsets, same
 
     def encode_distinct(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if not self.apart:
             ids = [e.ids for batch in balanced(parts, BATCH_SIZE) for e in self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)]
-            ids = [self.library().encode(p) if self.byte_names and "<0x" in p else own for p, own in zip(parts, ids)]
+            ids = [self.library.encode(p) if self.byte_names and "<0x" in p else own for p, own in zip(parts, ids)]
             starts = np.append(0, np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))))
             return np.fromiter(chain.from_iterable(ids), np.int32, int(starts[-1])), starts
         # Many words are one input. The normaliser of such models only puts the
@@ -148,7 +146,7 @@ class Codec:
         if not odd:
             return flat, np.append(0, np.cumsum(sizes))
         own = [e.ids for e in self.bare.encode_batch_fast([MARK + parts[i].replace(" ", MARK) for i in odd], add_special_tokens=False)]
-        own = [self.library().encode(parts[i]) if named[i] else x for i, x in zip(odd, own)]
+        own = [self.library.encode(parts[i]) if named[i] else x for i, x in zip(odd, own)]
         place = np.append(0, np.cumsum(sizes))[odd]
         sizes[odd] = list(map(len, own))
         return np.insert(flat, np.repeat(place, sizes[odd]), list(chain.from_iterable(own))), np.append(0, np.cumsum(sizes))
@@ -184,16 +182,26 @@ class Codec:
         ids = [[i for i in x if i not in self.control] if self.control.intersection(x) else x for x in ids]
         return self.tokenizer.decode_batch(ids, skip_special_tokens=False)
 
+    @cached_property
     def library(self):
         import sentencepiece
 
         return sentencepiece.SentencePieceProcessor(model_file=self.path)
 
-    def verify(self, texts: list[str], ids: list[list[int]]) -> None:
-        library = self.library()
-        for text, own in zip(texts, ids):
-            if library.encode(text) != own or library.decode(own) != self.decode([own])[0]:
-                raise ValueError(f"the rebuilt tokenizer differs from {self.path} on {text[:80]!r}")
+    def verify(self, parts: list[str], keys: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> None:
+        """Compare every segment that this worker has not compared before with the library, both ways; keys are their hashes."""
+        new = np.flatnonzero(~np.isin(keys, self.verified)).tolist()
+        for at in range(0, len(new), AT_ONCE):
+            own = [ids[starts[i] : starts[i + 1]].tolist() for i in new[at : at + AT_ONCE]]
+            texts = [parts[i] for i in new[at : at + AT_ONCE]]
+            for text, found, other in zip(texts, own, self.library.encode(texts, num_threads=1)):
+                if found != other:
+                    raise ValueError(f"the rebuilt tokenizer differs from {self.path} on {text[:80]!r}")
+            for text, back, other in zip(texts, self.decode(own), self.library.decode(own, num_threads=1)):
+                if back != other:
+                    raise ValueError(f"the rebuilt decoder differs from {self.path} on {text[:80]!r}")
+        # Hashes, as segments themselves would take ten times the memory.
+        self.verified = np.union1d(self.verified if len(self.verified) < VERIFIED else self.verified[:0], keys)
 
 
 @cache
@@ -232,18 +240,26 @@ def decode(ids: str | Column, path: str, threads: int = THREADS) -> Column:
     return text_of(ids)
 
 
-def encode_checked(texts: str | Column, path: str, threads: int = THREADS) -> Column:
-    """Struct of the ids of each text and whether they decode to the text as the model normalises it."""
+def encoded(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", threads: int = THREADS) -> DataFrame:
+    """(id_col, n_tokens, round_trip, ids) of each row: the ids of its text, their number, and whether they decode to the text as the model normalises it.
 
-    @F.arrow_udf("struct<ids array<int>, round_trip boolean>")
-    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        own = codec(path, threads)
+    Rows leave in batches of a few megabytes of text, whatever the batches they come in,
+    so a worker holds the ids of no more. A null text has null ids and no tokens.
+    """
+    own = docs.select(F.col(id_col), F.col(text_col).cast("string").alias("text"))
+    kind = own.schema[0].dataType.simpleString()
+
+    def encode_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        coder = codec(path, threads)
         for batch in batches:
-            found = [pa.array([], pa.struct([("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())]))]
-            for part in slices(batch):
+            at = 0
+            for part in slices(batch.column(1), SLICE_BYTES):
                 nulls = np.asarray(part.is_null())
-                ids, offsets, same = own.encode_parts(part, True)
-                found.append(pa.StructArray.from_arrays([id_lists(ids, offsets, nulls), pa.array(same, mask=nulls)], ["ids", "round_trip"]))
-            yield pa.concat_arrays(found)
-
-    return both(texts)
+                ids, offsets, same = coder.encode_parts(part, True)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).slice(at, len(part)), pa.array(np.diff(offsets)), pa.array(same, mask=nulls), id_lists(ids, offsets, nulls)],
+                    [id_col, "n_tokens", "round_trip", "ids"],
+                )
+                at += len(part)
+
+    return own.mapInArrow(encode_rows, f"`{id_col}` {kind}, n_tokens long, round_trip boolean, ids array<int>")

@@ -8,7 +8,7 @@ pseudonym in every document and spelling, and the key can turn it back
 | Kind | Validated by | Permuted |
 |---|---|---|
 | e-mail | pattern | letters and digits of the local part, over 36 signs; other signs and the domain stay |
-| card | 13 to 19 digits, Luhn sum | all digits but the first and last; the last is the new check digit |
+| card | 13 to 19 digits, together or in the groups in use, Luhn sum | all digits but the first and last; the last is the new check digit |
 | phone | 10 to 15 digits with + or separators | the last 10 digits |
 | IPv4 | four numbers up to 255 | all 32 bits |
 | social security number | ddd-dd-dddd, parts that are issued | within all issued numbers |
@@ -17,12 +17,15 @@ pseudonym in every document and spelling, and the key can turn it back
 A network of 10 rounds alternates between two parts of a value, adding to one a
 SHA-256 of key, kind, size, round and the other part. What fails its validation
 stays as it is. Null texts stay null, empty ones empty; rows, repeated rows and
-other columns are untouched. A null or empty key is an error.
+other columns are untouched. A null or empty key is an error. Left alone: dates with the
+month first (12/25/2024), addresses with leading zeros, card numbers in other groups.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, SparkSession, functions as F
+
+from airmart.session import scratch_path
 
 ROUNDS = 10
 SIGNS = "0123456789abcdefghijklmnopqrstuvwxyz"
@@ -33,11 +36,14 @@ EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+\-]*@[A-Za-z0-9\-]+(?:\.[A-Za-z0-9\-]+)+"
 ISO_DATE = r"\d{4}[-/]\d{2}[-/]\d{2}"
 DAY_DATE = r"\d{2}[./]\d{2}[./]\d{4}"
 SSN = r"\d{3}-\d{2}-\d{4}"
-IP = r"\d{1,3}(?:\.\d{1,3}){3}"
+OCTET = r"(?:0|[1-9]\d{0,2})"
+IP = rf"{OCTET}(?:\.{OCTET}){{3}}"
 CARD = r"\d(?:[ \-]?\d){12,18}"
+# How cards of 13 to 19 digits are written in groups; 19 digits hold 16 at their beginning.
+GROUPS = r"\d{4}(?:[ \-]\d{4}){3}(?:[ \-]\d{3})?|\d{4}[ \-]\d{6}[ \-]\d{4,5}|\d{4}[ \-]\d{5}[ \-]\d{6}|\d{5}[ \-]\d{5}[ \-]\d{5}|\d{6}[ \-]\d{8}(?:\d{5})?|\d{4}[ \-]\d{4}[ \-]\d{4}[ \-]\d|\d{4}[ \-]\d{4}[ \-]\d{5}"
 PHONE = r"\+?\d{0,3}[ .\-]?(?:\(\d{3}\)|\d{3})[ .\-]\d{3}[ .\-]?\d{4}|\+\d{1,3}(?:[ .\-]?\d){7,12}"
-# A value stands alone: no letter, digit or joining sign touches it. Cards that a separator might run on into the next number are taken shortest first.
-FOUND = rf"(?<![\w@])(?:{EMAIL}|(?:{ISO_DATE}|{DAY_DATE}|{SSN}|{IP}|{PHONE}|\d{{13,19}}|\d{{4}}(?:[ \-]\d{{4}}){{3}}|\d{{4}}[ \-]\d{{6}}[ \-]\d{{5}})(?![\w]))"
+# A value stands alone: no letter, digit or joining sign touches it, but a date may be followed by T and a time.
+FOUND = rf"(?<![\w@])(?:{EMAIL}|{ISO_DATE}(?=T\d)|(?:{ISO_DATE}|{DAY_DATE}|{SSN}|{IP}|{PHONE}|\d{{13,19}}|{GROUPS})(?![\w]))"
 
 
 def noise(key: Column, kind: str, size: Column, round_: Column, part: Column) -> Column:
@@ -105,12 +111,18 @@ def luhn_sum(digits: Column, doubled_last: bool) -> Column:
 
 
 def card(text: Column, key: Column, reveal: bool) -> Column:
+    """A valid number; where 19 digits in groups are none, the 16 at their beginning may be one."""
     def body(digits: Column) -> Column:
         inner = permuted_digits(F.substr(digits, F.lit(2), F.length(digits) - 2), key, "card", reveal)
         made = with_value(F.concat(F.substr(digits, F.lit(1), F.lit(1)), inner), lambda d: F.concat(d, F.pmod(10 - luhn_sum(d, True) % 10, F.lit(10)).cast("string")))
-        return F.when(luhn_sum(digits, False) % 10 == 0, respelled(text, r"\d", made)).otherwise(text)
+        return made
 
-    return with_value(digits_of(text), body)
+    def whole(part: Column, otherwise: Column) -> Column:
+        return with_value(digits_of(part), lambda d: F.when(luhn_sum(d, False) % 10 == 0, respelled(part, r"\d", body(d))).otherwise(otherwise))
+
+    head, tail = F.substr(text, F.lit(1), F.lit(19)), F.substr(text, F.lit(20), F.lit(4))
+    shorter = F.when(F.length(text) == 23, F.concat(whole(head, head), tail)).otherwise(text)
+    return whole(text, shorter)
 
 
 def phone(text: Column, key: Column, reveal: bool) -> Column:
@@ -211,12 +223,16 @@ def pseudonym(value: Column, key: Column, reveal: bool = False) -> Column:
     )
 
 
-def pseudonymise(texts: str | Column, key: str, reveal: bool = False) -> Column:
-    """Each text with every valid personal value replaced by its pseudonym."""
-    if not key:
+def pseudonymise(texts: str | Column, key: str | Column, reveal: bool = False) -> Column:
+    """Each text with every valid personal value replaced by its pseudonym.
+
+    A key given as text is part of the plan, and so of event logs; where these may not
+    hold it, add `stored_key` to the table as a column and name that.
+    """
+    if isinstance(key, str) and not key:
         raise ValueError("a key is needed")
     text = F.col(texts) if isinstance(texts, str) else texts
-    pattern, secret = F.lit(FOUND), F.lit(key)
+    pattern, secret = F.lit(FOUND), F.lit(key) if isinstance(key, str) else key
     values = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda v: pseudonym(v, secret, reveal))
     # The texts between the values, one more than there are values.
     between = F.split(text, FOUND, -1)
@@ -224,6 +240,23 @@ def pseudonymise(texts: str | Column, key: str, reveal: bool = False) -> Column:
     return F.when(text.rlike("[0-9@]"), joined).otherwise(text)
 
 
+def store_key(spark: SparkSession, key: str) -> str:
+    """Writes a key to a new file in the shared scratch folder and returns its path; a real key lies in a file of its own already."""
+    path = scratch_path(spark, "key")
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    out = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).create(hadoop_path, False)
+    out.write(bytearray(key, "utf-8"))
+    out.close()
+    return path
+
+
+def stored_key(spark: SparkSession, path: str) -> Column:
+    """The key that a file of one line holds, read while a query runs: plans have its path only. An absent or empty key is an error."""
+    key = F.trim(F.max("value"))
+    missing = F.raise_error(F.lit("a key is needed")).cast("string")
+    return spark.read.text(path).agg(F.when(F.length(key) > 0, key).otherwise(missing).alias("key")).scalar()
+
+
 def values_found(texts: str | Column) -> Column:
     """All values in the order of the text that the pattern finds, valid or not."""
     return F.regexp_extract_all(texts, F.lit(FOUND), F.lit(0))

@@ -23,9 +23,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text, their number, and whether they decode to the text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    both = docs.withColumn("own", pieces.encode_checked("text", public_tokenizers.path(MODEL)))
-    return both.select("doc_id", F.coalesce(F.size("own.ids"), F.lit(0)).cast("long").alias("n_tokens"), "own.round_trip", "own.ids")
+    return pieces.encoded(table(spark, sf_dir, "documents"), public_tokenizers.path(MODEL))
 
 
 def op2_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,13 +59,21 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every turn with its repair and its piece of the rendered conversation."""
-    return chat.format_chats(table(spark, sf_dir, "conversations")).drop("part", "seq")
+    """Every turn with its repair and its piece of the rendered conversation; pieces go by part and seq."""
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
+def with_pseudonyms(docs: DataFrame, text_col: str) -> DataFrame:
+    """Documents with pseudonyms by a key that is read from a file while the query runs."""
+    spark = docs.sparkSession
+    key, = jaccard.unused(docs.columns, "key")
+    keyed = docs.withColumn(key, pseudonyms.stored_key(spark, pseudonyms.store_key(spark, KEY)))
+    return keyed.withColumn(text_col, pseudonyms.pseudonymise(text_col, F.col(key))).drop(key)
 
 
 def op7_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text with its personal values replaced, and whether any was."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", pseudonyms.pseudonymise("text", KEY).alias("new"))
+    docs = with_pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text", F.col("text").alias("new")), "new")
     return docs.select("doc_id", F.coalesce(F.col("new") != F.col("text"), F.lit(False)).alias("changed"), F.col("new").alias("text"))
 
 

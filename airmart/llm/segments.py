@@ -20,7 +20,7 @@ _MARK = MARK.encode()
 
 
 class Segments:
-    """Of each segment of a batch, in order, which of the distinct ones it is; and where those of each text begin."""
+    """Of each segment of a batch, in order, which of the distinct ones it is; their hashes, ascending; and where those of each text begin."""
 
     def __init__(self, texts: pa.Array, apart: bool):
         data, off = text_bytes(texts)
@@ -40,7 +40,7 @@ class Segments:
             at = to
         join = lambda x, kind=np.int64: np.concatenate(x) if x else np.zeros(0, kind)
         start, end = join(starts), join(ends)
-        _, one, self.code = np.unique(join(hashes, np.uint64), return_index=True, return_inverse=True)
+        self.keys, one, self.code = np.unique(join(hashes, np.uint64), return_index=True, return_inverse=True)
         self.first = np.append(0, np.cumsum(join(counts)))
         raw = data.tobytes()
         self.distinct = [raw[a:b].decode() for a, b in zip(start[one].tolist(), end[one].tolist())]

@@ -46,7 +46,7 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
     max_rows: int = MAX_ROWS_PER_CLASS, max_bytes: int = MAX_TEXT_BYTES,
 ) -> tuple[list[str], list[int]]:
-    """Texts and labels for training: of each class the `max_rows` labelled ids lowest by hash, without texts beyond `max_bytes`.
+    """Texts and labels for training: of each class the `max_rows` labelled ids lowest by hash, without texts beyond `max_bytes`; of rows that share an id the smallest text.
 
     The chosen labels are at most twice `max_rows` ids, which bounds their broadcast.
     """
@@ -56,7 +56,8 @@ def labelled_sample(
         part = ids.where(F.col("y") == y).orderBy(F.xxhash64("k"), "k").limit(max_rows)
         chosen = part if chosen is None else chosen.union(part)
     texts = docs.select(F.col(id_col).alias("k"), F.col(text_col).alias("t")).where(F.octet_length("t") <= max_bytes)
-    rows = texts.join(F.broadcast(chosen), "k").select("k", "y", "t").collect()
+    # One text for each id and label, however many rows share them: that bounds what reaches the driver.
+    rows = texts.join(F.broadcast(chosen), "k").groupBy("k", "y").agg(F.min("t").alias("t")).collect()
     rows.sort(key=lambda r: (r.k, r.y, r.t))
     return [r.t for r in rows], [r.y for r in rows]
 

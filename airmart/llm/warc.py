@@ -203,6 +203,9 @@ def read_archive(index: DataFrame, with_payload: bool = False) -> DataFrame:
     kind = to_arrow(index, "page_id")
     schema = RECORDS.format(id=index.schema["page_id"].dataType.simpleString())
     bundles = index.select("bundle").distinct()
+    # As many tasks as bundles, up to four for each partition of the session: the few bytes of their names say nothing of what is read.
+    most = 4 * int(index.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bundles = bundles.repartition(max(1, min(most, bundles.count())))
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard

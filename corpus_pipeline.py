@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from airmart.llm import decontaminate, jaccard, pieces, pseudonyms, queries, toxicity
 from airmart.session import scratch_path
@@ -16,33 +16,33 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of similar documents the one with the smallest id.
+    """Of each class of similar documents one row, that of the smallest id; texts without words all stay.
 
-    Of several rows with that id the one whose text is smallest stays (null before
-    any). Rows without an id stay, as no id can stand for them.
+    A row goes only for another whose text is in the same class: of unrelated texts
+    under one id each stays.
     """
-    classes = jaccard.similar_classes(docs)
-    first = classes.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    place = F.row_number().over(Window.partitionBy("doc_id").orderBy("text"))
-    chosen = docs.join(first, "doc_id", "left_semi").withColumn("_place", place).where("_place = 1").drop("_place")
-    return chosen.select(docs.columns).union(docs.where("doc_id is null"))
+    return jaccard.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold less than 60 % of every benchmark item."""
-    return docs.where(decontaminate.coverage("text", queries.table(spark, sf_dir, "benchmark")) < decontaminate.THRESHOLD)
+    """Documents that hold less than 60 % of every benchmark item; null and empty texts, and repeated rows, stay."""
+    return decontaminate.without_covered(docs, queries.table(spark, sf_dir, "benchmark"))
 
 
 def replace_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The same documents with pseudonyms, and n_chars counted anew."""
-    new = docs.withColumn("text", pseudonyms.pseudonymise("text", queries.KEY))
+    """The same rows with pseudonyms, and n_chars, if there is one, counted anew; null texts stay null."""
+    new = queries.with_pseudonyms(docs, "text")
+    if "n_chars" not in docs.columns:
+        return new
     return new.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Ids of each document, and whether they decode to its text."""
-    own = pieces.encode_checked("text", public_tokenizers.path(queries.MODEL))
-    return docs.select("doc_id", own.alias("own")).select("doc_id", F.coalesce(F.size("own.ids"), F.lit(0)).cast("long").alias("n_tokens"), "own.round_trip", "own.ids")
+    """Of each row its id, the ids of its text and whether they decode to it; other columns go.
+
+    A null text has null ids and no tokens, an empty one an empty list.
+    """
+    return pieces.encoded(docs, public_tokenizers.path(queries.MODEL))
 
 
 STAGES = [

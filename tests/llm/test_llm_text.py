@@ -138,14 +138,22 @@ def test_reordered_passages_are_caught(spark):
     rows = [(1, " ".join(words)), (2, "x " + " ".join(words[15:] + ["y"] + words[:15])), (3, " ".join(words[:12])), (4, None), (5, ""), (None, " ".join(words)), (1, "W3 other")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("item_id", F.lit(9))
     items = spark.createDataFrame([(7, " ".join(words)), (8, None), (9, "w3 other"), (10, "")], "item_id long, text string")
-    for shard_words in (10**6, 1):
-        found = decontaminate.tilings(docs, items, shard_words=shard_words).collect()
+    for filter_bits in (24, 7):  # the smaller lets through what nothing has in common
+        found = decontaminate.tilings(docs, items, filter_bits=filter_bits).collect()
         assert sorted(((r.doc_id or 0, r.item_id, round(r.coverage, 2), len(r.tiles)) for r in found)) == [(0, 7, 1.0, 1), (1, 7, 1.0, 1), (1, 9, 1.0, 1), (2, 7, 1.0, 2)]
-        cover = docs.select("doc_id", decontaminate.coverage("text", items, shard_words=shard_words).alias("c")).where("c > 0").count()
-        assert cover == 4
+        kept = decontaminate.without_covered(docs, items, filter_bits=filter_bits)
+        assert kept.columns == docs.columns and sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(3, rows[2][1]), (4, None), (5, "")])
     assert decontaminate.tilings(docs.limit(0), items).count() == 0 and decontaminate.tilings(docs, items.limit(0)).count() == 0
 
 
+def test_items_that_repeat_themselves(spark):
+    docs = spark.createDataFrame([(1, "la " * 40), (2, "x la la la la y"), (3, "la la la")], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "la " * 20), (2, "la la la la"), (3, "la la")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id): r.n_covered for r in decontaminate.tilings(docs, items).collect()}
+    assert found == {(1, 1): 20, (1, 2): 4, (1, 3): 2, (2, 2): 4, (2, 3): 2, (3, 3): 2}
+    assert decontaminate.tilings(docs, items).where("item_id = 1").first().tiles[0].n_words == 20
+
+
 def test_decontamination_agrees_with_brute_force(spark, sf001):
     docs = {r.doc_id: words_of(r.text) for r in queries.table(spark, sf001, "documents").collect()}
     items = {r.item_id: words_of(r.text) for r in queries.table(spark, sf001, "benchmark").collect()}
