@@ -26,7 +26,7 @@ HEADLINE = [
     "dq_summary", "ds_aqi_series", "ds_heatmap", "ds_wind_bins", "ds_hist_vs_rt", "ds_drivers",
     "anomaly_hourly_band", "clf_predict", "anomaly_detect", "store_full_refresh",
     "stream_snapshot", "stream_hours_joined", "anomaly_smoothed", "anomaly_detect_by_station",
-    "clf_training_time_frames", "stream_late_rows",
+    "clf_training_time_frames",
 ]
 
 
