@@ -32,6 +32,7 @@ ARRIVALS = {"weather": "weather_arrivals", "airquality": "airquality_arrivals"}
 # functions as named tuples, which take no names that begin with an underscore.
 LANDED, PLACE = ("LANDED", "FILE_NAME"), "PLACE"
 FOLD_AFTER = 200  # batches whose arrivals stay apart
+FATE_BUCKETS = 256  # groups of series that are judged in one call
 
 
 def payload_stream(
@@ -177,35 +178,41 @@ def write_snapshot(
 
 
 def delivery_fates(
-    pair: DataFrame, late: str = "2 days", series: tuple[str, ...] = ()
+    pair: DataFrame, late: str = "2 days", series: tuple[str, ...] = (), buckets: int = FATE_BUCKETS
 ) -> DataFrame:
     """Every delivered row of a ``tagged_pair`` with its fate, so that none vanishes unaccounted for.
 
     ``late``: its hour lay behind the watermark when it came. ``repeated``: the hour of its
     feed and series had come before, in this batch or since the watermark. ``accepted``:
-    all others. Per series the state holds the hours that are not behind the watermark.
+    all others. State holds the hours that are not behind the watermark, of many series in
+    one bucket, as a call per series would cost more than its rows. A checkpoint keeps its
+    number of ``buckets``.
     """
     stamped = pair.withColumn(EVENT_TS, F.col(S.TIME).cast("timestamp")).withWatermark(EVENT_TS, late)
-    keyed = stamped.withColumns({"_at": F.unix_millis(EVENT_TS), "_one": F.lit(0)})
-    kinds = list(S.FIELDS)
+    at = F.unix_millis(EVENT_TS)
+    name = F.to_json(F.struct(*series)) if series else F.lit("")
+    bucket = F.pmod(F.xxhash64(*series), F.lit(buckets)) if series else F.lit(0)
+    keyed = stamped.withColumns({
+        "_at": at, "_entry": F.concat_ws(" ", F.coalesce(at.cast("string"), F.lit("")), FEED, name), "_bucket": bucket,
+    })
 
     def judge(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         mark = state.getCurrentWatermarkMs()
         seen = set(state.get[0]) if state.exists else set()
         for part in parts:
-            code = part["_at"] * 2 + part[FEED].map(kinds.index)
-            behind = part["_at"] < mark
-            again = (code.duplicated() & ~behind) | code.isin(seen)
+            entry, behind = part["_entry"], part["_at"] < mark
+            again = (entry.duplicated() & ~behind) | entry.isin(seen)
             fate = pd.Series(ACCEPTED, index=part.index).mask(again, REPEATED).mask(behind, LATE)
-            seen |= set(code[~behind].tolist())
+            seen |= set(entry[~behind].tolist())
             yield part.assign(**{FATE: fate})
-        state.update(([c for c in sorted(seen) if c // 2 >= mark],))
+        times = ((e, e.split(" ", 1)[0]) for e in seen)
+        state.update(([e for e, t in times if t and int(t) >= mark],))
 
     schema = StructType([*keyed.schema.fields, StructField(FATE, StringType())])
-    judged = keyed.groupBy(*(series or ("_one",))).applyInPandasWithState(
-        judge, schema, "seen array<bigint>", "append", GroupStateTimeout.NoTimeout
+    judged = keyed.groupBy("_bucket").applyInPandasWithState(
+        judge, schema, "seen array<string>", "append", GroupStateTimeout.NoTimeout
     )
-    return judged.drop("_at", "_one", EVENT_TS)
+    return judged.drop("_at", "_entry", "_bucket", EVENT_TS)
 
 
 def write_fates(judged: DataFrame, out: str, checkpoint: str) -> DataStreamWriter:

@@ -180,3 +180,31 @@ def test_once_per_hour_and_join(spark, tmp_path, state_store):
     for kind in S.FIELDS:
         deliver(landing, kind, "again.json", range(0, 8))
     assert run() == [at(h) for h in range(8)]
+
+
+def test_fates_of_many_series_share_state(spark, tmp_path):
+    """State holds a row per bucket, not per series, and keeps series apart, one without a name too."""
+    landing, out = tmp_path / "in", str(tmp_path / "out")
+    names = [None, "", *map(str, range(40))]
+
+    def run(**hours):
+        for kind, rows in hours.items():
+            (landing / kind).mkdir(parents=True, exist_ok=True)
+            table = S.FIELDS[kind]
+            entry = lambda h: {f: at(h).isoformat() if f == "time" else 1.0 for f in table}
+            lines = [json.dumps({"station": n, "hourly": {f: [entry(h)[f] for h in own] for f in table}}) for n, own in rows]
+            (landing / kind / f"{len(list((landing / kind).iterdir()))}.json").write_text("\n".join(lines))
+        feeds = (streams.payload_stream(spark, f"{landing}/{kind}", kind, ("station",)) for kind in S.FIELDS)
+        judged = streams.delivery_fates(streams.tagged_pair(*feeds), "6 hours", ("station",), buckets=3)
+        query = streams.write_fates(judged, out, str(tmp_path / "cp")).trigger(availableNow=True).start()
+        query.awaitTermination()
+        states.append(max(p["stateOperators"][0]["numRowsTotal"] for p in query.recentProgress))
+        found = spark.read.schema(judged.schema).parquet(out)
+        return {r.FEED: (r.DELIVERED, r.ACCEPTED, r.REPEATED, r.LATE) for r in streams.fate_counts(found).collect()}
+
+    states = []
+    first = run(weather=[(n, [1, 2, 10]) for n in names], airquality=[(n, [10]) for n in names])
+    assert first == {"weather": (126, 126, 0, 0), "airquality": (42, 42, 0, 0)}
+    again = run(weather=[(None, [10, 11]), ("", [10, 3]), ("7", [10, 12])], airquality=[("new", [10])])
+    assert again == {"weather": (132, 128, 3, 1), "airquality": (43, 43, 0, 0)}
+    assert max(states) <= 3
