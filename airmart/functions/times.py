@@ -37,12 +37,21 @@ def this_hour(now: datetime | Column) -> Column:
     return trunc_hour(time_column(now))
 
 
+# As monthname and dayname give them, which make a formatter for every row.
+MONTHS = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
+WEEKDAYS = ("Mon", "Tue", "Wed", "Thu", "Fri", "Sat", "Sun")
+
+
+def _named(names: tuple[str, ...], number: Column) -> Column:
+    return F.element_at(F.array(*map(F.lit, names)), number)
+
+
 def calendar_parts(ts: Column | None = None) -> dict[str, Column]:
     """Date, month name, hour and weekday name of ``ts``."""
     ts = F.col(TIME) if ts is None else ts
     return {
         "DATE_ONLY": F.to_date(ts),
-        "MONTH_NAME": F.monthname(ts),
+        "MONTH_NAME": _named(MONTHS, F.month(ts)),
         "HOUR_OF_DAY": F.hour(ts),
-        "DAY_NAME": F.dayname(ts),
+        "DAY_NAME": _named(WEEKDAYS, F.weekday(ts) + 1),
     }

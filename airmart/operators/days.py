@@ -46,7 +46,7 @@ def writes_by_day(
         days: list[str] = []
         if any(p.day is None for p in table.parts):
             # One row per day reaches the driver.
-            days = [r[0] for r in read(name).select(day_text(time)).distinct().collect()]
+            days = [r[0] for r in read(name).select(F.to_date(time).alias("d")).distinct().select(F.col("d").cast("string")).collect()]
         for part in table.parts:
             for day in [part.day] if part.day else days:
                 found.setdefault(day, []).append(f"{name}:{part.v}")

@@ -9,6 +9,7 @@ from airmart.sources.payload import DELIVERY, POSITION
 
 
 SALTS = 32
+GROUP_LIMIT = 1000  # Spark's own: up to so many rows per key are kept in each map task
 
 
 def latest_rows(
@@ -20,16 +21,17 @@ def latest_rows(
 ) -> DataFrame:
     """The ``k`` rows latest by ``order``; remaining columns break ties.
 
-    Overall: each task keeps k rows and one merges them. Per series: rows are
-    ranked within ``salts`` slices of a series first, so that even a series that
-    holds most rows sends no more than ``salts`` times k rows to its final rank.
+    Overall: each task keeps k rows and one merges them. Per series each
+    map task keeps k rows of a series, so that even one that holds most rows sends k
+    rows per task to its final rank. Where k is too large for that, rows are ranked
+    within ``salts`` slices of a series first.
     """
     ties = [c for c in df.columns if c not in (*series, *order)]
     latest: list[Column] = [F.col(c).desc_nulls_last() for c in order]
     latest += [F.col(c).asc_nulls_last() for c in ties]
     if not series:
         return df.orderBy(*latest).limit(k)
-    if salts > 1:
+    if salts > 1 and k > GROUP_LIMIT:
         salt = F.pmod(F.xxhash64(*order, *ties), F.lit(salts))
         df = _top(df.withColumn("_salt", salt), k, [*series, "_salt"], latest).drop("_salt")
     return _top(df, k, list(series), latest)

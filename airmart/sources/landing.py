@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from airmart.functions import parse_utc
-from airmart.operators.days import day_text, is_one_of, span
+from airmart.operators.days import is_one_of, span
 from airmart.sources.payload import LANDING_DATE, in_request_range
 
 
@@ -35,9 +35,10 @@ def landed_marks(spark: SparkSession, path: str, now: datetime | Column, kind: s
 def hour_days(payload: DataFrame) -> dict[str, tuple[str, str]]:
     """First and last day of the hours in each landing folder."""
     times = payload.select(LANDING_DATE, F.explode("hourly.time").alias("t"))
-    day = day_text(parse_utc(F.col("t")))
-    spans = times.groupBy(F.col(LANDING_DATE).cast("string")).agg(F.min(day), F.max(day))
-    return {r[0]: (r[1], r[2]) for r in spans.collect()}
+    # Least and greatest of dates are hashed by folder; those of text would be sorted.
+    day = F.to_date(parse_utc(F.col("t")))
+    spans = times.groupBy(LANDING_DATE).agg(F.min(day).alias("first"), F.max(day).alias("last"))
+    return {r[0]: (r[1], r[2]) for r in spans.select(*[F.col(c).cast("string") for c in spans.columns]).collect()}
 
 
 @dataclass(frozen=True)

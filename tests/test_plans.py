@@ -3,7 +3,9 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
+from airmart.functions import calendar_parts
 from airmart.operators.dedup import unite
 from airmart.operators.latest import latest_rows
 from airmart.plans import marts
@@ -70,6 +72,20 @@ def test_latest_rows_limit_before_the_shuffle(tables):
     assert "TakeOrderedAndProject" in plan(latest_rows(tables[0], 48, ["OBSERVATION_TIME"]))
 
 
+def test_latest_rows_are_shuffled_once(tables):
+    """Map tasks keep k rows of a series already; only a large k is ranked in slices first."""
+    ranked = lambda k: plan(latest_rows(tables[0], k, ["OBSERVATION_TIME"], STATION)).count("Exchange hashpartitioning")
+    assert ranked(48) == 1 and ranked(5000) == 2
+
+
+def test_calendar_names_need_no_formatter(spark):
+    days = spark.sql("SELECT explode(sequence(timestamp_ntz'2023-12-30', timestamp_ntz'2025-01-03', interval 9 hours)) AS t UNION ALL SELECT NULL")
+    names = calendar_parts(F.col("t"))
+    wrong = days.select("t", names["MONTH_NAME"].alias("m"), names["DAY_NAME"].alias("d")).where("NOT (m <=> monthname(t) AND d <=> dayname(t))")
+    assert wrong.count() == 0
+    assert "monthname" not in plan(days.select(*names.values())) and "dayname" not in plan(days.select(*names.values()))
+
+
 def test_filters_and_columns_reach_the_scan(tables):
     text = plan(marts.anomaly_rows(tables[0], tables[1], STATION))
     assert "IsNotNull(PM2_5)" in text
