@@ -8,9 +8,11 @@ from pyspark.sql import functions as F
 from airmart.functions import calendar_parts
 from airmart.operators.dedup import unite
 from airmart.operators.latest import latest_rows
+from airmart.operators.store import VersionedStore
 from airmart.plans import marts
 from airmart.session import materialize
 from airmart.sources import sensors
+from workload import runs
 
 
 def plan(df):
@@ -86,6 +88,19 @@ def test_calendar_names_need_no_formatter(spark):
     assert "monthname" not in plan(days.select(*names.values())) and "dayname" not in plan(days.select(*names.values()))
 
 
+def test_gate_runs_aggregate_events_once(spark, sf001, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def stop(store, tables):
+        raise Seen([plan(rows) for rows in tables.values()])
+
+    monkeypatch.setattr(VersionedStore, "refresh_together", stop)
+    with pytest.raises(Seen) as found:
+        runs.dq_gate(spark, sf001)
+    assert found.value.args[0] and not any("Aggregate" in p for p in found.value.args[0])
+
+
 def test_filters_and_columns_reach_the_scan(tables):
     text = plan(marts.anomaly_rows(tables[0], tables[1], STATION))
     assert "IsNotNull(PM2_5)" in text
