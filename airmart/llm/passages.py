@@ -1,32 +1,32 @@
 """Passages that repeat across or within documents, by compact windows.
 
-A text is its sequence of five-word shingles. Each of several hash functions
-orders the shingles; a compact window (l, c, r) says that every stretch that
-begins in l..c and ends in c..r has its smallest hash at c. The windows at least
-as long as a passage are the nodes of the Cartesian tree over the hashes with
-that many shingles below them; here they are read from sliding and range
-minima. Two stretches with an equal smallest hash are candidates.
-
-1. Windows whose smallest hash occurs once leave.
-2. Of up to `ALL_PAIRS` windows with the same smallest hash, each is paired with
-   every one before it, by document and place. In a larger group each is paired with
-   the first one of all, with the first that also has the same shingle 20 places
-   before or after, and (first hash function) with the first that has the same run of
-   shingles around: of so many that the rest of a passage cannot bring it below
-   `percent`, at places so close that one lies in any passage. So pairs grow in
-   proportion to windows, and a passage that occurred before meets one that is enough
-   like it, however common its phrases are elsewhere. Near copies in large groups have
-   the shingles before and after in each function, but no such certainty.
-3. Windows of one document and one partner, whose places differ by about the same
-   number, are joined where they overlap by a passage's length; stretches in which
-   `min_hashes` functions agree are candidates.
-4. The shingles of candidate stretches are fetched and compared: what is reported
-   has `percent` per cent of the union of its distinct shingles in common with
-   its partner, over a passage's length or more. Of several places of a shingle in
-   the partner's stretch the one nearest the windows' shift counts; where that fails,
-   a window is compared with all windows of the stretch.
-
-Each row is a passage of a document with the passage it repeats. The
+A text is its sequence of five-word shingles; a window is as many of them as a
+passage of `min_words` has. Two windows are linked if the sets of their shingles
+have `percent` per cent of their union in common; within a document they may not
+overlap. All documents with a linked window are found, in groups of any size:
+
+1. Shingles are counted by 40 bits of their hashes, in slices. A filter of bounded
+   size holds those that repeat and how often, roughly; it may err only by more.
+   A window in which too few shingles repeat has no link. What the others cover is
+   kept as spans of hashes; the texts are not read again.
+2. A compact window (l, c, r) says that every stretch that begins in l..c and ends in
+   c..r has its smallest hash at c. The windows of one compact window that have
+   the same sets of repeated shingles and as many others, in the same order, are
+   folded into the first such: they have the same links. Windows are folded only if
+   that makes them linked themselves.
+3. The shingles of a window are ordered by how often they repeat, seldom ones first.
+   Two linked windows share a shingle among the first few of each (as many as may be
+   missing from the other, and one more; fewer if both have no shingle twice). So
+   the spans of first windows that share such a shingle are paired, all with
+   all, and those of folded windows with the span of the first.
+4. The shingles of paired spans are compared: what is reported has `percent` per cent
+   of the union of its distinct shingles in common with its partner, over a passage's
+   length or more. Of several places of a shingle in the partner's span the one
+   nearest the spans' shift counts; where that fails, a window is compared with all
+   windows of the partner. Of several places in a partner one is reported.
+
+Each row is a passage of a document with the passage it repeats: pairs of different
+texts are all there, copies have a row with the first one. The
 document that has the first occurrence appears as partner. Null or short texts
 have no windows. Rows with a null id take no part. Repeated rows repeat each other
 if their ids differ; rows that share an id count as one document whose text is the
@@ -45,9 +45,9 @@ from airmart.llm.words import Words, blocks, mixed, runs
 from airmart.session import materialize
 
 WIDTH, MIN_WORDS, PERCENT = 5, 50, 80
-HASHES, MIN_HASHES = 4, 1
-ALL_PAIRS = 8
-CONTEXT, TOP = 20, 12
+HASHES = 4  # places of a shingle in the filter
+FILTER_BITS, SLICES = 1 << 20, 256  # a slice, slices
+TOP = 12
 BLOCK = 1 << 20
 # The lower half of a key is the place, so that ties go by place; Arrow holds no text with more places.
 _PLACE = np.uint64((1 << 32) - 1)
@@ -62,9 +62,11 @@ def block_shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     return hashes, left >= width
 
 
-def compact_windows(hashes: np.ndarray, valid: np.ndarray, seed: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """l, c and r of all compact windows of at least `length` shingles; texts are parted by places that are not valid."""
+def compact_windows(hashes: np.ndarray, valid: np.ndarray, seed: int, length: int, last: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """l, c and r of all compact windows of at least `length` shingles; texts are parted by places that are not valid, those of `last` come after all others."""
     key = (mixed(hashes + np.uint64(seed)) | np.uint64(1 << 63)) & ~_PLACE | np.arange(len(hashes), dtype=np.uint64)
+    if last is not None:
+        key = np.where(last, key | np.uint64(1 << 62), key & ~np.uint64(1 << 62))
     key[~valid] = 0
     levels = [key]
     for j in range(1, TOP + 1):
@@ -100,114 +102,216 @@ def least_shared(length: int, percent: int) -> int:
     return -(-2 * length * percent // (100 + percent))
 
 
-WINDOWS = "key long, id long, k int, l int, c int, r int, around array<int>"
+SLICE = "slice int, counts binary, low binary"
+FILTER = "slice int, bits binary, levels binary"
 
 
-def surroundings(words: Words, own: np.ndarray, valid: np.ndarray, left: np.ndarray, c: np.ndarray, right: np.ndarray, length: int, width: int, percent: int, with_runs: bool) -> pa.ListArray:
-    """For each window hashes (32 bits) of what lies around its smallest hash: single shingles, and runs that lie in the window."""
-    found, inside = [], []
-    for tag, d in enumerate((-CONTEXT, CONTEXT)):
-        at = np.clip(c + d, 0, len(own) - 1)
-        found.append(mixed(own[at] + np.uint64(tag)))
-        inside.append((at >= left) & (at <= right) & (at == c + d) & valid[at])
-    if with_runs:
-        n = min(least_shared(length, percent), length)
-        whole = runs(words.hash, n + width - 1)
-        for a in range(0, n, max(1, length - n)):
-            at = c - a
-            inside.append((at >= left) & (at + n - 1 <= right))
-            found.append(mixed(whole[np.clip(at, 0, len(whole) - 1)] + np.uint64(a + 2)))
-    keep = np.column_stack(inside)
-    offsets = np.append(0, np.cumsum(keep.sum(axis=1))).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.column_stack(found)[keep].astype(np.uint32).view(np.int32)))
+class Filter:
+    """Which shingles repeat, and how often, roughly; none that repeats is missing."""
 
+    def __init__(self, slices: dict[int, tuple[bytes, bytes]]):
+        parts = [slices.get(k, (b"\0", b"\0")) for k in range(SLICES)]
+        self.bits, self.levels = (np.frombuffer(b"".join(p[k] for p in parts), np.uint8) for k in (0, 1))
+        size, rough = (np.array([len(p[k]) for p in parts]) for k in (0, 1))
+        self.base, self.rough_base = ((np.cumsum(x) - x).astype(np.uint64) for x in (size, rough))
+        self.mask, self.rough_mask = (size * 8 - 1).astype(np.uint64), (rough * 2 - 1).astype(np.uint64)
+
+    def look(self, hashes: np.ndarray) -> np.ndarray:
+        """0 for shingles that occur once, else a level that grows with their number."""
+        part, spread = (hashes >> np.uint64(56)).astype(np.intp), mixed(hashes >> np.uint64(24))
+        at = np.arange(len(hashes))
+        for k in range(HASHES):
+            place = filter_place(spread[at], k) & self.mask[part[at]]
+            found = self.bits[self.base[part[at]] + (place >> np.uint64(3))] >> (place & np.uint64(7)).astype(np.uint8) & 1
+            at = at[found > 0]
+        place = rough_place(spread[at]) & self.rough_mask[part[at]]
+        out = np.zeros(len(hashes), np.uint8)
+        level = self.levels[self.rough_base[part[at]] + (place >> np.uint64(1))] >> (place & np.uint64(1)).astype(np.uint8) * np.uint8(4) & 15
+        out[at] = np.maximum(level, 1)
+        return out
+
+
+def filter_place(spread: np.ndarray, k: int) -> np.ndarray:
+    return spread >> np.uint64(11 * k)
+
+
+def rough_place(spread: np.ndarray) -> np.ndarray:
+    return spread >> np.uint64(40)
 
-def windows(docs: DataFrame, hashes: int, min_words: int, width: int, percent: int = PERCENT) -> DataFrame:
-    """All compact windows of (id, text); key stands for hash function and smallest hash, around for the shingles beside it."""
-    length = min_words - width + 1
+
+def repeated_shingles(texts: DataFrame, width: int) -> Filter:
+    """The filter of all shingles of (id, text). Only its slices, of bounded size, come to the driver."""
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [np.zeros(0, np.uint64)]
+            for _, words in blocks(batch.column("text"), BLOCK):
+                own, valid = block_shingles(words, width)
+                found.append(own[valid] >> np.uint64(24))
+            short = np.sort(np.concatenate(found))
+            counts = np.bincount((short >> np.uint64(24)).astype(np.intp), minlength=SLICES * 256).reshape(SLICES, 256).astype(np.uint32)
+            low = short.astype(np.uint32).view(np.uint8).reshape(-1, 4)[:, :3]
+            ends = np.append(0, np.cumsum(counts.sum(axis=1, dtype=np.int64)))
+            some = [k for k in range(SLICES) if ends[k] < ends[k + 1]]
+            columns = [pa.array(some, pa.int32()), pa.array([counts[k].tobytes() for k in some], pa.binary()), pa.array([low[ends[k] : ends[k + 1]].tobytes() for k in some], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SLICE.split(", ")])
+
+    def reduced(table: pa.Table) -> pa.Table:
+        found = []
+        for counts, low in zip(table.column("counts"), table.column("low")):
+            wide = np.zeros((len(low.as_buffer()) // 3, 4), np.uint8)
+            wide[:, :3] = np.frombuffer(low.as_buffer(), np.uint8).reshape(-1, 3)
+            wide[:, 3] = np.repeat(np.arange(256), np.frombuffer(counts.as_buffer(), np.uint32))
+            found.append(wide.view(np.uint32)[:, 0])
+        values, n = np.unique(np.concatenate(found), return_counts=True)
+        values, n = values[n > 1], n[n > 1]
+        part = table.column("slice")[0].as_py()
+        size = min(FILTER_BITS, 1 << max(10, (16 * len(values)).bit_length()))
+        spread = mixed(np.uint64(part << 32) | values.astype(np.uint64))
+        bits, levels = np.zeros(size, bool), np.zeros(size // 4, np.uint8)
+        for k in range(HASHES):
+            bits[filter_place(spread, k) & np.uint64(size - 1)] = True
+        np.maximum.at(levels, rough_place(spread) & np.uint64(size // 4 - 1), np.ceil(np.log2(n)).clip(1, 15).astype(np.uint8))
+        levels = levels[::2] | levels[1::2] << 4
+        return pa.table([pa.array([part], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary()), pa.array([levels.tobytes()], pa.binary())], ["slice", "bits", "levels"])
+
+    rows = texts.mapInArrow(packed, SLICE).groupBy("slice").applyInArrow(reduced, FILTER).collect()
+    return Filter({r.slice: (bytes(r.bits), bytes(r.levels)) for r in rows})
+
+
+SPANS = "id long, start int, low binary, high binary, levels binary"
+
+
+def spans(texts: DataFrame, width: int, length: int, percent: int) -> DataFrame:
+    """What windows with enough repeated shingles cover: hashes (lower and upper halves) and levels."""
+    repeated = texts.sparkSession.sparkContext.broadcast(repeated_shingles(texts, width))
+    missing = length * (100 - percent) // 100  # shingles that occur once are distinct
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("id").to_numpy(zero_copy_only=False)
             for at, words in blocks(batch.column("text"), BLOCK):
                 own, valid = block_shingles(words, width)
-                for k in range(hashes):
-                    left, c, right = compact_windows(own, valid, k + 1, length)
-                    if len(c):
-                        doc = np.searchsorted(words.first, c, side="right") - 1
-                        first = words.first[doc]
-                        columns = [mixed(own[c] + np.uint64(k)).view(np.int64), ids[at + doc].astype(np.int64), np.full(len(c), k, np.int32)]
-                        columns += [(x - first).astype(np.int32) for x in (left, c, right)]
-                        around = surroundings(words, own, valid, left, c, right, length, width, percent, k == 0)
-                        yield pa.RecordBatch.from_arrays([*map(pa.array, columns), around], [x.split()[0] for x in WINDOWS.split(", ")])
-
-    return docs.mapInArrow(cut, WINDOWS)
-
-
-def paired(cut: DataFrame, length: int) -> DataFrame:
-    """Windows of which several have the key, each with those before it or the first of its groups."""
-    own = F.struct("id", "c", "l", "r")
-    counts = cut.groupBy("key").agg(F.min(own).alias("first"), F.count("*").alias("n")).where("n > 1")
-    near = materialize(cut.join(counts, "key").withColumn("around", F.when(F.col("n") > ALL_PAIRS, F.col("around"))), "windows")
-    few, many = near.where(F.col("n") <= ALL_PAIRS).drop("first"), near.where(F.col("n") > ALL_PAIRS)
-    before = few.select("key", own.alias("first"))
-    grouped = many.select("id", "k", "l", "c", "r", F.explode("around").alias("one"), "key").withColumn("key", F.xxhash64("key", "one")).drop("one")
-    heads = grouped.groupBy("key").agg(F.min(own).alias("first"), F.count("*").alias("n")).where("n > 1").drop("n")
-    columns = ["id", "k", "l", "c", "r", "first"]
-    pairs = few.join(before, "key").where(F.col("first") < own).select(columns).union(many.select(columns)).union(grouped.join(heads, "key").select(columns))
-    pairs = pairs.where((F.col("id") != F.col("first.id")) | (F.abs(F.col("c") - F.col("first.c")) >= length))
-    return pairs.select("id", "k", "l", "c", "r", F.col("first.id").alias("other"), F.col("first.l").alias("ol"), F.col("first.c").alias("oc"), F.col("first.r").alias("orr")).distinct()
-
-
-STRETCHES = "id long, start int, end int, other long, other_start int, other_end int, shift int"
-
-
-def joined_intervals(pairs: DataFrame, length: int, min_hashes: int) -> DataFrame:
-    """Stretches of a document and its partner on which enough hash functions agree; end is the last shingle."""
-    def stretches(table: pa.Table) -> pa.Table:
-        x = {c: table.column(c).to_numpy() for c in table.column_names}
-        shift = x["oc"].astype(np.int64) - x["c"]
-        out = []
-        order = np.lexsort((x["l"], shift, x["other"]))
-        cuts = np.flatnonzero(np.append(True, (np.diff(x["other"][order]) != 0) | (np.diff(shift[order]) > length // 5)))
-        for part in np.split(order, cuts[1:]):
-            part = part[np.argsort(x["l"][part], kind="stable")]
-            group: list[int] = []
-            reach = -1
-            for w in [*part.tolist(), None]:
-                if w is not None and (not group or reach - x["l"][w] + 1 >= length):
-                    group.append(w)
-                    reach = max(reach, x["r"][w])
+                if len(own) < length:
                     continue
-                if len({int(x["k"][g]) for g in group}) >= min_hashes:
-                    g = np.array(group)
-                    out.append((x["id"][0], x["l"][g].min(), x["r"][g].max(), x["other"][g[0]], x["ol"][g].min(), x["orr"][g].max(), int(np.median(shift[g]))))
-                if w is not None:
-                    group, reach = [w], x["r"][w]
-        columns = zip(*out) if out else [[]] * 7
-        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
-        return pa.table({n.split()[0]: pa.array(np.array(c), k) for n, c, k in zip(STRETCHES.split(", "), columns, kinds)})
+                level = repeated.value.look(own)
+                once, there = (np.append(0, np.cumsum(x)) for x in ((level == 0) & valid, valid))
+                begin = np.flatnonzero((there[length:] - there[:-length] == length) & (once[length:] - once[:-length] <= missing))
+                if not len(begin):
+                    continue
+                cuts = np.flatnonzero(np.append(True, np.diff(begin) > length))
+                first, last = begin[cuts], np.append(begin[cuts[1:] - 1], begin[-1]) + length
+                doc = np.searchsorted(words.first, first, side="right") - 1
+                low, high = own.astype(np.uint32), (own >> np.uint64(32)).astype(np.uint32)
+                columns = [pa.array(ids[at + doc].astype(np.int64)), pa.array((first - words.first[doc]).astype(np.int32))]
+                columns += [pa.array([x[i:j].tobytes() for i, j in zip(first, last)], pa.binary()) for x in (low, high, level)]
+                yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SPANS.split(", ")])
+
+    return materialize(texts.mapInArrow(cut, SPANS), "spans")
 
-    return pairs.groupBy("id").applyInArrow(stretches, STRETCHES)
 
+FOLDS = "key long, id long, start int, seeds array<long>"
+BOTH_FULL, FULL, SHORT = 0, 1, 2  # kinds of seeds, in the lowest bits
 
-def fetched(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """The shingle hashes (32 bits each) of stretches (id, start, end)."""
-    lists = wanted.distinct().groupBy("id").agg(F.collect_list(F.struct("start", "end")).alias("parts"))
 
+def prefix(distinct: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """Of so many first shingles of a window one is in each window linked with it."""
+    return distinct + -distinct * percent // 100 + 1
+
+
+def seeds_of(hashes: np.ndarray, order: np.ndarray, level: np.ndarray, at: np.ndarray, distinct: np.ndarray, length: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The window (as a place in `at`) and the hash of each first shingle that repeats; the lowest bits say between which windows it counts."""
+    few, more = length - least_shared(length, percent) + 1, prefix(length, percent)
+    window, seed = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+
+    def add(rows: np.ndarray, places: np.ndarray, kind: np.ndarray) -> None:
+        on = level[places] > 0
+        window.append(rows[on])
+        seed.append(hashes[places[on]] & ~np.uint64(3) | kind[on].astype(np.uint64))
+
+    for begin in range(0, len(at), 1 << 14):
+        rows = np.arange(begin, min(begin + (1 << 14), len(at)))
+        for full in (True, False):
+            some = rows[(distinct[rows] == length) == full]
+            if not len(some):
+                continue
+            keys = order[at[some][:, None] + np.arange(length)]
+            if full:
+                place = np.argpartition(keys, sorted({few - 1, more - 1}), axis=1)[:, :more]
+                add(np.repeat(some, more), (at[some][:, None] + place).ravel(), np.tile(np.where(np.arange(more) < few, BOTH_FULL, FULL), len(some)))
+            else:
+                place = np.argsort(keys, axis=1, kind="stable")
+                keys = np.take_along_axis(keys, place, axis=1)
+                new = np.column_stack([np.ones(len(some), bool), keys[:, 1:] != keys[:, :-1]])
+                i, j = np.nonzero(new & (np.cumsum(new, axis=1) <= prefix(distinct[some], percent)[:, None]))
+                add(some[i], at[some[i]] + place[i, j], np.full(len(i), SHORT))
+    return np.concatenate(window), np.concatenate(seed)
+
+
+def folds(found: DataFrame, length: int, percent: int) -> DataFrame:
+    """Runs of windows of spans, with a key for what they hold and the first shingles of their windows."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, parts = batch.column("id").to_pylist(), batch.column("parts").to_pylist()
-            for at, words in blocks(batch.column("text"), BLOCK):
-                rows = []
-                for d in range(len(words.off) - 1):
-                    own = runs(words.text(d), width).astype(np.uint32)
-                    rows += [(ids[at + d], p["start"], p["end"], own[p["start"] : p["end"] + 1].tobytes()) for p in parts[at + d]]
-                if rows:
-                    i, start, end, data = zip(*rows)
-                    yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(start, pa.int32()), pa.array(end, pa.int32()), pa.array(data, pa.binary())], ["id", "start", "end", "data"])
-
-    return docs.join(lists, "id").select("id", "text", "parts").mapInArrow(cut, "id long, start int, end int, data binary")
+            ids, starts = (batch.column(x).to_numpy() for x in ("id", "start"))
+            low, high, levels = (batch.column(x).to_pylist() for x in ("low", "high", "levels"))
+            sizes = np.array([len(x) for x in levels])
+            ends = np.cumsum(sizes + 1)  # a place that is not valid ends each span
+            first = ends - sizes - 1
+            hashes = np.frombuffer(b"\0\0\0\0".join(high) + b"\0\0\0\0", np.uint32).astype(np.uint64) << np.uint64(32) | np.frombuffer(b"\0\0\0\0".join(low) + b"\0\0\0\0", np.uint32)
+            level = np.frombuffer(b"\0".join(levels) + b"\0", np.uint8)
+            valid = np.ones(len(hashes), bool)
+            valid[ends - 1] = False
+            spread = mixed(hashes)
+            weights = np.column_stack([np.ones(len(hashes), np.uint64), (level > 0).astype(np.uint64), np.where(level > 0, spread, np.uint64(0))])
+            distinct, hit, content = sums_of_distinct(hashes, weights, length).T
+            distinct, hit = distinct.astype(np.int64), hit.astype(np.int64)
+            there = np.append(0, np.cumsum(valid))
+            at = np.flatnonzero((there[length:] - there[:-length] == length) & (100 * hit >= percent * distinct))
+            if not len(at):
+                continue
+            span = np.searchsorted(first, at, side="right") - 1
+            alike = (100 * hit >= percent * (2 * distinct - hit))[at]
+            content = mixed(content[at] + mixed(distinct[at].astype(np.uint64)))
+            alone = mixed(ids[span].astype(np.uint64) ^ mixed((at - first[span] + starts[span]).astype(np.uint64)))
+            content = np.where(alike, content, mixed(content + alone))
+            left, c, right = compact_windows(hashes, valid, 1, length, level == 0)
+            compact = np.searchsorted(np.maximum(left, c - length + 1), at, side="right")
+            cuts = np.append(True, (np.diff(at) > 1) | (np.diff(compact) != 0) | (np.diff(span) != 0) | (alike[1:] != alike[:-1]))
+            keep = cuts | np.append(True, content[1:] != content[:-1])
+            at, span, content, cuts = at[keep], span[keep], content[keep], cuts[keep]
+            run, begin = np.cumsum(cuts) - 1, np.flatnonzero(cuts)
+            rank = np.arange(len(at)) - begin[run]
+            key = mixed(np.add.reduceat(mixed(content + mixed(rank.astype(np.uint64))), begin))
+            order = (level.astype(np.uint64) << np.uint64(60)) | spread >> np.uint64(4)
+            window, seed = seeds_of(hashes, order, level, at, distinct[at], length, percent)
+            by = np.lexsort((seed, run[window]))
+            owner, seed = run[window][by], seed[by]
+            new = np.append(True, (np.diff(owner) != 0) | (seed[1:] != seed[:-1]))[: len(seed)]
+            owner, seed = owner[new], seed[new]
+            offsets = np.append(0, np.cumsum(np.bincount(owner, minlength=len(begin)))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(seed.view(np.int64)))
+            columns = [pa.array(key.view(np.int64)), pa.array(ids[span[begin]]), pa.array(starts[span[begin]], pa.int32()), lists]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in FOLDS.split(", ")])
+
+    return found.select("id", "start", "low", "high", "levels").mapInArrow(cut, FOLDS)
+
+
+def paired(found: DataFrame, length: int, percent: int) -> DataFrame:
+    """Pairs of spans that may hold linked windows, each pair once; those of one span are not among them."""
+    runs_of = materialize(folds(found, length, percent), "folds")
+    own = F.struct("id", "start")
+    firsts = runs_of.groupBy("key").agg(F.min(own).alias("first"))
+    both = runs_of.join(firsts, "key")
+    columns = ["id", "start", "other", "other_start"]
+    copies = both.where(own != F.col("first")).select("id", "start", F.col("first.id").alias("other"), F.col("first.start").alias("other_start"))
+    seeds = both.where(own == F.col("first")).select("id", "start", F.explode("seeds").alias("seed"))
+    seeds = materialize(seeds.select("id", "start", F.shiftright("seed", 2).alias("seed"), F.col("seed").bitwiseAND(3).alias("kind")).distinct(), "seeds")
+    partner = seeds.select(F.col("id").alias("other"), F.col("start").alias("other_start"), "seed", F.col("kind").alias("other_kind"))
+    later = (F.col("id") > F.col("other")) | (F.col("id") == F.col("other")) & (F.col("start") > F.col("other_start"))
+    full = seeds.where(F.col("kind") == BOTH_FULL).join(partner.where(F.col("other_kind") == BOTH_FULL), "seed").where(later).select(columns)
+    short = seeds.join(partner.where(F.col("other_kind") == SHORT), "seed")
+    short = short.where(later).select(columns).union(short.where(~later).select(F.col("other").alias("id"), F.col("other_start").alias("start"), F.col("id").alias("other"), F.col("start").alias("other_start")))
+    short = short.where((F.col("id") != F.col("other")) | (F.col("start") != F.col("other_start")))
+    return copies.union(full).union(short).distinct()
 
 
 def nearest(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
@@ -228,75 +332,148 @@ def nearest(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
     return out
 
 
-def distinct_in_windows(values: np.ndarray, counted: np.ndarray, length: int) -> np.ndarray:
-    """Distinct counted values in each window of `length`."""
+def sums_of_distinct(values: np.ndarray, weights: np.ndarray, length: int) -> np.ndarray:
+    """The sum of the weights of the distinct values in each window of `length`; equal values have equal weights. One column of weights for each sum."""
     n = len(values) - length + 1
     order = np.argsort(values, kind="stable")
     last = np.full(len(values), -1)
     same = values[order][1:] == values[order][:-1]
     last[order[1:][same]] = order[:-1][same]
-    at = np.flatnonzero(counted)
-    change = np.zeros(n + 1, np.int64)
-    begin, end = np.minimum(np.maximum(last[at] + 1, at - length + 1).clip(0), n), np.minimum(at + 1, n)
+    at = np.arange(len(values))
+    change = np.zeros((n + 1, weights.shape[1]), weights.dtype)
+    begin, end = np.minimum(np.maximum(last + 1, at - length + 1).clip(0), n), np.minimum(at + 1, n)
     on = begin < end
-    np.add.at(change, begin[on], 1)
-    np.add.at(change, end[on], -1)
-    return np.cumsum(change)[:n]
+    for k in range(weights.shape[1]):
+        np.add.at(change[:, k], begin[on], weights[on, k])
+        np.subtract.at(change[:, k], end[on], weights[on, k])
+    return np.cumsum(change, axis=0, dtype=weights.dtype)[:n]
 
 
-def matching(a: np.ndarray, b: np.ndarray, length: int, percent: int, shift: int = 0) -> list[tuple[int, int, int, int, float]]:
-    """Stretches of a (first and last shingle) with those of b that they repeat, and their similarity; a place of a is about `shift` less than that in b."""
-    if len(a) < length or len(b) < length:
-        return []
-    where = nearest(a, b, shift)
-    hit = where >= 0
-    need = least_shared(length, percent)
-    total = np.append(0, np.cumsum(hit))
-    starts = np.flatnonzero(total[length:] - total[:-length] >= need)
-    if not len(starts):
-        return []
-    distinct = None
-
-    def test(first: int, last: int, low: int, high: int) -> float:
-        x, y = np.unique(a[first : last + 1]), np.unique(b[low : high + 1])
-        shared = len(np.intersect1d(x, y, True))
-        return shared / (len(x) + len(y) - shared) if 100 * shared >= percent * (len(x) + len(y) - shared) else 0.0
-
-    def partner(first: int, last: int) -> tuple[int, int, float] | None:
+def distinct_in_windows(values: np.ndarray, counted: np.ndarray, length: int) -> np.ndarray:
+    """Distinct counted values in each window of `length`."""
+    return sums_of_distinct(values, counted.astype(np.int64)[:, None], length)[:, 0]
+
+
+class Places:
+    """Of each shingle of a its place in b, and how alike stretches of both are."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, length: int, percent: int, shift: int | None):
+        self.a, self.b, self.length, self.percent = a, b, length, percent
+        order, own = np.argsort(b, kind="stable"), np.sort(a)
+        there = b[order]
+        self.plain = not ((there[1:] == there[:-1]).any() or (own[1:] == own[:-1]).any())  # no shingle twice
+        rank = np.minimum(np.searchsorted(there, a), len(b) - 1)
+        self.hit = there[rank] == a
+        self.where = np.where(self.hit, order[rank], -1)
+        self.whole_b: np.ndarray | int | None = length if self.plain else None
+        if not self.plain and self.hit.any():
+            at = np.flatnonzero(self.hit)
+            self.where = nearest(a, b, middle(self.where[at] - at) if shift is None else shift)
+
+    def starts(self) -> np.ndarray:
+        """Windows of a of which enough is anywhere in b for one of its windows."""
+        if self.plain:
+            total = np.append(0, np.cumsum(self.hit))
+            return np.flatnonzero(total[self.length :] - total[: -self.length] >= least_shared(self.length, self.percent))
+        shared, whole = sums_of_distinct(self.a, np.column_stack([self.hit, np.ones(len(self.a))]).astype(np.int64), self.length).T
+        some = 100 * shared >= self.percent * whole
+        if some.any():
+            self.whole_b = distinct_in_windows(self.b, np.ones(len(self.b), bool), self.length)
+            some &= 100 * shared >= self.percent * (whole + np.maximum(self.whole_b.min(), shared) - shared)
+        return np.flatnonzero(some)
+
+    def share(self, first: int, last: int, low: int, high: int) -> float:
+        if self.plain:
+            own = self.where[first : last + 1]
+            shared, union = int(((own >= low) & (own <= high)).sum()), last - first + high - low + 2
+        else:
+            x, y = np.unique(self.a[first : last + 1]), np.unique(self.b[low : high + 1])
+            shared, union = len(np.intersect1d(x, y, True)), len(x) + len(y)
+        return shared / (union - shared) if 100 * shared >= self.percent * (union - shared) else 0.0
+
+    def partner(self, first: int, last: int) -> tuple[int, int, float] | None:
         """A stretch of b: that of the nearest places, of those close to their middle shift, or that at this shift."""
-        at = first + np.flatnonzero(hit[first : last + 1])
-        own = where[at]
-        middle = int(np.median(own - at))
-        close = own[np.abs(own - at - middle) <= length // 5]
-        for low, high in ((own.min(), own.max()), (close.min(), close.max()) if len(close) else (0, -1), (max(first + middle, 0), min(last + middle, len(b) - 1))):
-            if low <= high and (share := test(first, last, int(low), int(high))):
+        at = first + np.flatnonzero(self.hit[first : last + 1])
+        own = self.where[at]
+        mid = middle(own - at)
+        close = own[np.abs(own - at - mid) <= self.length // 5]
+        for low, high in ((own.min(), own.max()), (close.min(), close.max()) if len(close) else (0, -1), (max(first + mid, 0), min(last + mid, len(self.b) - 1))):
+            if low <= high and (share := self.share(first, last, int(low), int(high))):
                 return int(low), int(high), share
         return None
 
-    def anywhere(first: int, last: int) -> tuple[int, int, float] | None:
+    def anywhere(self, first: int, last: int) -> tuple[int, int, float] | None:
         """The window of b most like a window of a, over all occurrences of its shingles."""
-        nonlocal distinct
-        if distinct is None:
-            distinct = distinct_in_windows(b, np.ones(len(b), bool), length)
-        x = np.unique(a[first : last + 1])
-        shared = distinct_in_windows(b, np.isin(b, x), length)
-        share = shared / (len(x) + distinct - shared)
+        if self.plain:
+            own = self.where[first : last + 1]
+            total = np.append(0, np.cumsum(np.bincount(own[own >= 0], minlength=len(self.b))))
+            shared, size = total[self.length :] - total[: -self.length], self.length
+        else:
+            x = np.unique(self.a[first : last + 1])
+            shared, size = distinct_in_windows(self.b, np.isin(self.b, x), self.length), len(x)
+        rest = size + self.whole_b - shared
+        share = shared / rest
         low = int(share.argmax())
-        return (low, low + length - 1, float(share[low])) if 100 * shared[low] >= percent * (len(x) + distinct[low] - shared[low]) else None
+        return (low, low + self.length - 1, float(share[low])) if 100 * shared[low] >= self.percent * (rest[low]) else None
 
-    out = []
-    for run in np.split(starts, np.flatnonzero(np.diff(starts) > length) + 1):
-        taken = -1
-        for one in (run, *run[:, None]) if len(run) > 1 else (run,):  # the whole stretch, or else its windows apart
-            first, last = int(one[0]), int(one[-1]) + length - 1
-            if first <= taken:
+
+def middle(x: np.ndarray) -> int:
+    return int(np.partition(x, len(x) // 2)[len(x) // 2])
+
+
+def matching(a: np.ndarray, b: np.ndarray, length: int, percent: int, shift: int | None = None) -> list[tuple[int, int, int, int, float]]:
+    """Stretches of a (first and last shingle) with those of b that they repeat, and their similarity; a place of a is about `shift` less than that in b."""
+    if len(a) < length or len(b) < length:
+        return []
+    places = Places(a, b, length, percent, shift)
+    starts = places.starts()
+    out: list[tuple[int, int, int, int, float]] = []
+    taken = -1
+
+    def whole(some: np.ndarray) -> bool:
+        nonlocal taken
+        first, last = int(some[0]), int(some[-1]) + length - 1
+        found = places.partner(first, last) or (places.anywhere(first, last) if len(some) == 1 else None)
+        if found:
+            out.append((first, last, *found))
+            taken = last
+        return found is not None
+
+    for run in np.split(starts, np.flatnonzero(np.diff(starts) > length) + 1) if len(starts) else []:
+        run = run[run > taken]
+        if not len(run) or whole(run) or len(run) == 1:
+            continue
+        for part in np.split(run, np.flatnonzero(np.diff(run) > 1) + 1):  # stretches without a gap, or else their windows apart
+            part = part[part > taken]
+            if not len(part) or whole(part) or len(part) == 1:
                 continue
-            found = partner(first, last) or (anywhere(first, last) if len(one) == 1 else None)
-            if found:
-                out.append((first, last, *found))
-                if len(one) > 1:
-                    break
-                taken = last
+            for one in part:
+                if one > taken:
+                    whole(np.array([one]))
+    return out
+
+
+def matching_within(a: np.ndarray, length: int, percent: int) -> list[tuple[int, int, int, int, float]]:
+    """As `matching`, for stretches that repeat an earlier one of the same text, which they do not overlap."""
+    if len(a) < 2 * length:
+        return []
+    _, index, code = np.unique(a, return_index=True, return_inverse=True)
+    new = np.append(0, np.cumsum(index[code] == np.arange(len(a))))
+    distinct = distinct_in_windows(a, np.ones(len(a), bool), length)
+    starts = np.flatnonzero(100 * (distinct - new[length:] + new[:-length]) >= percent * distinct)
+    starts = starts[starts >= length]
+    out = []
+    for run in np.split(starts, np.flatnonzero(np.diff(starts) > length) + 1) if len(starts) else []:
+        first, last = int(run[0]), int(run[-1]) + length
+        found = [(first + x, first + y, *rest) for x, y, *rest in matching(a[first:last], a[:first], length, percent)]
+        free = np.ones(last - first, bool)
+        for x, y, *_ in found:
+            free[x - first : y + 1 - first] = False
+        for j in run.tolist():
+            if free[j - first : j - first + length].all() and (alone := matching(a[j : j + length], a[:j], length, percent)):
+                found.append((j, j + length - 1, *alone[0][2:]))
+                free[j - first : j - first + length] = False
+        out += found
     return out
 
 
@@ -311,28 +488,29 @@ PASSAGES = "doc_id long, start_word long, n_words long, source_id long, source_w
 
 
 def repeated_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT,
-    hashes: int = HASHES, min_hashes: int = MIN_HASHES, width: int = WIDTH,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT, width: int = WIDTH,
 ) -> DataFrame:
     """Rows of PASSAGES, places in words."""
     length = min_words - width + 1
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    texts = one_text_each(texts)
-    cut = windows(texts, hashes, min_words, width, percent)
-    found = materialize(joined_intervals(paired(cut, length), length, min_hashes), "stretches")
-    wanted = found.select("id", "start", "end").union(found.select("other", "other_start", "other_end"))
-    data = materialize(fetched(texts, wanted, width).groupBy("id", "start", "end").agg(F.min("data").alias("data")), "shingles")
-    other = data.select(F.col("id").alias("other"), F.col("start").alias("other_start"), F.col("end").alias("other_end"), F.col("data").alias("other_data"))
-    both = found.join(data, ["id", "start", "end"]).join(other, ["other", "other_start", "other_end"])
+    found = spans(one_text_each(texts), width, length, percent)
+    data = found.select("id", "start", F.col("low").alias("data"))
+    other = data.select(F.col("id").alias("other"), F.col("start").alias("other_start"), F.col("data").alias("other_data"))
+    both = paired(found, length, percent).join(other, ["other", "other_start"]).join(data, ["id", "start"])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for r in batch.to_pylist():
-                a, b = np.frombuffer(r["data"], np.uint32), np.frombuffer(r["other_data"], np.uint32)
-                for first, last, low, high, share in matching(a, b, length, percent, r["shift"] + r["start"] - r["other_start"]):
-                    rows.append((r["id"], r["start"] + first, last - first + width, r["other"], r["other_start"] + low, high - low + width, share))
+                a = np.frombuffer(r["data"], np.uint32)
+                if "other" in r:
+                    b, source, before = np.frombuffer(r["other_data"], np.uint32), r["other"], r["other_start"]
+                    repeats = matching(a, b, length, percent)
+                else:
+                    source, before, repeats = r["id"], r["start"], matching_within(a, length, percent)
+                for first, last, low, high, share in repeats:
+                    rows.append((r["id"], r["start"] + first, last - first + width, source, before + low, high - low + width, share))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], [x.split()[0] for x in PASSAGES.split(", ")])
 
-    return both.mapInArrow(verified, PASSAGES).distinct()
+    return both.mapInArrow(verified, PASSAGES).union(data.mapInArrow(verified, PASSAGES)).distinct()

@@ -105,6 +105,74 @@ def test_phrase_of_a_passage_elsewhere_in_the_stretch():
         assert passages.distinct_in_windows(values, counted, 9).tolist() == [len(set(values[i : i + 9][counted[i : i + 9]])) for i in range(52)]
 
 
+def shingle_set(words):
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+
+def test_all_links_of_large_groups_are_found(spark):
+    """Texts of one window each: all pairs of different contents, and one row a copy."""
+    rng = np.random.default_rng(11)
+
+    def words(n):
+        return [f"v{x}" for x in rng.integers(10**9, size=n)]
+
+    texts = []
+    for size, base in ((9, words(50)), (30, words(50)), (60, words(50)), (30, words(10) * 5)):
+        for _ in range(size):
+            text = list(base)
+            for at in rng.integers(0, 50, rng.integers(0, 3)):
+                text[at] = words(1)[0]
+            texts.append(text)
+    rows = {i: texts[k] for i, k in enumerate(rng.permutation(len(texts)))}
+    number = defaultdict(int)
+    sets = {i: shingle_set(t) for i, t in rows.items()}
+    for t in rows.values():
+        for k in range(46):
+            number[tuple(t[k : k + 5])] += 1
+
+    def linked(i, j):
+        return 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j])
+
+    first = {}
+    key = {i: (frozenset(x for x in s if number[x] > 1), len(s)) for i, s in sets.items()}
+    for i in sorted(rows):
+        first.setdefault(key[i], i)
+    own = {i: first[key[i]] if linked(i, first[key[i]]) else i for i in rows}
+    want = {(i, own[i]) for i in rows if own[i] != i}
+    want |= {(i, j) for i in rows for j in range(i) if own[i] == i and own[j] == j and linked(i, j)}
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in rows.items()], "doc_id long, text string").repartition(4)
+    found = passages.repeated_passages(df).collect()
+    assert want <= {(r.doc_id, r.source_id) for r in found} and len(want) > 70
+    for r in found:
+        a = shingle_set(rows[r.doc_id][r.start_word : r.start_word + r.n_words])
+        b = shingle_set(rows[r.source_id][r.source_word : r.source_word + r.source_words])
+        assert len(a & b) / len(a | b) == pytest.approx(r.similarity) and r.similarity >= 0.8
+
+
+def test_every_linked_window_is_reported():
+    rng = np.random.default_rng(12)
+
+    def share(x, y):
+        return len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+
+    hits = 0
+    for k in range(60):
+        a, b = (rng.integers(1, (4, 12)[k % 2], 40).astype(np.uint32) for _ in "ab")
+        b[5:17] = a[20:32]
+        for found, earlier in ((passages.matching(a, b, 8, 80), b), (passages.matching_within(np.append(b, a), 8, 80), None)):
+            text = a if earlier is not None else np.append(b, a)
+            for first, last, low, high, similarity in found:
+                partner = (b if earlier is not None else text)[low : high + 1]
+                assert last - first >= 7 and similarity == pytest.approx(share(text[first : last + 1], partner)) and similarity >= 0.8
+                assert earlier is not None or high < first
+            for i in range(len(text) - 7):
+                before = range(33) if earlier is not None else range(i - 7)
+                if any(share(text[i : i + 8], (b if earlier is not None else text)[j : j + 8]) >= 0.8 for j in before):
+                    hits += 1
+                    assert any(first <= i + 7 and i <= last for first, last, *_ in found)
+    assert hits > 500
+
+
 def longest_first(item, doc, least):
     """Greedy tiling by trying all places."""
     used_i, used_d, covered = set(), set(), 0
