@@ -48,7 +48,7 @@ WIDTH, MIN_WORDS, PERCENT = 5, 50, 80
 HASHES = 4  # places of a shingle in the filter
 FILTER_BITS, SLICES = 1 << 20, 256  # a slice, slices
 TOP = 12
-BLOCK = 1 << 20
+BLOCK, PLACES, PAIRS = 1 << 20, 1 << 18, 1 << 8  # bytes of text, places and pairs of spans looked at together
 # The lower half of a key is the place, so that ties go by place; Arrow holds no text with more places.
 _PLACE = np.uint64((1 << 32) - 1)
 
@@ -141,19 +141,26 @@ def rough_place(spread: np.ndarray) -> np.ndarray:
 
 def repeated_shingles(texts: DataFrame, width: int) -> Filter:
     """The filter of all shingles of (id, text). Only its slices, of bounded size, come to the driver."""
+    def slices(short: np.ndarray) -> pa.RecordBatch:
+        short = np.sort(short)
+        counts = np.bincount((short >> np.uint64(24)).astype(np.intp), minlength=SLICES * 256).reshape(SLICES, 256).astype(np.uint32)
+        low = short.astype(np.uint32).view(np.uint8).reshape(-1, 4)[:, :3]
+        ends = np.append(0, np.cumsum(counts.sum(axis=1, dtype=np.int64)))
+        some = [k for k in range(SLICES) if ends[k] < ends[k + 1]]
+        columns = [pa.array(some, pa.int32()), pa.array([counts[k].tobytes() for k in some], pa.binary()), pa.array([low[ends[k] : ends[k + 1]].tobytes() for k in some], pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SLICE.split(", ")])
+
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: list[np.ndarray] = []
         for batch in batches:
-            found = [np.zeros(0, np.uint64)]
             for _, words in blocks(batch.column("text"), BLOCK):
                 own, valid = block_shingles(words, width)
                 found.append(own[valid] >> np.uint64(24))
-            short = np.sort(np.concatenate(found))
-            counts = np.bincount((short >> np.uint64(24)).astype(np.intp), minlength=SLICES * 256).reshape(SLICES, 256).astype(np.uint32)
-            low = short.astype(np.uint32).view(np.uint8).reshape(-1, 4)[:, :3]
-            ends = np.append(0, np.cumsum(counts.sum(axis=1, dtype=np.int64)))
-            some = [k for k in range(SLICES) if ends[k] < ends[k + 1]]
-            columns = [pa.array(some, pa.int32()), pa.array([counts[k].tobytes() for k in some], pa.binary()), pa.array([low[ends[k] : ends[k + 1]].tobytes() for k in some], pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SLICE.split(", ")])
+                if sum(map(len, found)) >= PLACES << 4:
+                    yield slices(np.concatenate(found))
+                    found = []
+        if found:
+            yield slices(np.concatenate(found))
 
     def reduced(table: pa.Table) -> pa.Table:
         found = []
@@ -251,46 +258,54 @@ def folds(found: DataFrame, length: int, percent: int) -> DataFrame:
     """Runs of windows of spans, with a key for what they hold and the first shingles of their windows."""
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, starts = (batch.column(x).to_numpy() for x in ("id", "start"))
-            low, high, levels = (batch.column(x).to_pylist() for x in ("low", "high", "levels"))
-            sizes = np.array([len(x) for x in levels])
-            ends = np.cumsum(sizes + 1)  # a place that is not valid ends each span
-            first = ends - sizes - 1
-            hashes = np.frombuffer(b"\0\0\0\0".join(high) + b"\0\0\0\0", np.uint32).astype(np.uint64) << np.uint64(32) | np.frombuffer(b"\0\0\0\0".join(low) + b"\0\0\0\0", np.uint32)
-            level = np.frombuffer(b"\0".join(levels) + b"\0", np.uint8)
-            valid = np.ones(len(hashes), bool)
-            valid[ends - 1] = False
-            spread = mixed(hashes)
-            weights = np.column_stack([np.ones(len(hashes), np.uint64), (level > 0).astype(np.uint64), np.where(level > 0, spread, np.uint64(0))])
-            distinct, hit, content = sums_of_distinct(hashes, weights, length).T
-            distinct, hit = distinct.astype(np.int64), hit.astype(np.int64)
-            there = np.append(0, np.cumsum(valid))
-            at = np.flatnonzero((there[length:] - there[:-length] == length) & (100 * hit >= percent * distinct))
-            if not len(at):
-                continue
-            span = np.searchsorted(first, at, side="right") - 1
-            alike = (100 * hit >= percent * (2 * distinct - hit))[at]
-            content = mixed(content[at] + mixed(distinct[at].astype(np.uint64)))
-            alone = mixed(ids[span].astype(np.uint64) ^ mixed((at - first[span] + starts[span]).astype(np.uint64)))
-            content = np.where(alike, content, mixed(content + alone))
-            left, c, right = compact_windows(hashes, valid, 1, length, level == 0)
-            compact = np.searchsorted(np.maximum(left, c - length + 1), at, side="right")
-            cuts = np.append(True, (np.diff(at) > 1) | (np.diff(compact) != 0) | (np.diff(span) != 0) | (alike[1:] != alike[:-1]))
-            keep = cuts | np.append(True, content[1:] != content[:-1])
-            at, span, content, cuts = at[keep], span[keep], content[keep], cuts[keep]
-            run, begin = np.cumsum(cuts) - 1, np.flatnonzero(cuts)
-            rank = np.arange(len(at)) - begin[run]
-            key = mixed(np.add.reduceat(mixed(content + mixed(rank.astype(np.uint64))), begin))
-            order = (level.astype(np.uint64) << np.uint64(60)) | spread >> np.uint64(4)
-            window, seed = seeds_of(hashes, order, level, at, distinct[at], length, percent)
-            by = np.lexsort((seed, run[window]))
-            owner, seed = run[window][by], seed[by]
-            new = np.append(True, (np.diff(owner) != 0) | (seed[1:] != seed[:-1]))[: len(seed)]
-            owner, seed = owner[new], seed[new]
-            offsets = np.append(0, np.cumsum(np.bincount(owner, minlength=len(begin)))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(seed.view(np.int64)))
-            columns = [pa.array(key.view(np.int64)), pa.array(ids[span[begin]]), pa.array(starts[span[begin]], pa.int32()), lists]
-            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in FOLDS.split(", ")])
+            ends = np.cumsum([len(x) for x in batch.column("levels").to_pylist()])
+            at = 0
+            while at < len(ends):
+                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PLACES, side="right")))
+                yield from runs_in(batch.slice(at, to - at))
+                at = to
+
+    def runs_in(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        ids, starts = (batch.column(x).to_numpy() for x in ("id", "start"))
+        low, high, levels = (batch.column(x).to_pylist() for x in ("low", "high", "levels"))
+        sizes = np.array([len(x) for x in levels])
+        ends = np.cumsum(sizes + 1)  # a place that is not valid ends each span
+        first = ends - sizes - 1
+        hashes = np.frombuffer(b"\0\0\0\0".join(high) + b"\0\0\0\0", np.uint32).astype(np.uint64) << np.uint64(32) | np.frombuffer(b"\0\0\0\0".join(low) + b"\0\0\0\0", np.uint32)
+        level = np.frombuffer(b"\0".join(levels) + b"\0", np.uint8)
+        valid = np.ones(len(hashes), bool)
+        valid[ends - 1] = False
+        spread = mixed(hashes)
+        weights = np.column_stack([np.ones(len(hashes), np.uint64), (level > 0).astype(np.uint64), np.where(level > 0, spread, np.uint64(0))])
+        distinct, hit, content = sums_of_distinct(hashes, weights, length).T
+        distinct, hit = distinct.astype(np.int64), hit.astype(np.int64)
+        there = np.append(0, np.cumsum(valid))
+        at = np.flatnonzero((there[length:] - there[:-length] == length) & (100 * hit >= percent * distinct))
+        if not len(at):
+            return
+        span = np.searchsorted(first, at, side="right") - 1
+        alike = (100 * hit >= percent * (2 * distinct - hit))[at]
+        content = mixed(content[at] + mixed(distinct[at].astype(np.uint64)))
+        alone = mixed(ids[span].astype(np.uint64) ^ mixed((at - first[span] + starts[span]).astype(np.uint64)))
+        content = np.where(alike, content, mixed(content + alone))
+        left, c, right = compact_windows(hashes, valid, 1, length, level == 0)
+        compact = np.searchsorted(np.maximum(left, c - length + 1), at, side="right")
+        cuts = np.append(True, (np.diff(at) > 1) | (np.diff(compact) != 0) | (np.diff(span) != 0) | (alike[1:] != alike[:-1]))
+        keep = cuts | np.append(True, content[1:] != content[:-1])
+        at, span, content, cuts = at[keep], span[keep], content[keep], cuts[keep]
+        run, begin = np.cumsum(cuts) - 1, np.flatnonzero(cuts)
+        rank = np.arange(len(at)) - begin[run]
+        key = mixed(np.add.reduceat(mixed(content + mixed(rank.astype(np.uint64))), begin))
+        order = (level.astype(np.uint64) << np.uint64(60)) | spread >> np.uint64(4)
+        window, seed = seeds_of(hashes, order, level, at, distinct[at], length, percent)
+        by = np.lexsort((seed, run[window]))
+        owner, seed = run[window][by], seed[by]
+        new = np.append(True, (np.diff(owner) != 0) | (seed[1:] != seed[:-1]))[: len(seed)]
+        owner, seed = owner[new], seed[new]
+        offsets = np.append(0, np.cumsum(np.bincount(owner, minlength=len(begin)))).astype(np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(seed.view(np.int64)))
+        columns = [pa.array(key.view(np.int64)), pa.array(ids[span[begin]]), pa.array(starts[span[begin]], pa.int32()), lists]
+        yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in FOLDS.split(", ")])
 
     return found.select("id", "start", "low", "high", "levels").mapInArrow(cut, FOLDS)
 
@@ -499,7 +514,7 @@ def repeated_passages(
     both = paired(found, length, percent).join(other, ["other", "other_start"]).join(data, ["id", "start"])
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, PAIRS) for whole in batches for at in range(0, whole.num_rows, PAIRS)):
             rows = []
             for r in batch.to_pylist():
                 a = np.frombuffer(r["data"], np.uint32)
