@@ -39,8 +39,9 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
+from airmart.llm.components import components
 from airmart.llm.words import Words, blocks, mixed, runs
 from airmart.session import materialize
 
@@ -48,6 +49,7 @@ WIDTH, MIN_WORDS, PERCENT = 5, 50, 80
 HASHES = 4  # places of a shingle in the filter
 FILTER_BITS, SLICES = 1 << 20, 256  # a slice, slices
 TOP = 12
+HUBS = 16  # spans of a seed that are tried before all others
 BLOCK, PLACES, PAIRS = 1 << 20, 1 << 18, 1 << 8  # bytes of text, places and pairs of spans looked at together
 # The lower half of a key is the place, so that ties go by place; Arrow holds no text with more places.
 _PLACE = np.uint64((1 << 32) - 1)
@@ -189,7 +191,7 @@ SPANS = "id long, start int, low binary, high binary, levels binary"
 
 
 def spans(texts: DataFrame, width: int, length: int, percent: int) -> DataFrame:
-    """What windows with enough repeated shingles cover: hashes (lower and upper halves) and levels."""
+    """What windows with enough repeated shingles cover: hashes (lower and upper halves) and levels, and a hash for each span."""
     repeated = texts.sparkSession.sparkContext.broadcast(repeated_shingles(texts, width))
     missing = length * (100 - percent) // 100  # shingles that occur once are distinct
 
@@ -213,11 +215,14 @@ def spans(texts: DataFrame, width: int, length: int, percent: int) -> DataFrame:
                 columns += [pa.array([x[i:j].tobytes() for i, j in zip(first, last)], pa.binary()) for x in (low, high, level)]
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SPANS.split(", ")])
 
-    return materialize(texts.mapInArrow(cut, SPANS), "spans")
+    return materialize(texts.mapInArrow(cut, SPANS).withColumn("node", F.xxhash64("id", "start")), "spans")
 
 
-FOLDS = "key long, id long, start int, seeds array<long>"
+FOLDS = "key long, node long, id long, start int, seeds array<long>"
+SEEDS = "node long, seed long"
 BOTH_FULL, FULL, SHORT = 0, 1, 2  # kinds of seeds, in the lowest bits
+SEED_BITS = 12  # lowest bits of a seed that do not count as its hash
+_COMMON = (1 << SEED_BITS - 2) - 1
 
 
 def prefix(distinct: np.ndarray | int, percent: int) -> np.ndarray | int:
@@ -226,14 +231,17 @@ def prefix(distinct: np.ndarray | int, percent: int) -> np.ndarray | int:
 
 
 def seeds_of(hashes: np.ndarray, order: np.ndarray, level: np.ndarray, at: np.ndarray, distinct: np.ndarray, length: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """The window (as a place in `at`) and the hash of each first shingle that repeats; the lowest bits say between which windows it counts."""
+    """The window (as a place in `at`) and the hash of each first shingle that repeats; the lowest bits say how common the shingles around it are and between which windows it counts."""
     few, more = length - least_shared(length, percent) + 1, prefix(length, percent)
     window, seed = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    total, places = np.append(0, np.cumsum(level, dtype=np.int64)), np.arange(len(level))
+    common = (total[np.minimum(places + length, len(level))] - total[np.maximum(places - length + 1, 0)]) * _COMMON // (30 * length)
+    own = hashes >> np.uint64(SEED_BITS) << np.uint64(SEED_BITS) | common.astype(np.uint64) << np.uint64(2)
 
     def add(rows: np.ndarray, places: np.ndarray, kind: np.ndarray) -> None:
         on = level[places] > 0
         window.append(rows[on])
-        seed.append(hashes[places[on]] & ~np.uint64(3) | kind[on].astype(np.uint64))
+        seed.append(own[places[on]] | kind[on].astype(np.uint64))
 
     for begin in range(0, len(at), 1 << 14):
         rows = np.arange(begin, min(begin + (1 << 14), len(at)))
@@ -254,79 +262,158 @@ def seeds_of(hashes: np.ndarray, order: np.ndarray, level: np.ndarray, at: np.nd
     return np.concatenate(window), np.concatenate(seed)
 
 
-def folds(found: DataFrame, length: int, percent: int) -> DataFrame:
-    """Runs of windows of spans, with a key for what they hold and the first shingles of their windows."""
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ends = np.cumsum([len(x) for x in batch.column("levels").to_pylist()])
-            at = 0
-            while at < len(ends):
-                to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PLACES, side="right")))
-                yield from runs_in(batch.slice(at, to - at))
-                at = to
-
-    def runs_in(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        ids, starts = (batch.column(x).to_numpy() for x in ("id", "start"))
+def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Consecutive spans of up to `PLACES` places together (a longer one is alone)."""
+    for batch in batches:
+        ends = np.cumsum([len(x) for x in batch.column("levels").to_pylist()])
+        at = 0
+        while at < len(ends):
+            to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PLACES, side="right")))
+            yield batch.slice(at, to - at)
+            at = to
+
+
+class Stretches:
+    """Spans one after another: their shingles and, by first place and span, their windows in which enough shingles repeat."""
+
+    def __init__(self, batch: pa.RecordBatch, length: int, percent: int):
+        self.length, self.percent = length, percent
+        self.nodes = batch.column("node").to_numpy()
         low, high, levels = (batch.column(x).to_pylist() for x in ("low", "high", "levels"))
         sizes = np.array([len(x) for x in levels])
         ends = np.cumsum(sizes + 1)  # a place that is not valid ends each span
-        first = ends - sizes - 1
-        hashes = np.frombuffer(b"\0\0\0\0".join(high) + b"\0\0\0\0", np.uint32).astype(np.uint64) << np.uint64(32) | np.frombuffer(b"\0\0\0\0".join(low) + b"\0\0\0\0", np.uint32)
-        level = np.frombuffer(b"\0".join(levels) + b"\0", np.uint8)
-        valid = np.ones(len(hashes), bool)
-        valid[ends - 1] = False
-        spread = mixed(hashes)
-        weights = np.column_stack([np.ones(len(hashes), np.uint64), (level > 0).astype(np.uint64), np.where(level > 0, spread, np.uint64(0))])
-        distinct, hit, content = sums_of_distinct(hashes, weights, length).T
-        distinct, hit = distinct.astype(np.int64), hit.astype(np.int64)
-        there = np.append(0, np.cumsum(valid))
-        at = np.flatnonzero((there[length:] - there[:-length] == length) & (100 * hit >= percent * distinct))
-        if not len(at):
-            return
-        span = np.searchsorted(first, at, side="right") - 1
-        alike = (100 * hit >= percent * (2 * distinct - hit))[at]
-        content = mixed(content[at] + mixed(distinct[at].astype(np.uint64)))
-        alone = mixed(ids[span].astype(np.uint64) ^ mixed((at - first[span] + starts[span]).astype(np.uint64)))
-        content = np.where(alike, content, mixed(content + alone))
-        left, c, right = compact_windows(hashes, valid, 1, length, level == 0)
-        compact = np.searchsorted(np.maximum(left, c - length + 1), at, side="right")
-        cuts = np.append(True, (np.diff(at) > 1) | (np.diff(compact) != 0) | (np.diff(span) != 0) | (alike[1:] != alike[:-1]))
-        keep = cuts | np.append(True, content[1:] != content[:-1])
-        at, span, content, cuts = at[keep], span[keep], content[keep], cuts[keep]
-        run, begin = np.cumsum(cuts) - 1, np.flatnonzero(cuts)
-        rank = np.arange(len(at)) - begin[run]
-        key = mixed(np.add.reduceat(mixed(content + mixed(rank.astype(np.uint64))), begin))
-        order = (level.astype(np.uint64) << np.uint64(60)) | spread >> np.uint64(4)
-        window, seed = seeds_of(hashes, order, level, at, distinct[at], length, percent)
-        by = np.lexsort((seed, run[window]))
-        owner, seed = run[window][by], seed[by]
+        self.first = ends - sizes - 1
+        self.hashes = np.frombuffer(b"\0\0\0\0".join(high) + b"\0\0\0\0", np.uint32).astype(np.uint64) << np.uint64(32) | np.frombuffer(b"\0\0\0\0".join(low) + b"\0\0\0\0", np.uint32)
+        self.level = np.frombuffer(b"\0".join(levels) + b"\0", np.uint8)
+        self.valid = np.ones(len(self.hashes), bool)
+        self.valid[ends - 1] = False
+        self.spread = mixed(self.hashes)
+        on = self.level > 0
+        weights = np.column_stack([np.ones(len(on), np.uint64), on.astype(np.uint64), np.where(on, self.spread, np.uint64(0))])
+        distinct, hit, self.content = sums_of_distinct(self.hashes, weights, length).T
+        self.distinct, self.hit = distinct.astype(np.int64), hit.astype(np.int64)
+        there = np.append(0, np.cumsum(self.valid))
+        self.at = np.flatnonzero((there[length:] - there[:-length] == length) & (100 * self.hit >= percent * self.distinct))
+        self.span = np.searchsorted(self.first, self.at, side="right") - 1
+
+    def seeds(self, at: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Owners of windows with the distinct seeds of their windows, in order."""
+        order = (self.level.astype(np.uint64) << np.uint64(60)) | self.spread >> np.uint64(4)
+        window, seed = seeds_of(self.hashes, order, self.level, at, self.distinct[at], self.length, self.percent)
+        by = np.lexsort((seed, owner[window]))
+        owner, seed = owner[window][by], seed[by]
         new = np.append(True, (np.diff(owner) != 0) | (seed[1:] != seed[:-1]))[: len(seed)]
-        owner, seed = owner[new], seed[new]
-        offsets = np.append(0, np.cumsum(np.bincount(owner, minlength=len(begin)))).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(seed.view(np.int64)))
-        columns = [pa.array(key.view(np.int64)), pa.array(ids[span[begin]]), pa.array(starts[span[begin]], pa.int32()), lists]
-        yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in FOLDS.split(", ")])
-
-    return found.select("id", "start", "low", "high", "levels").mapInArrow(cut, FOLDS)
+        return owner[new], seed[new]
 
 
-def paired(found: DataFrame, length: int, percent: int) -> DataFrame:
-    """Pairs of spans that may hold linked windows, each pair once; those of one span are not among them."""
+def folds(found: DataFrame, length: int, percent: int) -> DataFrame:
+    """Runs of windows of spans, with a key for what they hold and the first shingles of their windows."""
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            own = Stretches(batch, length, percent)
+            at, span = own.at, own.span
+            if not len(at):
+                continue
+            hit, distinct = own.hit[at], own.distinct[at]
+            alike = 100 * hit >= percent * (2 * distinct - hit)
+            content = mixed(own.content[at] + mixed(distinct.astype(np.uint64)))
+            alone = mixed(own.nodes[span].astype(np.uint64) ^ mixed((at - own.first[span]).astype(np.uint64)))
+            content = np.where(alike, content, mixed(content + alone))
+            left, c, right = compact_windows(own.hashes, own.valid, 1, length, own.level == 0)
+            compact = np.searchsorted(np.maximum(left, c - length + 1), at, side="right")
+            cuts = np.append(True, (np.diff(at) > 1) | (np.diff(compact) != 0) | (np.diff(span) != 0) | (alike[1:] != alike[:-1]))
+            keep = cuts | np.append(True, content[1:] != content[:-1])
+            at, span, content, cuts = at[keep], span[keep], content[keep], cuts[keep]
+            run, begin = np.cumsum(cuts) - 1, np.flatnonzero(cuts)
+            rank = np.arange(len(at)) - begin[run]
+            key = mixed(np.add.reduceat(mixed(content + mixed(rank.astype(np.uint64))), begin))
+            owner, seed = own.seeds(at, run)
+            offsets = np.append(0, np.cumsum(np.bincount(owner, minlength=len(begin)))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(seed.view(np.int64)))
+            columns = [pa.array(key.view(np.int64)), *(batch.column(x).take(pa.array(span[begin])) for x in ("node", "id", "start")), lists]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in FOLDS.split(", ")])
+
+    return found.select("node", "id", "start", "low", "high", "levels").mapInArrow(cut, FOLDS)
+
+
+def folded(found: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Pairs of spans of folded windows with those of the first such, and the seeds of first windows."""
     runs_of = materialize(folds(found, length, percent), "folds")
-    own = F.struct("id", "start")
-    firsts = runs_of.groupBy("key").agg(F.min(own).alias("first"))
+    firsts = runs_of.groupBy("key").agg(F.min(F.struct("id", "start", "node"))["node"].alias("other"))
     both = runs_of.join(firsts, "key")
-    columns = ["id", "start", "other", "other_start"]
-    copies = both.where(own != F.col("first")).select("id", "start", F.col("first.id").alias("other"), F.col("first.start").alias("other_start"))
-    seeds = both.where(own == F.col("first")).select("id", "start", F.explode("seeds").alias("seed"))
-    seeds = materialize(seeds.select("id", "start", F.shiftright("seed", 2).alias("seed"), F.col("seed").bitwiseAND(3).alias("kind")).distinct(), "seeds")
-    partner = seeds.select(F.col("id").alias("other"), F.col("start").alias("other_start"), "seed", F.col("kind").alias("other_kind"))
-    later = (F.col("id") > F.col("other")) | (F.col("id") == F.col("other")) & (F.col("start") > F.col("other_start"))
-    full = seeds.where(F.col("kind") == BOTH_FULL).join(partner.where(F.col("other_kind") == BOTH_FULL), "seed").where(later).select(columns)
-    short = seeds.join(partner.where(F.col("other_kind") == SHORT), "seed")
-    short = short.where(later).select(columns).union(short.where(~later).select(F.col("other").alias("id"), F.col("other_start").alias("start"), F.col("id").alias("other"), F.col("start").alias("other_start")))
-    short = short.where((F.col("id") != F.col("other")) | (F.col("start") != F.col("other_start")))
-    return copies.union(full).union(short).distinct()
+    copies = both.select("node", "other")
+    seeds = both.where("node = other").select("node", F.explode("seeds").alias("seed"))
+    return copies, materialize(unpacked(seeds), "seeds")
+
+
+def unpacked(seeds: DataFrame) -> DataFrame:
+    bits = F.col("seed").bitwiseAND((1 << SEED_BITS) - 1)
+    seeds = seeds.select("node", F.shiftright("seed", SEED_BITS).alias("seed"), bits.bitwiseAND(3).cast("byte").alias("kind"), F.shiftright(bits, 2).cast("short").alias("common"))
+    return seeds.groupBy("node", "seed", "kind").agg(F.max("common").alias("common"))
+
+
+def each_once(pairs: DataFrame) -> DataFrame:
+    return pairs.where("node <> other").select(F.greatest("node", "other").alias("node"), F.least("node", "other").alias("other")).distinct()
+
+
+def all_with_all(some: DataFrame, seeds: DataFrame, *differ: str) -> DataFrame:
+    """Pairs of spans with a seed in common between windows for which it counts, and nothing in common in the columns named."""
+    partner = seeds.select(*(F.col(c).alias(f"other_{c}") for c in ("seed", "node", "kind", *differ)))
+    counts = (F.col("kind") == SHORT) | (F.col("other_kind") == SHORT) | (F.col("kind") == BOTH_FULL) & (F.col("other_kind") == BOTH_FULL)
+    for c in ("node", *differ):
+        counts &= F.col(c) != F.col(f"other_{c}")
+    return some.join(partner, (F.col("seed") == F.col("other_seed")) & counts).select("node", F.col("other_node").alias("other"))
+
+
+def with_hubs(seeds: DataFrame) -> DataFrame:
+    """Pairs of spans with one of those that have a seed in common: the one with the most common shingles around it, as links with others are likeliest there."""
+    full, short = (F.max(F.when(F.col("kind") == kind, F.struct("common", "node")))["node"] for kind in (BOTH_FULL, SHORT))
+    hubs = seeds.groupBy("seed").agg(full.alias("full"), short.alias("short"), F.count("*").alias("n")).where("n > 1").drop("n")
+    of_kind = F.when(F.col("kind") == FULL, F.array("short")).otherwise(F.array("full", "short"))
+    return seeds.join(hubs, "seed").select("node", F.explode(of_kind).alias("other")).where("other is not null")
+
+
+def some_of_each(seeds: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of each wanted seed `HUBS` spans of each kind, chosen alike for all seeds."""
+    order = Window.partitionBy("seed", "kind").orderBy(F.xxhash64("node"), "node")
+    some = seeds.join(wanted.select("seed").distinct(), "seed", "left_semi").withColumn("rank", F.row_number().over(order))
+    return some.where(F.col("rank") <= HUBS).drop("rank")
+
+
+def across(seeds: DataFrame, classes: DataFrame) -> DataFrame:
+    """Pairs of spans of different classes with a seed in common; of each pair one is not of the seed's most frequent class."""
+    own = materialize(seeds.join(classes, "node"), "classed")
+    sizes = own.groupBy("seed", "class").count().groupBy("seed").agg(F.max_by("class", "count").alias("most"), F.count("*").alias("n"))
+    mixed_groups = materialize(own.join(sizes.where("n > 1").drop("n"), "seed"), "mixed")
+    return all_with_all(mixed_groups.where(F.col("class") != F.col("most")).drop("most"), mixed_groups.drop("most"), "class")
+
+
+def open_seeds(found: DataFrame, reported: DataFrame, width: int, length: int, percent: int) -> DataFrame:
+    """Seeds of the windows that reported passages do not cover, but for as many shingles as may be missing from a linked window."""
+    missing = length - least_shared(length, percent)
+    sides = [reported.select(F.col(n).alias("node"), F.col(at).alias("at"), (F.col(at) + F.col(size) - width).alias("last")) for n, at, size in (("node", "start_word", "n_words"), ("other", "source_word", "source_words"))]
+    longest = sides[0].union(sides[1]).groupBy("node", "at").agg(F.max("last").alias("last"))
+    covers = longest.groupBy("node").agg(F.collect_list(F.shiftleft(F.col("at").cast("long"), 32) + F.col("last")).alias("covers"))
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(batches):
+            own = Stretches(batch, length, percent)
+            change = np.zeros(len(own.valid) + 1, np.int64)
+            for first, start, covered in zip(own.first.tolist(), batch.column("start").to_pylist(), batch.column("covers").to_pylist()):
+                if covered:
+                    at = np.array(covered, np.int64)
+                    np.add.at(change, first + (at >> 32) - start, 1)
+                    np.subtract.at(change, first + (at & 0xFFFFFFFF) - start + 1, 1)
+            gaps = np.append(0, np.cumsum(np.cumsum(change[:-1]) == 0))
+            bare = gaps[own.at + length] - gaps[own.at] > missing
+            if not bare.any():
+                continue
+            owner, seed = own.seeds(own.at[bare], own.span[bare])
+            columns = [pa.array(own.nodes[owner]), pa.array(seed.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SEEDS.split(", ")])
+
+    both = found.select("node", "start", "low", "high", "levels").join(covers, "node", "left")
+    return materialize(unpacked(both.mapInArrow(cut, SEEDS)), "open-seeds")
 
 
 def nearest(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
@@ -500,32 +587,80 @@ def one_text_each(texts: DataFrame) -> DataFrame:
 
 
 PASSAGES = "doc_id long, start_word long, n_words long, source_id long, source_word long, source_words long, similarity double"
+FOUND = f"{PASSAGES}, node long, other long"
 
 
-def repeated_passages(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT, width: int = WIDTH,
-) -> DataFrame:
-    """Rows of PASSAGES, places in words."""
-    length = min_words - width + 1
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where("id is not null and text is not null")
-    found = spans(one_text_each(texts), width, length, percent)
-    data = found.select("id", "start", F.col("low").alias("data"))
-    other = data.select(F.col("id").alias("other"), F.col("start").alias("other_start"), F.col("data").alias("other_data"))
-    both = paired(found, length, percent).join(other, ["other", "other_start"]).join(data, ["id", "start"])
+def compared(pairs: DataFrame | None, found: DataFrame, width: int, length: int, percent: int) -> DataFrame:
+    """FOUND of pairs of spans, the later one as node; or of each span within itself, if no pairs are given."""
+    data = found.select("node", "id", "start", F.col("low").alias("data"))
+    both = data
+    if pairs is not None:
+        other = found.select(F.col("node").alias("other"), F.col("id").alias("other_id"), F.col("start").alias("other_start"), F.col("low").alias("other_data"))
+        both = pairs.join(data, "node").join(other, "other")
 
     def verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(at, PAIRS) for whole in batches for at in range(0, whole.num_rows, PAIRS)):
             rows = []
             for r in batch.to_pylist():
-                a = np.frombuffer(r["data"], np.uint32)
+                id, start, data, node = own = r["id"], r["start"], r["data"], r["node"]
                 if "other" in r:
-                    b, source, before = np.frombuffer(r["other_data"], np.uint32), r["other"], r["other_start"]
-                    repeats = matching(a, b, length, percent)
+                    own, other = sorted([own, (r["other_id"], r["other_start"], r["other_data"], r["other"])], key=lambda x: x[:2], reverse=True)
+                    (id, start, data, node), (source, before, other_data, partner) = own, other
+                    repeats = matching(np.frombuffer(data, np.uint32), np.frombuffer(other_data, np.uint32), length, percent)
                 else:
-                    source, before, repeats = r["id"], r["start"], matching_within(a, length, percent)
+                    source, before, partner = id, start, node
+                    repeats = matching_within(np.frombuffer(data, np.uint32), length, percent)
                 for first, last, low, high, share in repeats:
-                    rows.append((r["id"], r["start"] + first, last - first + width, source, before + low, high - low + width, share))
+                    rows.append((id, start + first, last - first + width, source, before + low, high - low + width, share, node, partner))
             if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], [x.split()[0] for x in PASSAGES.split(", ")])
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], [x.split()[0] for x in FOUND.split(", ")])
+
+    return both.mapInArrow(verified, FOUND)
+
 
-    return both.mapInArrow(verified, PASSAGES).union(data.mapInArrow(verified, PASSAGES)).distinct()
+def texts_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    return one_text_each(texts.where("id is not null and text is not null"))
+
+
+def repeated_passages(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT, width: int = WIDTH,
+) -> DataFrame:
+    """Rows of PASSAGES, places in words: all pairs, so they grow with the square of a group's size."""
+    length = min_words - width + 1
+    found = spans(texts_of(docs, id_col, text_col), width, length, percent)
+    copies, seeds = folded(found, length, percent)
+    pairs = each_once(copies.union(all_with_all(seeds, seeds)))
+    both = (compared(x, found, width, length, percent) for x in (pairs, None))
+    return next(both).union(next(both)).drop("node", "other").distinct()
+
+
+def passage_classes(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = MIN_WORDS, percent: int = PERCENT, width: int = WIDTH,
+) -> DataFrame:
+    """Rows of PASSAGES and class_id, the smallest document reachable by links: as many as the passages, not their pairs."""
+    length = min_words - width + 1
+    found = spans(texts_of(docs, id_col, text_col), width, length, percent)
+    copies, seeds = folded(found, length, percent)
+    step = lambda pairs: materialize(compared(pairs, found, width, length, percent), "found")
+    uncovered = lambda reported: open_seeds(found, reported, width, length, percent)
+    tried = materialize(each_once(copies.union(with_hubs(seeds))), "tried")
+    links = step(tried)
+    left = uncovered(links)
+    more = materialize(each_once(all_with_all(left, some_of_each(seeds, left))).join(tried, ["node", "other"], "left_anti"), "tried")
+    tried, links = tried.union(more), links.union(step(more))
+    classes = found.select("node", F.col("id").alias("doc_id")).join(documents_classes(links), "doc_id", "left")
+    classes = classes.select("node", F.coalesce("class_id", "doc_id").alias("class"))
+    rest = each_once(all_with_all(uncovered(links), seeds).union(across(seeds, classes)))
+    links = links.union(step(materialize(rest.join(tried, ["node", "other"], "left_anti"), "tried")))
+    within = step(None)
+    own = links.union(within)
+    firsts = links.join(own.select(F.col("node").alias("other")).distinct(), "other", "left_anti")
+    firsts = firsts.groupBy(F.col("source_id").alias("id"), F.col("source_word").alias("word")).agg(F.max(F.struct("source_words", "similarity", "doc_id", "start_word", "n_words")).alias("r"))
+    firsts = firsts.select("id", "word", "r.source_words", "r.doc_id", "r.start_word", "r.n_words", "r.similarity")
+    rows = own.drop("node", "other").union(firsts).distinct()
+    return rows.join(documents_classes(links), "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+
+
+def documents_classes(links: DataFrame) -> DataFrame:
+    return components(links.select(F.col("doc_id").alias("a"), F.col("source_id").alias("b"))).select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))

@@ -48,8 +48,8 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Passages of 50 words or more that repeat, each with the passage it repeats."""
-    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+    """Passages of 50 words or more that repeat, each with a passage it repeats and the class of its document."""
+    return passages.passage_classes(table(spark, sf_dir, "documents"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -149,6 +149,39 @@ def test_all_links_of_large_groups_are_found(spark):
         assert len(a & b) / len(a | b) == pytest.approx(r.similarity) and r.similarity >= 0.8
 
 
+def test_passages_give_classes_and_not_all_pairs(spark, tmp_path):
+    """Families of near copies of one window each: classes equal brute force, every linked document has a row, and rows grow with documents."""
+    rng = np.random.default_rng(13)
+
+    def words(n):
+        return [f"u{x}" for x in rng.integers(10**9, size=n)]
+
+    texts = [words(50) for _ in range(20)] + [[]]
+    for size, base in ((120, words(50)), (60, words(50)), (40, words(10) * 5)):
+        for _ in range(size):
+            text = list(base)
+            for at in rng.integers(0, 50, rng.integers(0, 3)):
+                text[at] = words(1)[0]
+            texts.append(text)
+    rows = {i: texts[k] for i, k in enumerate(rng.permutation(len(texts)))}
+    sets = {i: shingle_set(t) for i, t in rows.items()}
+    near = {i: {j for j in rows if j != i and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]) > 0} for i in rows}
+    want = {}
+    for i in sorted(rows):  # the smallest document first
+        todo = [i] if near[i] and i not in want else []
+        while todo:
+            j = todo.pop()
+            if j not in want:
+                want[j] = i
+                todo += near[j]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in rows.items()], "doc_id long, text string")
+    docs.repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    found = queries.op4_passages(spark, str(tmp_path)).collect()
+    assert {r.doc_id: r.class_id for r in found} == want and len(want) > 100
+    assert all(r.source_id in near[r.doc_id] and want[r.source_id] == r.class_id for r in found)
+    assert len(found) < 4 * len(want) < sum(map(len, near.values())) / 2
+
+
 def test_every_linked_window_is_reported():
     rng = np.random.default_rng(12)
 
