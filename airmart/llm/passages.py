@@ -367,10 +367,9 @@ def all_with_all(some: DataFrame, seeds: DataFrame, *differ: str) -> DataFrame:
 
 def with_hubs(seeds: DataFrame) -> DataFrame:
     """Pairs of spans with one of those that have a seed in common: the one with the most common shingles around it, as links with others are likeliest there."""
-    full, short = (F.max(F.when(F.col("kind") == kind, F.struct("common", "node")))["node"] for kind in (BOTH_FULL, SHORT))
-    hubs = seeds.groupBy("seed").agg(full.alias("full"), short.alias("short"), F.count("*").alias("n")).where("n > 1").drop("n")
-    of_kind = F.when(F.col("kind") == FULL, F.array("short")).otherwise(F.array("full", "short"))
-    return seeds.join(hubs, "seed").select("node", F.explode(of_kind).alias("other")).where("other is not null")
+    order = Window.partitionBy("seed").orderBy(F.desc("kind"), F.desc("common"), "node")
+    of_kind = [F.first(F.when(F.col("kind") == kind, F.col("node")), ignorenulls=True).over(order) for kind in (BOTH_FULL, SHORT)]
+    return seeds.select("node", F.array(*of_kind).alias("hubs")).select("node", F.explode("hubs").alias("other")).where("other is not null")
 
 
 def some_of_each(seeds: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -383,8 +382,10 @@ def some_of_each(seeds: DataFrame, wanted: DataFrame) -> DataFrame:
 def across(seeds: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of spans of different classes with a seed in common; of each pair one is not of the seed's most frequent class."""
     own = materialize(seeds.join(classes, "node"), "classed")
-    sizes = own.groupBy("seed", "class").count().groupBy("seed").agg(F.max_by("class", "count").alias("most"), F.count("*").alias("n"))
-    mixed_groups = materialize(own.join(sizes.where("n > 1").drop("n"), "seed"), "mixed")
+    several = own.groupBy("seed").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("seed")
+    some = materialize(own.join(several, "seed"), "several")
+    most = some.groupBy("seed", "class").count().groupBy("seed").agg(F.max_by("class", "count").alias("most"))
+    mixed_groups = some.join(most, "seed")
     return all_with_all(mixed_groups.where(F.col("class") != F.col("most")).drop("most"), mixed_groups.drop("most"), "class")
 
 
@@ -557,7 +558,8 @@ def matching(a: np.ndarray, b: np.ndarray, length: int, percent: int, shift: int
 
 def matching_within(a: np.ndarray, length: int, percent: int) -> list[tuple[int, int, int, int, float]]:
     """As `matching`, for stretches that repeat an earlier one of the same text, which they do not overlap."""
-    if len(a) < 2 * length:
+    own = np.sort(a)
+    if len(a) < 2 * length or 100 * int((own[1:] == own[:-1]).sum()) < percent * length:  # too few occur before
         return []
     _, index, code = np.unique(a, return_index=True, return_inverse=True)
     new = np.append(0, np.cumsum(index[code] == np.arange(len(a))))
@@ -643,24 +645,37 @@ def passage_classes(
     found = spans(texts_of(docs, id_col, text_col), width, length, percent)
     copies, seeds = folded(found, length, percent)
     step = lambda pairs: materialize(compared(pairs, found, width, length, percent), "found")
-    uncovered = lambda reported: open_seeds(found, reported, width, length, percent)
     tried = materialize(each_once(copies.union(with_hubs(seeds))), "tried")
     links = step(tried)
-    left = uncovered(links)
+    left = open_seeds(found, links, width, length, percent)
     more = materialize(each_once(all_with_all(left, some_of_each(seeds, left))).join(tried, ["node", "other"], "left_anti"), "tried")
     tried, links = tried.union(more), links.union(step(more))
-    classes = found.select("node", F.col("id").alias("doc_id")).join(documents_classes(links), "doc_id", "left")
-    classes = classes.select("node", F.coalesce("class_id", "doc_id").alias("class"))
-    rest = each_once(all_with_all(uncovered(links), seeds).union(across(seeds, classes)))
-    links = links.union(step(materialize(rest.join(tried, ["node", "other"], "left_anti"), "tried")))
+    classes = materialize(documents_classes(links), "classes")
+    own = found.select("node", F.col("id").alias("doc_id")).join(classes, "doc_id", "left").select("node", F.coalesce("class_id", "doc_id").alias("class"))
+    still = found.join(left.select("node").distinct(), "node", "left_semi")
+    rest = each_once(all_with_all(open_seeds(still, links, width, length, percent), seeds).union(across(seeds, own)))
+    rest = step(materialize(rest.join(tried, ["node", "other"], "left_anti"), "tried"))
+    links, classes = links.union(rest), joined_classes(classes, rest)
     within = step(None)
     own = links.union(within)
     firsts = links.join(own.select(F.col("node").alias("other")).distinct(), "other", "left_anti")
     firsts = firsts.groupBy(F.col("source_id").alias("id"), F.col("source_word").alias("word")).agg(F.max(F.struct("source_words", "similarity", "doc_id", "start_word", "n_words")).alias("r"))
     firsts = firsts.select("id", "word", "r.source_words", "r.doc_id", "r.start_word", "r.n_words", "r.similarity")
     rows = own.drop("node", "other").union(firsts).distinct()
-    return rows.join(documents_classes(links), "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
+    return rows.join(classes, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
 
 
 def documents_classes(links: DataFrame) -> DataFrame:
     return components(links.select(F.col("doc_id").alias("a"), F.col("source_id").alias("b"))).select(F.col("node").alias("doc_id"), F.col("component").alias("class_id"))
+
+
+def joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes of documents after more links."""
+    ends = links.select("doc_id", "source_id").distinct()
+    for name in ("doc_id", "source_id"):
+        of = classes.select(F.col("doc_id").alias(name), F.col("class_id").alias("of"))
+        ends = ends.join(of, name, "left").withColumn(f"{name}_class", F.coalesce("of", name)).drop("of")
+    both = materialize(components(ends.select(F.col("doc_id_class").alias("a"), F.col("source_id_class").alias("b"))), "joined")
+    new = both.select(F.col("node").alias("class_id"), "component")
+    alone = both.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id")).join(classes, "doc_id", "left_anti")
+    return classes.join(new, "class_id", "left").select("doc_id", F.coalesce("component", "class_id").alias("class_id")).union(alone)
