@@ -55,6 +55,15 @@ BLOCK, PLACES, PAIRS = 1 << 20, 1 << 18, 1 << 8  # bytes of text, places and pai
 _PLACE = np.uint64((1 << 32) - 1)
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """As `materialize`. Shuffle files of what was written go when the driver collects garbage, so it is asked to."""
+    spark = df.sparkSession
+    written = materialize(df, label)
+    del df
+    spark.sparkContext._jvm.System.gc()
+    return written
+
+
 def block_shingles(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
     """The hash of the shingle that begins at each word, and whether there is one."""
     hashes = np.zeros(len(words), np.uint64)
@@ -215,7 +224,7 @@ def spans(texts: DataFrame, width: int, length: int, percent: int) -> DataFrame:
                 columns += [pa.array([x[i:j].tobytes() for i, j in zip(first, last)], pa.binary()) for x in (low, high, level)]
                 yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SPANS.split(", ")])
 
-    return materialize(texts.mapInArrow(cut, SPANS).withColumn("node", F.xxhash64("id", "start")), "spans")
+    return stored(texts.mapInArrow(cut, SPANS).withColumn("node", F.xxhash64("id", "start")), "spans")
 
 
 FOLDS = "key long, node long, id long, start int, seeds array<long>"
@@ -338,12 +347,12 @@ def folds(found: DataFrame, length: int, percent: int) -> DataFrame:
 
 def folded(found: DataFrame, length: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Pairs of spans of folded windows with those of the first such, and the seeds of first windows."""
-    runs_of = materialize(folds(found, length, percent), "folds")
-    firsts = runs_of.groupBy("key").agg(F.min(F.struct("id", "start", "node"))["node"].alias("other"))
-    both = runs_of.join(firsts, "key")
-    copies = both.select("node", "other")
+    runs_of = stored(folds(found, length, percent), "folds")
+    order = Window.partitionBy("key").orderBy("id", "start", "node")
+    both = runs_of.withColumn("other", F.first("node").over(order))
+    copies = stored(each_once(both.select("node", "other")), "copies")
     seeds = both.where("node = other").select("node", F.explode("seeds").alias("seed"))
-    return copies, materialize(unpacked(seeds), "seeds")
+    return copies, stored(unpacked(seeds), "seeds")
 
 
 def unpacked(seeds: DataFrame) -> DataFrame:
@@ -381,9 +390,9 @@ def some_of_each(seeds: DataFrame, wanted: DataFrame) -> DataFrame:
 
 def across(seeds: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of spans of different classes with a seed in common; of each pair one is not of the seed's most frequent class."""
-    own = materialize(seeds.join(classes, "node"), "classed")
+    own = stored(seeds.join(classes, "node"), "classed")
     several = own.groupBy("seed").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("seed")
-    some = materialize(own.join(several, "seed"), "several")
+    some = stored(own.join(several, "seed"), "several")
     most = some.groupBy("seed", "class").count().groupBy("seed").agg(F.max_by("class", "count").alias("most"))
     mixed_groups = some.join(most, "seed")
     return all_with_all(mixed_groups.where(F.col("class") != F.col("most")).drop("most"), mixed_groups.drop("most"), "class")
@@ -414,7 +423,7 @@ def open_seeds(found: DataFrame, reported: DataFrame, width: int, length: int, p
             yield pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in SEEDS.split(", ")])
 
     both = found.select("node", "start", "low", "high", "levels").join(covers, "node", "left")
-    return materialize(unpacked(both.mapInArrow(cut, SEEDS)), "open-seeds")
+    return stored(unpacked(both.mapInArrow(cut, SEEDS)), "open-seeds")
 
 
 def nearest(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
@@ -583,7 +592,7 @@ def matching_within(a: np.ndarray, length: int, percent: int) -> list[tuple[int,
 
 def one_text_each(texts: DataFrame) -> DataFrame:
     """(id, text) with the smallest text of each id; only rows whose id repeats are shuffled with their text."""
-    repeated = materialize(texts.groupBy("id").count().where("count > 1").select("id"), "repeated-ids")
+    repeated = stored(texts.groupBy("id").count().where("count > 1").select("id"), "repeated-ids")
     least = texts.join(repeated, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
     return texts.join(repeated, "id", "left_anti").union(least)
 
@@ -644,17 +653,17 @@ def passage_classes(
     length = min_words - width + 1
     found = spans(texts_of(docs, id_col, text_col), width, length, percent)
     copies, seeds = folded(found, length, percent)
-    step = lambda pairs: materialize(compared(pairs, found, width, length, percent), "found")
-    tried = materialize(each_once(copies.union(with_hubs(seeds))), "tried")
+    step = lambda pairs: stored(compared(pairs, found, width, length, percent), "found")
+    tried = stored(each_once(copies.union(with_hubs(seeds))), "tried")
     links = step(tried)
     left = open_seeds(found, links, width, length, percent)
-    more = materialize(each_once(all_with_all(left, some_of_each(seeds, left))).join(tried, ["node", "other"], "left_anti"), "tried")
+    more = stored(each_once(all_with_all(left, some_of_each(seeds, left))).join(tried, ["node", "other"], "left_anti"), "tried")
     tried, links = tried.union(more), links.union(step(more))
-    classes = materialize(documents_classes(links), "classes")
+    classes = stored(documents_classes(links), "classes")
     own = found.select("node", F.col("id").alias("doc_id")).join(classes, "doc_id", "left").select("node", F.coalesce("class_id", "doc_id").alias("class"))
     still = found.join(left.select("node").distinct(), "node", "left_semi")
     rest = each_once(all_with_all(open_seeds(still, links, width, length, percent), seeds).union(across(seeds, own)))
-    rest = step(materialize(rest.join(tried, ["node", "other"], "left_anti"), "tried"))
+    rest = step(stored(rest.join(tried, ["node", "other"], "left_anti"), "tried"))
     links, classes = links.union(rest), joined_classes(classes, rest)
     within = step(None)
     own = links.union(within)
@@ -675,7 +684,7 @@ def joined_classes(classes: DataFrame, links: DataFrame) -> DataFrame:
     for name in ("doc_id", "source_id"):
         of = classes.select(F.col("doc_id").alias(name), F.col("class_id").alias("of"))
         ends = ends.join(of, name, "left").withColumn(f"{name}_class", F.coalesce("of", name)).drop("of")
-    both = materialize(components(ends.select(F.col("doc_id_class").alias("a"), F.col("source_id_class").alias("b"))), "joined")
+    both = stored(components(ends.select(F.col("doc_id_class").alias("a"), F.col("source_id_class").alias("b"))), "joined")
     new = both.select(F.col("node").alias("class_id"), "component")
     alone = both.select(F.col("node").alias("doc_id"), F.col("component").alias("class_id")).join(classes, "doc_id", "left_anti")
     return classes.join(new, "class_id", "left").select("doc_id", F.coalesce("component", "class_id").alias("class_id")).union(alone)
