@@ -17,17 +17,26 @@ overlap. All documents with a linked window are found, in groups of any size:
 3. The shingles of a window are ordered by how often they repeat, seldom ones first.
    Two linked windows share a shingle among the first few of each (as many as may be
    missing from the other, and one more; fewer if both have no shingle twice). So
-   the spans of first windows that share such a shingle are paired, all with
-   all, and those of folded windows with the span of the first.
+   linked spans share such a seed, and those of folded windows are paired with the
+   span of the first. `repeated_passages` pairs spans that share a seed all with all.
+   `passage_classes` compares them with one span of each seed, that with the most
+   common surroundings; then those with windows that nothing found so far covers
+   with up to 16 of each kind; then windows still uncovered with all spans that share
+   a seed, and spans of documents that are not yet of one class. What it leaves
+   out is pairs of covered windows of documents of one class. A window counts as
+   covered if all its shingles but as many as may be missing from a linked window
+   lie in passages found.
 4. The shingles of paired spans are compared: what is reported has `percent` per cent
    of the union of its distinct shingles in common with its partner, over a passage's
    length or more. Of several places of a shingle in the partner's span the one
    nearest the spans' shift counts; where that fails, a window is compared with all
    windows of the partner. Of several places in a partner one is reported.
 
-Each row is a passage of a document with the passage it repeats: pairs of different
-texts are all there, copies have a row with the first one. The
-document that has the first occurrence appears as partner. Null or short texts
+Each row is a passage of a document with the passage it repeats; the document that has
+the first occurrence appears as partner. `repeated_passages` gives all pairs of different
+texts; copies have a row with the first one. `passage_classes` gives some partner of
+each passage and the class of its document (the smallest one reachable by links), and
+spans that are partners only have rows of their own. Null or short texts
 have no windows. Rows with a null id take no part. Repeated rows repeat each other
 if their ids differ; rows that share an id count as one document whose text is the
 smallest. Extra columns are not read.
