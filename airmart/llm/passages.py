@@ -610,8 +610,8 @@ PASSAGES = "doc_id long, start_word long, n_words long, source_id long, source_w
 FOUND = f"{PASSAGES}, node long, other long"
 
 
-def compared(pairs: DataFrame | None, found: DataFrame, width: int, length: int, percent: int) -> DataFrame:
-    """FOUND of pairs of spans, the later one as node; or of each span within itself, if no pairs are given."""
+def compared(pairs: DataFrame | None, found: DataFrame, width: int, length: int, percent: int, earlier: bool = False) -> DataFrame:
+    """FOUND of pairs of spans, the later one as node (or the earlier one); or of each span within itself, if no pairs are given."""
     data = found.select("node", "id", "start", F.col("low").alias("data"))
     both = data
     if pairs is not None:
@@ -624,7 +624,7 @@ def compared(pairs: DataFrame | None, found: DataFrame, width: int, length: int,
             for r in batch.to_pylist():
                 id, start, data, node = own = r["id"], r["start"], r["data"], r["node"]
                 if "other" in r:
-                    own, other = sorted([own, (r["other_id"], r["other_start"], r["other_data"], r["other"])], key=lambda x: x[:2], reverse=True)
+                    own, other = sorted([own, (r["other_id"], r["other_start"], r["other_data"], r["other"])], key=lambda x: x[:2], reverse=not earlier)
                     (id, start, data, node), (source, before, other_data, partner) = own, other
                     repeats = matching(np.frombuffer(data, np.uint32), np.frombuffer(other_data, np.uint32), length, percent)
                 else:
@@ -677,7 +677,10 @@ def passage_classes(
     within = step(None)
     own = links.union(within)
     firsts = links.join(own.select(F.col("node").alias("other")).distinct(), "other", "left_anti")
-    firsts = firsts.groupBy(F.col("source_id").alias("id"), F.col("source_word").alias("word")).agg(F.max(F.struct("source_words", "similarity", "doc_id", "start_word", "n_words")).alias("r"))
+    long = firsts.where(F.col("source_words") >= min_words)
+    short = firsts.join(long.select("other").distinct(), "other", "left_anti").select("node", "other").distinct()
+    own = own.union(stored(compared(short, found, width, length, percent, earlier=True), "earlier"))
+    firsts = long.groupBy(F.col("source_id").alias("id"), F.col("source_word").alias("word")).agg(F.max(F.struct("source_words", "similarity", "doc_id", "start_word", "n_words")).alias("r"))
     firsts = firsts.select("id", "word", "r.source_words", "r.doc_id", "r.start_word", "r.n_words", "r.similarity")
     rows = own.drop("node", "other").union(firsts).distinct()
     return rows.join(classes, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
